@@ -37,17 +37,20 @@ def ns_to_timestamp(ns: Column) -> Column:
     return F.timestamp_micros(long_div(ns, 1_000))
 
 
-def iso_to_ns(text: Column) -> Column:
-    """ISO-8601 UTC text -> nanoseconds; fraction cut or padded to nine digits, else NULL."""
-    whole = F.substring(text, 1, 19).try_cast("timestamp_ntz") - F.to_timestamp_ntz(
-        F.lit("1970-01-01 00:00:00")
-    )
-    digits = F.regexp_extract(text, r"[.](\d*)", 1)
-    fraction = F.rpad(F.substring(digits, 1, 9), 9, "0").cast("long")
-    nanos = F.expr("1000000000L")
-    return F.when(
-        text.rlike(_ISO_UTC), F.try_add(F.try_multiply(whole.cast("long"), nanos), fraction)
-    )
+def iso_to_ns_sql(text: str) -> str:
+    """SQL for ISO-8601 UTC text -> nanoseconds; fraction cut or padded to nine digits."""
+    return rf"""
+      CASE WHEN {text} RLIKE r'{_ISO_UTC}' THEN try_add(
+        try_multiply(
+          CAST(try_cast(substr({text}, 1, 19) AS TIMESTAMP_NTZ)
+               - TIMESTAMP_NTZ'1970-01-01 00:00:00' AS BIGINT), 1000000000L),
+        CAST(rpad(substr(regexp_extract({text}, r'[.](\d*)', 1), 1, 9), 9, '0') AS BIGINT))
+      END"""
+
+
+def iso_to_ns(name: str) -> Column:
+    """ISO-8601 text column -> nanoseconds, NULL where the text is no UTC time."""
+    return F.expr(iso_to_ns_sql(name))
 
 
 def safe_component(text: Column) -> Column:

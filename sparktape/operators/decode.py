@@ -19,34 +19,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import excerpt, iso_to_ns, utc_date
+from ..functions.columns import excerpt, iso_to_ns_sql, utc_date
 from ..schema import STORED_COLS, TICK_COLS
-from .validate import money, now_column, tick_reason
+from .validate import clock_sql, money_sql, tick_reason
 
-CANDIDATE = (
-    "struct<symbol:string,price:string,size:string,side:string,"
-    "timestamp_ns:bigint,trade_id:string>"
+CANDIDATE_FIELDS = ["symbol", "price", "size", "side", "timestamp_ns", "trade_id"]
+CANDIDATES = (
+    "ARRAY<STRUCT<symbol:STRING,price:STRING,size:STRING,side:STRING,"
+    "timestamp_ns:BIGINT,trade_id:STRING>>"
 )
-CANDIDATES = f"array<{CANDIDATE}>"
+_NOTHING = f"CAST(array() AS {CANDIDATES})"
 MALFORMED = "malformed JSON"
 NOT_OBJECT = "frame is not an object"
 NOT_UTF8 = "frame is not UTF-8"
 NO_DECODER = "no decoder for this source"
 
-_JSON = {"allowSingleQuotes": "false"}
+_JSON = "map('allowSingleQuotes', 'false')"
 
 
 @dataclass(frozen=True)
 class Decoder:
     """`stages` parse the frame, each from the one before; `read` shapes the last one.
 
-    Each stage becomes a column of its own, so the JSON text is parsed once however
-    often `read` refers to it.
+    The functions get column names and return columns: a stage that of the stage before
+    (the frame text for the first), `read` that of the last stage and of the text. Each
+    stage becomes a column of its own, so the JSON text is parsed once however often
+    `read` refers to it.
     """
 
     name: str
-    stages: tuple[Callable[[Column], Column], ...]
-    read: Callable[[Column, Column], Column]
+    stages: tuple[Callable[[str], Column], ...]
+    read: Callable[[str, str], Column]
 
 
 _DECODERS: dict[str, Decoder] = {}
@@ -62,59 +65,64 @@ def decoders() -> dict[str, Decoder]:
     return dict(_DECODERS)
 
 
-def candidate(**fields: Column) -> Column:
-    """One candidate trade; a field left out is missing."""
-    names = [part.split(":") for part in CANDIDATE[len("struct<") : -1].split(",")]
-    return F.struct(*(fields.get(n, F.lit(None)).cast(t).alias(n) for n, t in names))
+def candidate_sql(**fields: str) -> str:
+    """SQL for one candidate trade; a field left out is missing."""
+    missing = {c: f"CAST(NULL AS {'BIGINT' if c == 'timestamp_ns' else 'STRING'})" for c in CANDIDATE_FIELDS}
+    return f"struct({', '.join(f'{sql} AS {c}' for c, sql in (missing | fields).items())})"
 
 
-def outcome(bad: Column, trades: Column) -> Column:
-    return F.struct(bad.cast("string").alias("bad"), trades.cast(CANDIDATES).alias("trades"))
+def outcome_sql(bad: str, trades: str) -> str:
+    return f"struct(CAST({bad} AS STRING) AS bad, {trades} AS trades)"
 
 
-def strict_json(raw: Column, schema: str) -> Column:
+def strict_json(text: str, schema: str) -> Column:
     """Parse a whole frame into `struct(f, z)`; `z` is NULL unless all of the text is JSON.
 
     A field placed after the frame shows that the parser got that far, so trailing text
     counts as malformed too.
     """
-    wrapped = F.concat(F.lit('{"f":'), raw, F.lit(',"z":1}'))
-    return F.from_json(wrapped, f"f {schema}, z int", _JSON)
+    wrapped = f"""'{{"f":' || {text} || ',"z":1}}'"""
+    return F.expr(f"from_json({wrapped}, 'f {schema}, z int', {_JSON})")
 
 
-def root_fault(parsed: Column) -> Column:
-    return F.when(parsed["z"].isNull(), MALFORMED).when(parsed["f"].isNull(), NOT_OBJECT)
+def root_fault(parsed: str) -> str:
+    return (
+        f"CASE WHEN {parsed}.z IS NULL THEN '{MALFORMED}' "
+        f"WHEN {parsed}.f IS NULL THEN '{NOT_OBJECT}' END"
+    )
 
 
 # -- Binance: one trade per frame; key names differ only in case, hence a map ------------
 
 
-def _binance_trade(parsed: Column) -> Column:
+def _binance_trade(parsed: str) -> Column:
     """(fault, fields): the trade object, bare or under `data` on combined streams."""
-    frame = parsed["f"]
-    wrapped = F.coalesce(F.map_contains_key(frame, "data"), F.lit(False))
-    inner = F.from_json(frame["data"], "map<string,string>", _JSON)
-    return F.struct(
-        root_fault(parsed).alias("fault"), F.when(wrapped, inner).otherwise(frame).alias("fields")
+    return F.expr(
+        f"""struct({root_fault(parsed)} AS fault,
+          CASE WHEN map_contains_key({parsed}.f, 'data')
+               THEN from_json({parsed}.f['data'], 'map<string,string>', {_JSON})
+               ELSE {parsed}.f END AS fields)"""
     )
 
 
-def _binance_read(trade: Column, raw: Column) -> Column:
-    fields = trade["fields"]
-    bad = F.coalesce(trade["fault"], F.when(fields.isNull(), NOT_OBJECT))
-    maker = fields["m"]
-    one = candidate(
-        symbol=fields["s"],
-        price=fields["p"],
-        size=fields["q"],
-        side=F.when(maker.isNull(), F.lit(None))
-        .when(maker.isin("false", "0", ""), "buy")
-        .otherwise("sell"),
-        timestamp_ns=F.try_multiply(fields["T"].try_cast("bigint"), F.lit(1_000_000)),
-        trade_id=fields["t"],
+def _binance_read(trade: str, text: str) -> Column:
+    maker = f"{trade}.fields['m']"
+    one = candidate_sql(
+        symbol=f"{trade}.fields['s']",
+        price=f"{trade}.fields['p']",
+        size=f"{trade}.fields['q']",
+        side=f"CASE WHEN {maker} IN ('false', '0', '') THEN 'buy' WHEN {maker} IS NOT NULL THEN 'sell' END",
+        timestamp_ns=f"try_multiply(try_cast({trade}.fields['T'] AS BIGINT), 1000000L)",
+        trade_id=f"{trade}.fields['t']",
+    )
+    bad = f"CASE WHEN {trade}.fields IS NULL THEN '{NOT_OBJECT}' END"
+    is_trade = f"{trade}.fault IS NULL AND {trade}.fields['e'] = 'trade'"
+    return F.expr(
+        outcome_sql(
+            f"coalesce({trade}.fault, {bad})",
+            f"CASE WHEN {is_trade} THEN array({one}) ELSE {_NOTHING} END",
+        )
     )
-    is_trade = F.coalesce(fields["e"] == "trade", F.lit(False))
-    return outcome(bad, F.when(bad.isNull() & is_trade, F.array(one)).otherwise(F.array()))
 
 
 # -- Coinbase: events with any number of trades each -------------------------------------
@@ -125,53 +133,47 @@ _COINBASE_FRAME = (
 )
 
 
-def _not_a_list(raw: Column, key: str) -> Column:
+def _not_a_list(text: str, key: str) -> str:
     """The key is there but holds no list. Looked up only where decoding found nothing."""
-    return raw.rlike(f'"{key}"\\s*:\\s*[^\\[\\s]')
-
-
-def _coinbase_trade(trade: Column) -> Column:
-    return candidate(
-        symbol=trade["product_id"],
-        price=trade["price"],
-        size=trade["size"],
-        side=F.lower(trade["side"]),
-        timestamp_ns=iso_to_ns(trade["time"]),
-        trade_id=trade["trade_id"],
-    )
-
-
-def _coinbase_read(parsed: Column, raw: Column) -> Column:
-    nothing = F.array().cast(CANDIDATES)
-    unreadable = F.array(candidate())  # breaks the first rule, so the frame becomes an error
-
-    def event_trades(event: Column) -> Column:
-        return (
-            F.when(event.isNull(), unreadable)
-            .when(~F.coalesce(event["type"].isin("update", "snapshot"), F.lit(False)), nothing)
-            .when(event["trades"].isNotNull(), F.transform(event["trades"], _coinbase_trade))
-            .when(_not_a_list(raw, "trades"), unreadable)
-            .otherwise(nothing)
-        )
-
-    fault = root_fault(parsed)
-    events = parsed["f"]["events"]
-    trades = (
-        F.when(fault.isNotNull(), nothing)
-        .when(~F.coalesce(parsed["f"]["channel"] == "market_trades", F.lit(False)), nothing)
-        .when(events.isNotNull(), F.flatten(F.transform(events, event_trades)))
-        .when(_not_a_list(raw, "events"), unreadable)
-        .otherwise(nothing)
+    return rf"""{text} RLIKE r'"{key}"\s*:\s*[^\[\s]'"""
+
+
+def _coinbase_read(parsed: str, text: str) -> Column:
+    # Breaks the first rule, so the frame becomes an error at this trade.
+    unreadable = f"array({candidate_sql()})"
+    trade = candidate_sql(
+        symbol="t.product_id",
+        price="t.price",
+        size="t.size",
+        side="lower(t.side)",
+        timestamp_ns=iso_to_ns_sql("t.time"),
+        trade_id="t.trade_id",
     )
-    return outcome(fault, trades)
+    event_trades = f"""
+      CASE WHEN e IS NULL THEN {unreadable}
+           WHEN NOT coalesce(e.type IN ('update', 'snapshot'), false) THEN {_NOTHING}
+           WHEN e.trades IS NOT NULL THEN transform(e.trades, t -> {trade})
+           WHEN {_not_a_list(text, "trades")} THEN {unreadable}
+           ELSE {_NOTHING} END"""
+    trades = f"""
+      CASE WHEN {parsed}.z IS NULL OR NOT coalesce({parsed}.f.channel = 'market_trades', false)
+                THEN {_NOTHING}
+           WHEN {parsed}.f.events IS NOT NULL
+                THEN flatten(transform({parsed}.f.events, e -> {event_trades}))
+           WHEN {_not_a_list(text, "events")} THEN {unreadable}
+           ELSE {_NOTHING} END"""
+    return F.expr(outcome_sql(root_fault(parsed), trades))
 
 
 BINANCE = register_decoder(
-    Decoder("binance", (lambda raw: strict_json(raw, "map<string,string>"), _binance_trade),
-            _binance_read)
+    Decoder(
+        "binance",
+        (lambda text: strict_json(text, "map<string,string>"), _binance_trade),
+        _binance_read,
+    )
 )
 COINBASE = register_decoder(
-    Decoder("coinbase", (lambda raw: strict_json(raw, _COINBASE_FRAME),), _coinbase_read)
+    Decoder("coinbase", (lambda text: strict_json(text, _COINBASE_FRAME),), _coinbase_read)
 )
 
 
@@ -181,84 +183,72 @@ COINBASE = register_decoder(
 def decode_frames(
     frames: DataFrame, now_ns: int | None = None, on_error: str = "prefix"
 ) -> DataFrame:
-    """Frames with `status`, `reason` and the good `ticks` of each, in one narrow pass.
+    """Frames with `status`, `reason` and the good `trades` of each, in one narrow pass.
 
     `on_error="prefix"` drops the trades after the first bad one of a frame;
     `"per_trade"` drops only the bad ones. Works on tables and on streams.
     """
     if on_error not in ("prefix", "per_trade"):
         raise ValueError(f"on_error must be 'prefix' or 'per_trade', not {on_error!r}")
-    clock = now_column() if now_ns is None else F.lit(now_ns)
     binary = isinstance(frames.schema["raw"].dataType, T.BinaryType)
-    rows = frames.withColumn(
-        "_text", F.try_validate_utf8(F.col("raw").cast("string")) if binary else F.col("raw")
-    )
-    text = F.col("_text")
+    known = list(_DECODERS.values())
+    text = F.expr("try_validate_utf8(CAST(raw AS STRING))") if binary else F.col("raw")
+    rows = frames.select("source", "raw", "received_ns", text.alias("_text"))
 
     # One chain of parse columns per feed; a row runs only the chain of its own source.
-    known = _DECODERS.values()
     for depth in range(max(len(decoder.stages) for decoder in known)):
         stage_columns = {}
         for decoder in known:
             if depth < len(decoder.stages):
-                before = text if depth == 0 else F.col(f"_{decoder.name}_{depth - 1}")
+                before = f"_{decoder.name}_{depth - 1}" if depth else "_text"
                 stage_columns[f"_{decoder.name}_{depth}"] = F.when(
                     F.col("source") == decoder.name, decoder.stages[depth](before)
                 )
         rows = rows.withColumns(stage_columns)
-    read = F.when(text.isNull(), outcome(F.lit(NOT_UTF8 if binary else MALFORMED), F.array()))
-    for decoder in known:
-        parsed = F.col(f"_{decoder.name}_{len(decoder.stages) - 1}")
-        read = read.when(F.col("source") == decoder.name, decoder.read(parsed, text))
-    read = read.otherwise(outcome(F.lit(NO_DECODER), F.array()))
-
-    def check(trade: Column) -> Column:
-        fields = {"exchange": F.col("source"), "received_ns": F.col("received_ns")}
-        typed = {"price": money(trade["price"]), "size": money(trade["size"])}
-        reason = tick_reason(lambda name: fields.get(name, trade[name]), clock)
-        return F.struct(
-            *(typed.get(c, fields.get(c, trade[c])).alias(c) for c in TICK_COLS if c != "exchange"),
-            reason.alias("reason"),
-        )
 
-    checked = F.col("_checked")
-    first_bad = F.col("_first_bad")
-    kept = (
-        F.when(first_bad == 0, checked).otherwise(F.slice(checked, F.lit(1), first_bad - 1))
-        if on_error == "prefix"
-        else F.filter(checked, lambda tick: tick["reason"].isNull())
-    )
-    reason = F.coalesce(
-        F.col("_read")["bad"], F.when(first_bad > 0, F.get(checked, first_bad - 1)["reason"])
-    )
+    def failed(reason: str) -> Column:
+        return F.expr(outcome_sql(f"'{reason}'", _NOTHING))
+
+    read = F.when(F.col("_text").isNull(), failed(NOT_UTF8 if binary else MALFORMED))
+    for decoder in known:
+        outcome = decoder.read(f"_{decoder.name}_{len(decoder.stages) - 1}", "_text")
+        read = read.when(F.col("source") == decoder.name, outcome)
+
+    fields = {c: f"t.{c}" for c in CANDIDATE_FIELDS}
+    fields |= {"exchange": "source", "received_ns": "received_ns"}
+    reasons = f"transform(_read.trades, t -> {tick_reason(fields, clock_sql(now_ns))})"
+    first_bad = "CAST(array_position(transform(_reasons, r -> r IS NOT NULL), true) AS INT)"
+    kept = {
+        "prefix": f"slice(_read.trades, 1, {first_bad} - 1)",
+        "per_trade": "filter(_read.trades, (t, i) -> _reasons[i] IS NULL)",
+    }[on_error]
+    any_bad = "exists(_reasons, r -> r IS NOT NULL)"
     staged = (
-        rows.withColumn("_read", read)
-        .withColumn("_checked", F.transform(F.col("_read")["trades"], check))
-        .withColumn(
-            "_first_bad",
-            F.array_position(F.transform(checked, lambda t: t["reason"].isNotNull()), True)
-            .cast("int"),
+        rows.withColumn("_read", read.otherwise(failed(NO_DECODER)))
+        .withColumn("_reasons", F.expr(reasons))
+        .selectExpr(
+            "source", "raw", "received_ns",
+            f"CASE WHEN {any_bad} THEN {kept} ELSE _read.trades END AS trades",
+            "coalesce(_read.bad, get(filter(_reasons, r -> r IS NOT NULL), 0)) AS reason",
         )
-        .withColumns({"reason": reason, "ticks": kept})
-    )
-    status = (
-        F.when(F.col("reason").isNotNull(), "error")
-        .when(F.size("ticks") == 0, "ignored")
-        .otherwise("parsed")
-    )
+    )
     # A one-element generator: filters on the outcome stay above it. Pushed down to the scan
     # they would repeat the whole decoding once more for every row.
-    one = F.array(F.struct(status.alias("status"), "reason", "ticks"))
-    return staged.select("source", "raw", "received_ns", F.explode(one).alias("_out")).select(
-        "source", "raw", "received_ns", "_out.status", "_out.reason", "_out.ticks"
-    )
+    return staged.selectExpr(
+        "source", "raw", "received_ns",
+        """explode(array(struct(
+             CASE WHEN reason IS NOT NULL THEN 'error' WHEN size(trades) = 0 THEN 'ignored'
+                  ELSE 'parsed' END AS status, reason, trades))) AS _out""",
+    ).select("source", "raw", "received_ns", "_out.status", "_out.reason", "_out.trades")
 
 
 def frame_ticks(decoded: DataFrame) -> DataFrame:
-    """The ticks of decoded frames, 0..n per frame."""
+    """The ticks of decoded frames, 0..n per frame. Text becomes decimals here, once per tick."""
+    typed = {c: f"t.{c}" for c in CANDIDATE_FIELDS} | {"exchange": "exchange"}
+    typed |= {c: money_sql(f"t.{c}") for c in ("price", "size")} | {"received_ns": "received_ns"}
     return (
-        decoded.select(F.col("source").alias("exchange"), F.explode("ticks").alias("t"))
-        .select("exchange", *(f"t.{c}" for c in TICK_COLS if c != "exchange"))
+        decoded.selectExpr("source AS exchange", "received_ns", "explode(trades) AS t")
+        .selectExpr(*(f"{typed[c]} AS {c}" for c in TICK_COLS))
         .withColumn("date", utc_date(F.col("timestamp_ns")))
         .select(*STORED_COLS)
     )

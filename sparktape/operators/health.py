@@ -36,7 +36,7 @@ def parse_errors(decoded: DataFrame) -> DataFrame:
 def frame_outcomes(decoded: DataFrame) -> DataFrame:
     """Frames per exchange and outcome; the outcomes add up to the frames received."""
     return decoded.groupBy(F.col("source").alias("exchange"), "status").agg(
-        F.count("*").alias("n_frames"), F.sum(F.size("ticks")).alias("n_ticks")
+        F.count("*").alias("n_frames"), F.sum(F.size("trades").cast("long")).alias("n_ticks")
     )
 
 

@@ -1,19 +1,18 @@
 """Tick rules: every row either is a tick or carries the reason why it is not.
 
-Rules are plain column expressions, so the same code checks table rows, array elements
-inside a frame, and streams. `now_ns` is an argument; only its default reads the clock.
+Rules are SQL expressions over named fields, so the same text checks table rows, array
+elements inside a frame, and streams. `now_ns` is an argument; only its default reads the
+clock.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import utc_date
-from ..schema import MONEY, STORED_COLS
+from ..schema import MONEY, STORED_COLS, TICK_COLS
 
 # Earliest plausible time (2010-01-01 UTC), furthest future, clock tolerance.
 MIN_TIME_NS = 1_262_304_000_000_000_000
@@ -31,69 +30,67 @@ TOO_OLD = "time is before 2010-01-01"
 TOO_LATE = "time is more than 10 years in the future"
 CLOCK = "received before the trade, check clock sync"
 
-_PLAIN = r"^\d{1,20}([.]\d{1,18})?$"
+# Plain positive numbers that fit: at most 20 and 18 digits, one of them not zero.
+_PLAIN = r"^(?=.*[1-9])\d{1,20}([.]\d{1,18})?$"
 _NUMBER = r"^([+-]?)(\d*)[.]?(\d*)(?:[eE]([+-]?\d{1,9}))?$"
 
-Field = Callable[[str], Column]
-
-
-def now_column() -> Column:
-    """Wall clock in nanoseconds, fixed once per batch query or micro-batch."""
-    return F.unix_micros(F.current_timestamp()) * F.lit(1_000)
+def clock_sql(now_ns: int | None) -> str:
+    """The given time, or the wall clock, fixed once per batch query or micro-batch."""
+    return "unix_micros(current_timestamp()) * 1000" if now_ns is None else f"{now_ns}L"
 
 
-def money(text: Column) -> Column:
-    return text.try_cast(MONEY)
+def money_sql(text: str) -> str:
+    return f"try_cast({text} AS DECIMAL(38,18))"
 
 
-def _money_reason(text: Column, sign_reason: str) -> Column:
+def _text_money_reason(text: str, sign_reason: str) -> str:
     """Reason why number text is no positive decimal(38,18), or NULL.
 
     Nearly all text takes the first branch. The rest is judged by its digits, so text with
     an exponent or with too many digits gets the right reason without a lossy cast.
     """
-    bare = F.trim(text)
-    whole, part = F.regexp_extract(bare, _NUMBER, 2), F.regexp_extract(bare, _NUMBER, 3)
-    digits = F.concat(whole, part)
-    exponent = F.coalesce(F.regexp_extract(bare, _NUMBER, 4).try_cast("int"), F.lit(0))
-    trailing = F.length(digits) - F.length(F.rtrim(digits, F.lit("0")))
-    leading = F.length(digits) - F.length(F.ltrim(digits, F.lit("0")))
-    return (
-        F.when(text.rlike(_PLAIN) & (money(text) > 0), F.lit(None))
-        .when(text.isNull(), MISSING)
-        .when(~bare.rlike(_NUMBER) | (F.length(digits) == 0), NOT_DECIMAL)
-        .when((F.length(F.ltrim(digits, F.lit("0"))) == 0) | bare.startswith("-"), sign_reason)
-        .when(F.length(part) - trailing - exponent > 18, SCALE)
-        .when(F.length(whole) - leading + exponent > 20, SCALE)
-    )
-
-
-def _typed_money_reason(value: Column, sign_reason: str) -> Column:
-    return F.when(value.isNull(), MISSING).when(value <= 0, sign_reason)
-
-
-def _blank(value: Column) -> Column:
-    return F.coalesce(F.length(value) < 1, F.lit(True))
-
-
-def tick_reason(field: Field, now_ns: Column, *, text: bool = True) -> Column:
-    """First broken rule of a candidate tick, or NULL. `field` looks a column up by name."""
-    money_reason = _money_reason if text else _typed_money_reason
-    traded, received = field("timestamp_ns"), field("received_ns")
-    latest = now_ns + F.lit(MAX_FUTURE_NS)
-    return F.coalesce(
-        F.when(
-            _blank(field("exchange")) | _blank(field("symbol")) | _blank(field("trade_id")), MISSING
-        ),
-        money_reason(field("price"), PRICE_SIGN),
-        money_reason(field("size"), SIZE_SIGN),
-        F.when(field("side").isNull(), MISSING)
-        .when(~field("side").isin("buy", "sell"), SIDE)
-        .when(traded.isNull() | received.isNull(), TIME)
-        .when((traded < MIN_TIME_NS) | (received < MIN_TIME_NS), TOO_OLD)
-        .when((traded > latest) | (received > latest), TOO_LATE)
-        .when(received < traded - F.lit(CLOCK_TOLERANCE_NS), CLOCK),
+    bare = f"trim({text})"
+    whole, part, exponent = (f"regexp_extract({bare}, r'{_NUMBER}', {i})" for i in (2, 3, 4))
+    exponent = f"coalesce(try_cast({exponent} AS INT), 0)"
+    digits = f"({whole} || {part})"
+    significant = f"trim(LEADING '0' FROM {digits})"
+    trailing = f"(length({digits}) - length(trim(TRAILING '0' FROM {digits})))"
+    leading = f"(length({digits}) - length({significant}))"
+    return f"""
+      CASE WHEN {text} RLIKE r'{_PLAIN}' THEN NULL
+           WHEN {text} IS NULL THEN '{MISSING}'
+           WHEN NOT {bare} RLIKE r'{_NUMBER}' OR {digits} = '' THEN '{NOT_DECIMAL}'
+           WHEN {significant} = '' OR startswith({bare}, '-') THEN '{sign_reason}'
+           WHEN length({part}) - {trailing} - {exponent} > 18 THEN '{SCALE}'
+           WHEN length({whole}) - {leading} + {exponent} > 20 THEN '{SCALE}' END"""
+
+
+def _typed_money_reason(value: str, sign_reason: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '{MISSING}' WHEN {value} <= 0 THEN '{sign_reason}' END"
+
+
+def tick_reason(fields: dict[str, str], now: str, *, text: bool = True) -> str:
+    """SQL for the first broken rule of a candidate tick, or NULL.
+
+    `fields` maps the eight tick columns to SQL; `text` says that price and size are text.
+    """
+    money_reason = _text_money_reason if text else _typed_money_reason
+    blank = " OR ".join(
+        f"coalesce(length({fields[c]}) < 1, true)" for c in ("exchange", "symbol", "trade_id")
     )
+    side, traded, received = fields["side"], fields["timestamp_ns"], fields["received_ns"]
+    latest = f"({now} + {MAX_FUTURE_NS}L)"
+    return f"""
+      coalesce(
+        CASE WHEN {blank} THEN '{MISSING}' END,
+        {money_reason(fields["price"], PRICE_SIGN)},
+        {money_reason(fields["size"], SIZE_SIGN)},
+        CASE WHEN {side} IS NULL THEN '{MISSING}'
+             WHEN {side} NOT IN ('buy', 'sell') THEN '{SIDE}'
+             WHEN {traded} IS NULL OR {received} IS NULL THEN '{TIME}'
+             WHEN {traded} < {MIN_TIME_NS}L OR {received} < {MIN_TIME_NS}L THEN '{TOO_OLD}'
+             WHEN {traded} > {latest} OR {received} > {latest} THEN '{TOO_LATE}'
+             WHEN {received} < {traded} - {CLOCK_TOLERANCE_NS}L THEN '{CLOCK}' END)"""
 
 
 def check_ticks(candidates: DataFrame, now_ns: int | None = None) -> DataFrame:
@@ -109,15 +106,15 @@ def check_ticks(candidates: DataFrame, now_ns: int | None = None) -> DataFrame:
     if not fits:
         # Any other exact type is judged by its digits.
         rows = rows.withColumns({c: F.col(c).cast("string") for c in ("price", "size")})
-    clock = now_column() if now_ns is None else F.lit(now_ns)
-    return rows.withColumn("reason", tick_reason(F.col, clock, text=not fits))
+    reason = tick_reason({c: c for c in TICK_COLS}, clock_sql(now_ns), text=not fits)
+    return rows.withColumn("reason", F.expr(reason))
 
 
 def good_ticks(checked: DataFrame) -> DataFrame:
     """Typed ticks among checked rows."""
     return (
         checked.where(F.col("reason").isNull())
-        .withColumns({"price": money(F.col("price")), "size": money(F.col("size"))})
+        .withColumns({c: F.expr(money_sql(c)) for c in ("price", "size")})
         .withColumn("date", utc_date(F.col("timestamp_ns")))
         .select(*STORED_COLS)
     )

@@ -202,7 +202,7 @@ _REGISTRY |= {
     ),
     "frame_filter": _decoded(health.frame_outcomes),
     "iso_to_ns": lambda spark, sf_dir: tables.event_times(spark, sf_dir).select(
-        "event_id", columns.iso_to_ns(F.col("iso_time")).alias("timestamp_ns")
+        "event_id", columns.iso_to_ns("iso_time").alias("timestamp_ns")
     ),
     "safe_component": lambda spark, sf_dir: spark.read.parquet(f"{sf_dir}/pages.parquet").select(
         "page_id", columns.safe_component(F.col("url")).alias("component")

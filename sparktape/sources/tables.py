@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import long_div, utc_date
+from ..functions.columns import utc_date
 from ..schema import STORED_COLS
 
 # Constant clock of the test data: 2024-02-01 UTC, just after its last event.
@@ -19,69 +19,61 @@ def _table(spark: SparkSession, sf_dir: str, name: str, columns: str) -> DataFra
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tick columns of `events` next to the row number and the event time as ISO text."""
-    time = F.unix_micros("ts") * F.lit(1_000)
-    money = "decimal(38,18)"
-    number = F.get_json_object("props", "$.k").cast("long")
-    events = _table(
-        spark, sf_dir, "events",
-        "event_id long, ts timestamp, user_id long, event_type string, value double, props string",
-    )
-    return events.select(
-        F.when(F.col("user_id") % 2 == 0, "binance").otherwise("coinbase").alias("exchange"),
-        F.upper("event_type").alias("symbol"),
-        F.col("value").cast("decimal(18,2)").cast(money).alias("price"),
-        (number + 1).cast(money).alias("size"),
-        F.when(F.col("event_id") % 2 == 0, "buy").otherwise("sell").alias("side"),
-        time.alias("timestamp_ns"),
-        (time + F.col("event_id") % 500 * F.lit(1_000_000)).alias("received_ns"),
-        F.col("event_id").cast("string").alias("trade_id"),
-        F.col("event_id").alias("n"),
-        _iso_text(F.unix_micros("ts")).alias("iso_time"),
+    """Tick columns of `events` next to the row number `n` and the time in microseconds."""
+    columns = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
+    return _table(spark, sf_dir, "events", columns).selectExpr(
+        "CASE WHEN user_id % 2 = 0 THEN 'binance' ELSE 'coinbase' END AS exchange",
+        "upper(event_type) AS symbol",
+        "CAST(CAST(value AS DECIMAL(18,2)) AS DECIMAL(38,18)) AS price",
+        "CAST(CAST(get_json_object(props, '$.k') AS BIGINT) + 1 AS DECIMAL(38,18)) AS size",
+        "CASE WHEN event_id % 2 = 0 THEN 'buy' ELSE 'sell' END AS side",
+        "unix_micros(ts) * 1000 AS timestamp_ns",
+        "unix_micros(ts) * 1000 + event_id % 500 * 1000000 AS received_ns",
+        "CAST(event_id AS STRING) AS trade_id",
+        "event_id AS n",
+        "unix_micros(ts) AS micros",
     )
 
 
-def _iso_text(micros: Column) -> Column:
-    """UTC text of an instant, with as many fraction digits as it needs."""
-    local = F.timestamp_add("MICROSECOND", micros, F.to_timestamp_ntz(F.lit("1970-01-01")))
-    return F.concat(F.translate(local.cast("string"), " ", "T"), F.lit("Z"))
+def _with_date(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("date", utc_date(rows["timestamp_ns"]))
+
+
+# UTC text of an instant, with as many fraction digits as it needs.
+_ISO_TIME = (
+    "translate(CAST(timestampadd(MICROSECOND, micros, TIMESTAMP_NTZ'1970-01-01') AS STRING), "
+    "' ', 'T') || 'Z'"
+)
 
 
 def event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row number and ISO text of every event time."""
-    return _events(spark, sf_dir).select(F.col("n").alias("event_id"), "iso_time")
+    return _events(spark, sf_dir).selectExpr("n AS event_id", f"{_ISO_TIME} AS iso_time")
 
 
 def event_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One tick per row of `events`: ten feeds over thirty days."""
-    return (
-        _events(spark, sf_dir)
-        .withColumn("date", utc_date(F.col("timestamp_ns")))
-        .select(*STORED_COLS)
-    )
+    return _with_date(_events(spark, sf_dir)).select(*STORED_COLS)
 
 
 def lineitem_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One tick per row of `lineitem`: a few busy feeds with equal times among them."""
-    money = "decimal(38,18)"
-    second_of_day = (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 86_400
-    time = F.unix_micros("l_shipdate") * F.lit(1_000) + second_of_day * F.lit(1_000_000_000)
-    rows = _table(
-        spark, sf_dir, "lineitem",
+    columns = (
         "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
-        "l_extendedprice double, l_returnflag string, l_linestatus string, l_shipdate timestamp",
-    )
-    ticks = rows.select(
-        F.when(F.col("l_suppkey") % 3 == 0, "coinbase").otherwise("binance").alias("exchange"),
-        F.concat("l_returnflag", "l_linestatus").alias("symbol"),
-        F.col("l_extendedprice").cast("decimal(18,2)").cast(money).alias("price"),
-        F.col("l_quantity").cast("decimal(18,2)").cast(money).alias("size"),
-        F.when(F.col("l_linenumber") % 2 == 0, "buy").otherwise("sell").alias("side"),
-        time.alias("timestamp_ns"),
-        (time + F.col("l_partkey") % 500 * F.lit(1_000_000)).alias("received_ns"),
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("trade_id"),
+        "l_extendedprice double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
     )
-    return ticks.withColumn("date", utc_date(F.col("timestamp_ns"))).select(*STORED_COLS)
+    time = "unix_micros(l_shipdate) * 1000 + (l_orderkey * 7 + l_linenumber) % 86400 * 1000000000"
+    ticks = _table(spark, sf_dir, "lineitem", columns).selectExpr(
+        "CASE WHEN l_suppkey % 3 = 0 THEN 'coinbase' ELSE 'binance' END AS exchange",
+        "l_returnflag || l_linestatus AS symbol",
+        "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DECIMAL(38,18)) AS price",
+        "CAST(CAST(l_quantity AS DECIMAL(18,2)) AS DECIMAL(38,18)) AS size",
+        "CASE WHEN l_linenumber % 2 = 0 THEN 'buy' ELSE 'sell' END AS side",
+        f"{time} AS timestamp_ns",
+        f"{time} + l_partkey % 500 * 1000000 AS received_ns",
+        "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS trade_id",
+    )
+    return _with_date(ticks).select(*STORED_COLS)
 
 
 def event_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,75 +84,60 @@ def event_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     Coinbase: 1 three trades with a bad second one, 3 a snapshot of two trades,
     4 an unknown side, 5 an event of another type before the trade.
     """
-    rows = _events(spark, sf_dir).withColumns(
-        {
-            "price_text": F.col("price").cast("decimal(18,2)").cast("string"),
-            "size_text": F.col("size").cast("long").cast("string"),
-            "millis": long_div(F.col("timestamp_ns"), 1_000_000).cast("string"),
-        }
-    )
-    raw = F.when(F.col("exchange") == "binance", _binance_text()).otherwise(_coinbase_text())
-    return rows.select(F.col("exchange").alias("source"), raw.alias("raw"), "received_ns")
-
-
-def _join(*parts: str | Column) -> Column:
-    return F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
-
-
-def _binance_text() -> Column:
-    kind = F.col("n") % 50
-
-    def trade(price: str | Column) -> Column:
-        return _join(
-            '{"e":"trade","E":', F.col("millis"), ',"s":"', F.col("symbol"), '","t":',
-            F.col("trade_id"), ',"p":"', price, '","q":"', F.col("size_text"), '","T":',
-            F.col("millis"), ',"m":', F.when(F.col("side") == "sell", "true").otherwise("false"),
-            ',"M":true}',
-        )
-
-    plain = trade(F.col("price_text"))
-    return (
-        F.when(kind == 0, F.substring(plain, 1, 40))
-        .when(kind == 1, trade("-1"))
-        .when(kind == 2, _join('{"e":"depthUpdate","s":"', F.col("symbol"), '"}'))
-        .when(
-            kind.isin(3, 4),
-            _join('{"stream":"', F.lower("symbol"), '@trade","data":', plain, "}"),
-        )
-        .otherwise(plain)
+    rows = _events(spark, sf_dir).selectExpr(
+        "exchange AS source",
+        "received_ns",
+        "n % 50 AS kind",
+        "symbol",
+        "side",
+        "trade_id",
+        "CAST(CAST(price AS DECIMAL(18,2)) AS STRING) AS price_text",
+        "CAST(CAST(size AS BIGINT) AS STRING) AS size_text",
+        "CAST(micros DIV 1000 AS STRING) AS millis",
+        f"{_ISO_TIME} AS iso_time",
     )
-
-
-def _coinbase_text() -> Column:
-    kind = F.col("n") % 50
-
-    def trade(
-        suffix: str = "", size: str | Column | None = None, side: str | Column | None = None
-    ) -> Column:
-        return _join(
-            '{"trade_id":"', F.col("trade_id"), suffix, '","product_id":"', F.col("symbol"),
-            '","price":"', F.col("price_text"), '","size":"',
-            F.col("size_text") if size is None else size,
-            '","side":"', F.upper("side") if side is None else side,
-            '","time":"', F.col("iso_time"), '"}',
-        )
-
-    def frame(event: str, *trades: Column, before: str = "") -> Column:
-        return _join(
-            '{"channel":"market_trades","sequence_num":0,"events":[', before,
-            f'{{"type":"{event}","trades":[', F.concat_ws(",", *trades), "]}]}",
-        )
+    text = f"CASE WHEN source = 'binance' THEN {_binance_text()} ELSE {_coinbase_text()} END"
+    return rows.selectExpr("source", f"{text} AS raw", "received_ns")
+
+
+def _binance_text() -> str:
+    def trade(price: str) -> str:
+        return f"""concat('{{"e":"trade","E":', millis, ',"s":"', symbol, '","t":', trade_id,
+          ',"p":"', {price}, '","q":"', size_text, '","T":', millis,
+          ',"m":', CASE side WHEN 'sell' THEN 'true' ELSE 'false' END, ',"M":true}}')"""
+
+    plain = trade("price_text")
+    return f"""
+      CASE kind
+        WHEN 0 THEN substring({plain}, 1, 40)
+        WHEN 1 THEN {trade("'-1'")}
+        WHEN 2 THEN concat('{{"e":"depthUpdate","s":"', symbol, '"}}')
+        ELSE CASE WHEN kind IN (3, 4)
+          THEN concat('{{"stream":"', lower(symbol), '@trade","data":', {plain}, '}}')
+          ELSE {plain} END END"""
+
+
+def _coinbase_text() -> str:
+    def trade(suffix: str = "", size: str = "size_text", side: str = "upper(side)") -> str:
+        return f"""concat('{{"trade_id":"', trade_id, '{suffix}","product_id":"', symbol,
+          '","price":"', price_text, '","size":"', {size}, '","side":"', {side},
+          '","time":"', iso_time, '"}}')"""
+
+    def frame(event: str, *trades: str, before: str = "") -> str:
+        head = '{"channel":"market_trades","sequence_num":0,"events":[' + before
+        head += f'{{"type":"{event}","trades":['
+        return f"""concat('{head}', concat_ws(',', {", ".join(trades)}), ']}}]}}')"""
 
     other = '{"type":"l2_data","trades":[{"side":"LONG"}]},'
-    return (
-        F.when(kind == 0, F.substring(frame("update", trade()), 1, 60))
-        .when(kind == 1, frame("update", trade("a"), trade("b", size="0"), trade("c")))
-        .when(kind == 2, F.lit('{"channel":"subscriptions","events":[{"subscriptions":{}}]}'))
-        .when(kind == 3, frame("snapshot", trade("a"), trade("b")))
-        .when(kind == 4, frame("update", trade(side="LONG")))
-        .when(kind == 5, frame("update", trade(), before=other))
-        .otherwise(frame("update", trade()))
-    )
+    return f"""
+      CASE kind
+        WHEN 0 THEN substring({frame("update", trade())}, 1, 60)
+        WHEN 1 THEN {frame("update", trade("a"), trade("b", size="'0'"), trade("c"))}
+        WHEN 2 THEN '{{"channel":"subscriptions","events":[{{"subscriptions":{{}}}}]}}'
+        WHEN 3 THEN {frame("snapshot", trade("a"), trade("b"))}
+        WHEN 4 THEN {frame("update", trade(side="'LONG'"))}
+        WHEN 5 THEN {frame("update", trade(), before=other)}
+        ELSE {frame("update", trade())} END"""
 
 
 def event_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,39 +146,34 @@ def event_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     1 side, 2 price zero, 3 empty id, 4 a time in 2001, 5 receipt two seconds early,
     6 size not a number, 7 too many decimals, 8 negative size, 9 a far future time.
     """
-    kind = F.col("n") % 20
-    rows = _events(spark, sf_dir)
-    price = F.col("price").cast("decimal(18,2)").cast("string")
-    size = F.col("size").cast("long").cast("string")
-    return rows.select(
-        "exchange",
-        "symbol",
-        F.when(kind == 2, "0").when(kind == 7, _join(price, "0000000000000000001")).otherwise(price)
-        .alias("price"),
-        F.when(kind == 6, "abc").when(kind == 8, _join("-", size)).otherwise(size).alias("size"),
-        F.when(kind == 1, "long").otherwise(F.col("side")).alias("side"),
-        F.when(kind == 4, F.lit(1_000_000_000_000_000_000))
-        .when(kind == 9, F.col("timestamp_ns") + F.lit(630_720_000_000_000_000))
-        .otherwise(F.col("timestamp_ns")).alias("timestamp_ns"),
-        F.when(kind == 5, F.col("timestamp_ns") - F.lit(2_000_000_000))
-        .when(kind == 9, F.col("received_ns") + F.lit(630_720_000_000_000_000))
-        .otherwise(F.col("received_ns")).alias("received_ns"),
-        F.when(kind == 3, "").otherwise(F.col("trade_id")).alias("trade_id"),
-    )
+    price, size = "CAST(CAST(price AS DECIMAL(18,2)) AS STRING)", "CAST(CAST(size AS BIGINT) AS STRING)"
+    return (
+        _events(spark, sf_dir)
+        .selectExpr("*", "n % 20 AS kind")
+        .selectExpr(
+            "exchange",
+            "symbol",
+            f"CASE kind WHEN 2 THEN '0' WHEN 7 THEN {price} || '0000000000000000001' ELSE {price} END AS price",
+            f"CASE kind WHEN 6 THEN 'abc' WHEN 8 THEN '-' || {size} ELSE {size} END AS size",
+            "CASE kind WHEN 1 THEN 'long' ELSE side END AS side",
+            "CASE kind WHEN 4 THEN 1000000000000000000L WHEN 9 THEN timestamp_ns + 630720000000000000L "
+            "ELSE timestamp_ns END AS timestamp_ns",
+            "CASE kind WHEN 5 THEN timestamp_ns - 2000000000L WHEN 9 THEN received_ns + 630720000000000000L "
+            "ELSE received_ns END AS received_ns",
+            "CASE kind WHEN 3 THEN '' ELSE trade_id END AS trade_id",
+        )
+    )
 
 
 def event_write_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A write log as if each feed's day had been written in one batch."""
-    first = F.min("n")
-    return (
-        _events(spark, sf_dir)
-        .withColumn("date", utc_date(F.col("timestamp_ns")))
-        .groupBy("exchange", "symbol", "date")
-        .agg(
-            first.alias("batch_id"),
-            F.count("*").alias("n_ticks"),
-            (first * 7919 % 12_000 / F.lit(1000.0)).alias("latency_s"),
-            F.max("received_ns").alias("at_ns"),
-        )
-        .select("batch_id", "exchange", "symbol", "n_ticks", "latency_s", "at_ns")
+    rows = _with_date(_events(spark, sf_dir)).selectExpr(
+        "exchange", "symbol", "date", "n", "received_ns"
     )
+    batches = rows.groupBy("exchange", "symbol", "date").agg(
+        F.min("n").alias("batch_id"), F.count("*").alias("n_ticks"), F.max("received_ns").alias("at_ns")
+    )
+    return batches.selectExpr(
+        "batch_id", "exchange", "symbol", "n_ticks",
+        "batch_id * 7919 % 12000 / 1000D AS latency_s", "at_ns",
+    )

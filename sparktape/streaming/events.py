@@ -55,7 +55,8 @@ def stream_gaps(ticks: DataFrame, max_gap_seconds: float = 60.0, delay: str = "1
 
     def fold(spans: pd.DataFrame, more: pd.DataFrame) -> pd.DataFrame:
         both = pd.concat([spans, more[["lo", "hi"]]])
-        return both.groupby(both["lo"] // width).agg(lo=("lo", "min"), hi=("hi", "max"))
+        slots = both.groupby((both["lo"] // width).rename("slot"))
+        return slots.agg(lo=("lo", "min"), hi=("hi", "max")).reset_index(drop=True)
 
     def settle(
         feed: tuple[str, str], batches: Iterator[pd.DataFrame], state: GroupState
