@@ -120,15 +120,18 @@ def feed_latency(ticks: DataFrame) -> DataFrame:
 
     Quantiles come from a histogram of fixed width, so a feed's state never grows with it.
     """
-    lag = (F.col("received_ns") - F.col("timestamp_ns")) / F.lit(1e9)
-    rows = ticks.select(*FEED, lag.alias("lag_s"))
+    lag_ns = F.col("received_ns") - F.col("timestamp_ns")
+    rows = ticks.select(*FEED, lag_ns.alias("lag_ns"), (lag_ns / F.lit(1e9)).alias("lag_s"))
     lag_s = F.col("lag_s")
+    # Milliseconds and their rest add up as integers: exact in any order, and far from overflow.
+    whole = F.sum(long_div(F.col("lag_ns"), 1_000_000)).cast("double")
+    rest = F.sum(F.col("lag_ns") % F.lit(1_000_000)).cast("double")
     summary = rows.groupBy(*FEED).agg(
         F.count("*").alias("n_ticks"),
         F.count_if(lag_s < 0).alias("n_negative"),
         F.min(lag_s).alias("min_s"),
         F.max(lag_s).alias("max_s"),
-        F.avg(lag_s).alias("mean_s"),
+        ((whole * 1e6 + rest) / F.count("*") / 1e9).alias("mean_s"),
         _cumulative(lag_s, LATENCY_BOUNDS).alias("c"),
     )
     quantiles = {n: bucket_quantile(F.col("c"), LATENCY_BOUNDS, q) for n, q in QUANTILES.items()}

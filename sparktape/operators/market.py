@@ -11,7 +11,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import bar_start, floor_slot, long_div, ns_to_timestamp, pair_label
+from ..functions.columns import (
+    as_double,
+    bar_start,
+    floor_slot,
+    long_div,
+    ns_to_timestamp,
+    pair_label,
+)
 from ..functions.timeargs import (
     NS_PER_DAY,
     NS_PER_SECOND,
@@ -76,13 +83,10 @@ def trades(
 # -- volume-weighted average price --------------------------------------------------------
 
 
-def _double(name: str) -> Column:
-    return F.col(name).cast("double")
-
-
 def vwap_column() -> Column:
     """sum(price x size) / sum(size) in doubles; NULL without volume."""
-    return F.sum(_double("price") * _double("size")) / F.nullif(F.sum(_double("size")), F.lit(0.0))
+    price, size = as_double("price"), as_double("size")
+    return F.sum(price * size) / F.nullif(F.sum(size), F.lit(0.0))
 
 
 def vwap(
@@ -127,14 +131,14 @@ def bar_columns(*, tie_break: bool = False) -> list[Column]:
     Ordering by the time alone keeps every aggregate in a hash aggregate. With
     `tie_break`, trades of equal time are ordered by trade id, at the cost of a sort.
     """
-    price = _double("price")
+    price = as_double("price")
     when = F.struct("timestamp_ns", "trade_id") if tie_break else F.col("timestamp_ns")
     return [
         F.min_by(price, when).alias("open"),
         F.max(price).alias("high"),
         F.min(price).alias("low"),
         F.max_by(price, when).alias("close"),
-        F.sum(_double("size")).alias("volume"),
+        F.sum(as_double("size")).alias("volume"),
         F.count("*").alias("count"),
     ]
 
@@ -186,7 +190,7 @@ def minute_counts(ticks: DataFrame) -> DataFrame:
     """Trades and mean price per minute and feed; the minute as epoch seconds."""
     minute = F.unix_seconds(F.date_trunc("minute", ns_to_timestamp(F.col("timestamp_ns"))))
     return ticks.groupBy(minute.alias("minute_s"), *FEED).agg(
-        F.count("*").alias("trade_count"), F.avg(_double("price")).alias("avg_price")
+        F.count("*").alias("trade_count"), F.avg(as_double("price")).alias("avg_price")
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.columns import tick_line
 from ..operators.decode import decode_frames, frame_ticks
 from ..schema import PARTITION_COLS, WRITE_LOG
 from ..session import scratch_dir
@@ -49,6 +50,13 @@ def write_tick_stream(
     return writer.trigger(**trigger).start()
 
 
+def print_tick_stream(ticks: DataFrame, *, available_now: bool = False) -> StreamingQuery:
+    """Show a stream of ticks on the console, one line each."""
+    trigger = {"availableNow": True} if available_now else {"processingTime": "1 second"}
+    lines = ticks.select(tick_line().alias("tick"))
+    return lines.writeStream.format("console").option("truncate", False).trigger(**trigger).start()
+
+
 def drain(query: StreamingQuery) -> None:
     """Take in all that has arrived, then stop."""
     query.processAllAvailable()

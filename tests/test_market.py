@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from sparktape import TickLake, append_ticks
+from sparktape.functions.columns import as_double
 from sparktape.operators import market
 from tests.data import BASE_NS, HOUR_NS, ROWS, STEP_NS, ticks_at, two_days, with_gap
 
@@ -120,6 +121,16 @@ def test_exact_notional(spark):
     assert row.volume == Decimal("0.00000006")
 
 
+def test_doubles_are_the_nearest_ones(spark):
+    texts = ["0.1", "67000.12345678", "67432.12345678901234", "0.00000000012345678", "0.000000000000000001",
+             "99999999999999999999.999999999999999999", "12345678901.5", "9007199254740993", "45035996.27370497"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").selectExpr(
+        "t", "CAST(t AS DECIMAL(38,18)) AS price"
+    )
+    for row in rows.select("t", as_double("price").alias("d")).collect():
+        assert row.d == float(row.t)
+
+
 def test_minute_counts(spark):
     rows = market.minute_counts(with_gap(spark)).orderBy("minute_s").collect()
     assert sum(r.trade_count for r in rows) == 200

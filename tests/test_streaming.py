@@ -67,6 +67,14 @@ def test_stop_and_restart_loses_and_doubles_nothing(spark, landing, tmp_path):
     assert same(read_ticks(spark, root), batch)
 
 
+def test_console_lines(spark, landing):
+    stream = streams.tick_stream(sources.stream_frames(spark, landing))
+    query = streams.print_tick_stream(stream, available_now=True)
+    query.awaitTermination()
+    assert query.exception() is None
+    assert query.lastProgress.numInputRows > 0
+
+
 def test_flush_by_size(spark, tmp_path):
     source, root = str(tmp_path / "in"), str(tmp_path / "tree")
     append_ticks(ticks_at(spark, list(range(BASE_NS, BASE_NS + 50))), source)
