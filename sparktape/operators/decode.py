@@ -214,22 +214,32 @@ def decode_frames(
         outcome = decoder.read(f"_{decoder.name}_{len(decoder.stages) - 1}", "_text")
         read = read.when(F.col("source") == decoder.name, outcome)
 
-    fields = {c: f"t.{c}" for c in CANDIDATE_FIELDS}
-    fields |= {"exchange": "source", "received_ns": "received_ns"}
-    reasons = f"transform(_read.trades, t -> {tick_reason(fields, clock_sql(now_ns))})"
+    clock = clock_sql(now_ns)
+
+    def reason_of(trade: str) -> str:
+        fields = {c: f"{trade}.{c}" for c in CANDIDATE_FIELDS}
+        return tick_reason(fields | {"exchange": "source", "received_ns": "received_ns"}, clock)
+
+    # Most frames hold one trade. Its rules run as generated code; array functions do not.
+    reasons = f"""
+      CASE WHEN size(_read.trades) = 1 THEN array({reason_of("get(_read.trades, 0)")})
+           ELSE transform(_read.trades, t -> {reason_of("t")}) END"""
+    first_reason = """
+      CASE WHEN size(_reasons) <= 1 THEN get(_reasons, 0)
+           ELSE get(filter(_reasons, r -> r IS NOT NULL), 0) END"""
     first_bad = "CAST(array_position(transform(_reasons, r -> r IS NOT NULL), true) AS INT)"
     kept = {
         "prefix": f"slice(_read.trades, 1, {first_bad} - 1)",
         "per_trade": "filter(_read.trades, (t, i) -> _reasons[i] IS NULL)",
     }[on_error]
-    any_bad = "exists(_reasons, r -> r IS NOT NULL)"
     staged = (
         rows.withColumn("_read", read.otherwise(failed(NO_DECODER)))
         .withColumn("_reasons", F.expr(reasons))
+        .withColumn("_bad", F.expr(first_reason))
         .selectExpr(
             "source", "raw", "received_ns",
-            f"CASE WHEN {any_bad} THEN {kept} ELSE _read.trades END AS trades",
-            "coalesce(_read.bad, get(filter(_reasons, r -> r IS NOT NULL), 0)) AS reason",
+            f"CASE WHEN _bad IS NULL THEN _read.trades ELSE {kept} END AS trades",
+            "coalesce(_read.bad, _bad) AS reason",
         )
     )
     # A one-element generator: filters on the outcome stay above it. Pushed down to the scan

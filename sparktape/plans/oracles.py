@@ -128,7 +128,7 @@ def _quantiles(observed: str, keys: str, outputs: str = "") -> str:
         f"""round(coalesce(first(
               CASE WHEN cum = below THEN lower_s
                    ELSE lower_s + (upper_s - lower_s) * ({p} * total - below) / (cum - below) END
-              ORDER BY i) FILTER (cum >= {p} * total), {health.LATENCY_BOUNDS[-1]}), 6) AS {name}"""
+              ORDER BY i) FILTER (cum >= {p} * total), {health.LATENCY_BOUNDS[-1]}), 12) AS {name}"""
         for name, p in health.QUANTILES.items()
     )
     return f"""
@@ -366,8 +366,8 @@ def all_oracles() -> dict[str, str]:
         ),
         "m_feed_latency": _events(
             """SELECT exchange, symbol, count(*) AS n_ticks, count(*) FILTER (v < 0) AS n_negative,
-                 round(min(v), 6) AS min_s, round(max(v), 6) AS max_s,
-                 round(CAST(sum(ns) AS DOUBLE) / count(*) / 1e9, 6) AS mean_s,
+                 min(v) AS min_s, max(v) AS max_s,
+                 CAST(sum(ns) AS DOUBLE) / count(*) / 1e9 AS mean_s,
                  any_value(p50) AS p50, any_value(p95) AS p95, any_value(p99) AS p99
                FROM observed JOIN quantiles USING (exchange, symbol) GROUP BY exchange, symbol""",
             _quantiles(

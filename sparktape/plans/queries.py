@@ -224,10 +224,10 @@ _REGISTRY |= {
     "m_written": _log(health.written),
     "m_latency_hist": _log(lambda w: rounded(health.latency_histogram(w), "total_s")),
     "m_latency_q": _log(
-        lambda w: rounded(health.latency_quantiles(w), *health.QUANTILES)
+        lambda w: rounded(health.latency_quantiles(w), *health.QUANTILES, places=12)
     ),
     "m_latency_q_5m": _log(
-        lambda w: rounded(health.latency_quantiles(w, window_s=300), *health.QUANTILES)
+        lambda w: rounded(health.latency_quantiles(w, window_s=300), *health.QUANTILES, places=12)
     ),
     "m_staleness": _ticks(lambda t: health.staleness(t, tables.AS_OF_NS)),
     "m_staleness_level": _ticks(
@@ -260,7 +260,7 @@ _REGISTRY |= {
     ),
     "m_summary": _frames(health.summary),
     "m_feed_latency": _ticks(
-        lambda t: rounded(health.feed_latency(t), "min_s", "max_s", "mean_s", *health.QUANTILES)
+        lambda t: rounded(health.feed_latency(t), *health.QUANTILES, places=12)
     ),
 }
 
