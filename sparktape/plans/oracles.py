@@ -121,8 +121,8 @@ def _bounds() -> str:
     return f"bounds(i, lower_s, upper_s, le) AS (VALUES {rows})"
 
 
-def _quantiles(observed: str, keys: str, outputs: str = "") -> str:
-    """Quantiles of `v` in `observed`, linear inside buckets, next to per-group `outputs`."""
+def _quantiles(observed: str, keys: str) -> str:
+    """Quantiles of `v` in `observed` per group, linear inside buckets."""
     by = f"{keys}," if keys else ""
     picked = ", ".join(
         f"""round(coalesce(first(

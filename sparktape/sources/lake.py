@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -14,27 +15,51 @@ from ..schema import PARTITION_COLS, STORED_COLS, STORED_TICK, TICK_COLS
 STREAM_LOG = "_spark_metadata"
 
 
-def _open(spark: SparkSession, root: str) -> DataFrame | None:
+# Names that stand in a path as they are, whoever wrote the tree.
+_PLAIN_NAME = re.compile(r"[A-Za-z0-9_.-]+")
+
+
+def _directory(name: str, value: str | None) -> str:
+    return f"{name}={value if value and _PLAIN_NAME.fullmatch(value) else '*'}"
+
+
+def _open(
+    spark: SparkSession, root: str, exchange: str | None = None, symbol: str | None = None
+) -> DataFrame | None:
     """Tree at `root`, or None where there is no such path."""
+    root = str(root).rstrip("/")
+    reader = spark.read.schema(STORED_TICK).option("pathGlobFilter", "*.parquet")
+    path = root
+    if (exchange or symbol) and not _is_stream_tree(spark, root):
+        path = f"{root}/{_directory('exchange', exchange)}/{_directory('symbol', symbol)}"
+        reader = reader.option("basePath", root)
     try:
-        return (
-            spark.read.schema(STORED_TICK).option("pathGlobFilter", "*.parquet").parquet(str(root))
-        )
+        return reader.parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
 
 
-def read_ticks(spark: SparkSession, *roots: str) -> DataFrame:
+def read_ticks(
+    spark: SparkSession, *roots: str, exchange: str | None = None, symbol: str | None = None
+) -> DataFrame:
     """Ticks of one or more trees with the path's `date`; no rows where nothing exists yet.
 
     The schema is given, so no file is opened to infer one, and unfinished `.tmp` files
     of other writers are passed over. Trees are read one by one because a tree written by
     a stream keeps its own list of finished files.
+
+    Naming an exchange or a symbol keeps the driver from listing the directories of all
+    the others, which matters in a tree with millions of them.
     """
-    trees = [tree.select(*STORED_COLS) for root in roots if (tree := _open(spark, root)) is not None]
-    return reduce(DataFrame.unionByName, trees) if trees else spark.createDataFrame([], STORED_TICK)
+    found = [_open(spark, root, exchange, symbol) for root in roots]
+    trees = [tree.select(*STORED_COLS) for tree in found if tree is not None]
+    ticks = reduce(DataFrame.unionByName, trees) if trees else spark.createDataFrame([], STORED_TICK)
+    for name, value in (("exchange", exchange), ("symbol", symbol)):
+        if value is not None:
+            ticks = ticks.where(F.col(name) == value)
+    return ticks
 
 
 def read_partition(
@@ -42,12 +67,8 @@ def read_partition(
 ) -> DataFrame:
     """Some columns of one partition; only that directory is read."""
     return (
-        read_ticks(spark, root)
-        .where(
-            (F.col("exchange") == exchange)
-            & (F.col("symbol") == symbol)
-            & (F.col("date") == F.lit(day).cast("date"))
-        )
+        read_ticks(spark, root, exchange=exchange, symbol=symbol)
+        .where(F.col("date") == F.lit(day).cast("date"))
         .select(*columns)
     )
 

@@ -137,6 +137,23 @@ def test_ranges_prune_partitions_and_columns(spark, sf_dir, root):
     assert text.count("HashAggregate") == 2
 
 
+def test_named_feeds_list_only_their_directories(spark, root):
+    for symbol in ("A/B", "AB", "A_B"):
+        append_ticks(ticks_at(spark, [MIDNIGHT - 600, MIDNIGHT], symbol=symbol), root)
+        append_ticks(ticks_at(spark, [MIDNIGHT], exchange="other", symbol=symbol), root)
+    everything = read_ticks(spark, root)
+    for exchange, symbol in [("test", "AB"), (None, "A_B"), (None, "A/B"), ("test", "A/B"), ("other", None),
+                             ("none", "AB"), (None, "A*")]:
+        some = read_ticks(spark, root, exchange=exchange, symbol=symbol)
+        want = everything.where(F.lit(exchange is None) | (F.col("exchange") == exchange)).where(
+            F.lit(symbol is None) | (F.col("symbol") == symbol)
+        )
+        assert some.columns == STORED_COLS
+        assert sorted(some.collect()) == sorted(want.collect())
+    assert len(read_ticks(spark, root, exchange="test", symbol="AB").inputFiles()) == 2
+    assert len(everything.inputFiles()) == 9
+
+
 def test_symbols_read_no_data_column(spark, sf_dir, root):
     append_ticks(tables.event_ticks(spark, sf_dir), root)
     scan = next(l for l in plan(market.symbols(read_ticks(spark, root))).splitlines() if "FileScan" in l)

@@ -67,6 +67,14 @@ def test_stop_and_restart_loses_and_doubles_nothing(spark, landing, tmp_path):
     assert same(read_ticks(spark, root), batch)
 
 
+def test_errors_stream_too(spark, landing, tmp_path):
+    failed = decode.frame_errors(decode.decode_frames(sources.stream_frames(spark, landing)))
+    out = run_to(failed, str(tmp_path / "out"), str(tmp_path / "ck"))
+    batch = decode.frame_errors(decode.decode_frames(sources.read_frames(spark, landing)))
+    assert same(out, batch)
+    assert out.count() > 0
+
+
 def test_console_lines(spark, landing):
     stream = streams.tick_stream(sources.stream_frames(spark, landing))
     query = streams.print_tick_stream(stream, available_now=True)
@@ -103,6 +111,7 @@ def test_uncommitted_stream_files_are_not_read(spark, tmp_path):
     (file,) = root.rglob("*.parquet")
     (file.parent / "part-left-behind.zstd.parquet").write_bytes(file.read_bytes())
     assert read_ticks(spark, str(root)).count() == 1
+    assert read_ticks(spark, str(root), exchange="test", symbol="GAPUSDT").count() == 1
 
 
 def run_to(rows, path, checkpoint):
