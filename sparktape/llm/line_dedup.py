@@ -203,11 +203,11 @@ def _classes(docs: DataFrame, size: int, threshold: float, bands: int, rows: int
     sketch = F.concat(*[F.unhex(F.lpad(F.hex(f"s{i}"), 16, "0")) for i in range(_SKETCH_LONGS)])
     # Bytes beyond a short signature are equal everywhere and say nothing.
     used = min(bands * rows, 8 * _SKETCH_LONGS) / (8 * _SKETCH_LONGS)
+    keys = F.array(*[f"k{i}" for i in range(bands)])
     roots = link_components(
-        nodes.select(F.explode(F.array(*[f"k{i}" for i in range(bands)])).alias("key"), "node"),
+        nodes.select("node", keys.alias("keys"), sketch.alias("sketch")),
         contents_of,
         _similar_udf(size, threshold),
-        nodes.select("node", sketch.alias("sketch")),
         SKETCH_FLOOR * used + (1 - used),
     )
     named = nodes.select("node", "doc_id", "place", "n_docs").join(roots, "node", "left")

@@ -2,9 +2,9 @@
 
 No group is ever gathered in one task, and no task emits all pairs of a group. A bucket
 (the nodes with one band key) is range-partitioned by key *and* node, so that a hot one
-spreads over tasks; each node is paired with the bucket's least node only. What such stars
-leave open, two nodes of a bucket in different components, is compared in blocks of
-bounded size by signature, and every pair that may be similar is verified exactly.
+spreads over tasks; each node is first paired with the most central node that it meets.
+What such stars leave open, two nodes of a bucket in different components, is compared in
+blocks of bounded size by signature, and every pair that may be similar is verified exactly.
 """
 
 from __future__ import annotations
@@ -60,16 +60,31 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(keys[:, 0], keys[:, 1], keys[:, 1], True)
 
 
-def bucket_stars(bands: DataFrame) -> DataFrame:
-    """`(key, node, pivot)` of every node in a bucket of two or more, but for the pivot itself."""
+def bucket_members(bands: DataFrame) -> DataFrame:
+    """`(key, node, n)`: the nodes of each bucket of two or more, and how many it has."""
     spread = bands.select("key", "node").repartitionByRange("key", "node")
     found = materialise(
         spread.sortWithinPartitions("key", "node").mapInArrow(_stars, _STAR), "bucket-stars"
     )
-    edges = found.where("edge").select("key", "node")
-    roots = edges.groupBy("key").agg(F.min("node").alias("pivot"))
-    parts = edges.join(roots, "key").where("node <> pivot")
-    return found.where("not edge").select("key", "node", "pivot").unionByName(parts)
+    members = found.where("not edge").select("key", "node")
+    members = members.unionByName(found.select("key", F.col("pivot").alias("node"))).distinct()
+    sizes = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    return materialise(members.join(sizes, "key"), "bucket-members")
+
+
+def central_pairs(members: DataFrame) -> DataFrame:
+    """`(a, b)`: each node with the most central other node that it shares a bucket with.
+
+    A node is the more central the more nodes its buckets have: the text that many others
+    were made from comes before its copies, which are less like each other than like it.
+    """
+    weight = members.groupBy("node").agg(F.sum("n").alias("weight"))
+    weighed = members.join(weight, "node")
+    rank = F.struct("weight", "node")
+    first = weighed.groupBy("key").agg(F.max(rank).alias("first"))
+    beside = weighed.join(first, "key").where(F.col("node") != F.col("first.node"))
+    best = beside.groupBy("node").agg(F.max("first").alias("first"))
+    return best.select(F.col("node").alias("a"), F.col("first.node").alias("b"))
 
 
 def _fingerprint(links: DataFrame) -> tuple:
@@ -125,25 +140,28 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 def _compare(floor: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches):
-            side, node, root = (block.column(c).to_numpy() for c in ("other", "node", "root"))
-            sketch = block.column("sketch").to_pylist()
-            width = len(sketch[0])
-            sketch = np.frombuffer(b"".join(sketch), np.uint8).reshape(-1, width)
-            left, right = np.flatnonzero(side), np.flatnonzero(~side)
-            for i in left:
-                near = right[root[right] != root[i]]
+            left_side, loose, node, root = (
+                block.column(c).to_numpy() for c in ("side", "loose", "node", "root")
+            )
+            n = len(node)
+            sketch = np.frombuffer(b"".join(block.column("sketch").to_pylist()), np.uint8).reshape(n, -1)
+            keys = np.array(block.column("keys").to_pylist(), np.int64)
+            band = int((keys[0] == block.column("key")[0].as_py()).argmax())
+            right = np.flatnonzero(~left_side)
+            for i in np.flatnonzero(left_side):
+                near = right[(root[right] != root[i]) & (~loose[right] | (node[right] > node[i]))]
+                # A pair is compared in the first bucket that it shares, and only there.
+                near = near[~(keys[near, :band] == keys[i, :band]).any(axis=1)]
                 same = np.count_nonzero(sketch[near] == sketch[i], axis=1)
-                found = node[near[same >= floor * width]]
+                found = node[near[same >= floor * sketch.shape[1]]]
                 if len(found):
                     own = np.full(len(found), node[i])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.minimum(own, found)), pa.array(np.maximum(own, found))], ["a", "b"]
-                    )
+                    yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(found)], ["a", "b"])
 
     return run
 
 
-def open_pairs(members: DataFrame, roots: DataFrame, sketches: DataFrame, floor: float) -> DataFrame:
+def open_pairs(members: DataFrame, roots: DataFrame, nodes: DataFrame, floor: float) -> DataFrame:
     """Pairs of nodes that share a bucket but no component, and whose sketches agree in
     `floor` of their bytes. A bucket's largest component is compared with the others only."""
     named = members.join(roots, "node", "left").select(
@@ -153,49 +171,43 @@ def open_pairs(members: DataFrame, roots: DataFrame, sketches: DataFrame, floor:
     mixed = parts.groupBy("key").agg(
         F.max_by("root", F.struct("n", "root")).alias("main"),
         F.sum("n").alias("n_all"),
-        (F.sum("n") - F.max("n")).alias("n_other"),
+        (F.sum("n") - F.max("n")).alias("n_loose"),
     )
-    mixed = mixed.where("n_other > 0")
-    rows = named.join(mixed, "key").join(sketches, "node")
-    across, down = F.ceil(F.col("n_all") / BLOCK), F.ceil(F.col("n_other") / BLOCK)
+    mixed = mixed.where("n_loose > 0")
+    rows = named.join(mixed, "key").join(nodes.select("node", "keys", "sketch"), "node")
+    across, down = F.ceil(F.col("n_all") / BLOCK), F.ceil(F.col("n_loose") / BLOCK)
 
     def place(blocks: Column) -> Column:
         return F.pmod(F.xxhash64("node"), blocks)
 
-    kept = ["key", "node", "root", "sketch"]
-    left = rows.where("root <> main").select(
-        *kept,
-        place(down).alias("i"),
-        F.explode(F.sequence(F.lit(0).cast("long"), across - 1)).alias("j"),
-        F.lit(True).alias("other"),
-    )
-    right = rows.select(
-        *kept,
-        F.explode(F.sequence(F.lit(0).cast("long"), down - 1)).alias("i"),
-        place(across).alias("j"),
-        F.lit(False).alias("other"),
+    def every(blocks: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
+
+    rows = rows.withColumn("loose", F.col("root") != F.col("main"))
+    kept = ["key", "node", "root", "loose", "keys", "sketch"]
+    left = rows.where("loose").select(
+        *kept, place(down).alias("i"), every(across).alias("j"), F.lit(True).alias("side")
     )
+    right = rows.select(*kept, every(down).alias("i"), place(across).alias("j"), F.lit(False).alias("side"))
     blocks = left.unionByName(right).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return blocks.mapInArrow(_compare(floor), "a long, b long").distinct()
+    return blocks.mapInArrow(_compare(floor), "a long, b long")
 
 
 def link_components(
-    bands: DataFrame,
+    nodes: DataFrame,
     contents_of: Callable[[DataFrame], DataFrame],
     similar: Callable[[Column, Column], Column],
-    sketches: DataFrame,
     floor: float,
 ) -> DataFrame:
     """`(node, root)` of the nodes that are linked with another one.
 
-    `bands` has `(key, node)`; `contents_of` turns a table of nodes into `(node, content)`;
-    `similar` decides on two contents; `sketches` has `(node, sketch)`, and pairs whose
-    sketches agree in less than `floor` of their bytes are taken as not similar.
+    `nodes` has `(node, keys, sketch)`: an id, band keys and some bytes of the signature;
+    `contents_of` turns a table of nodes into `(node, content)`; `similar` decides on two
+    contents. Pairs whose sketches agree in less than `floor` of their bytes are taken as
+    not similar.
     """
-    stars = materialise(bucket_stars(bands), "stars")
-    nearest = stars.groupBy("node").agg(F.min("pivot").alias("pivot"))
-    nodes = stars.select("node").unionByName(stars.select(F.col("pivot").alias("node"))).distinct()
-    contents = materialise(contents_of(nodes), "contents")
+    members = bucket_members(nodes.select(F.explode("keys").alias("key"), "node"))
+    contents = materialise(contents_of(members.select("node").distinct()), "contents")
 
     def verified(pairs: DataFrame) -> DataFrame:
         one = contents.select(F.col("node").alias("a"), F.col("content").alias("content_a"))
@@ -203,12 +215,9 @@ def link_components(
         both = pairs.join(one, "a").join(two, "b")
         return both.where(similar(F.col("content_a"), F.col("content_b"))).select("a", "b")
 
-    pairs = nearest.select(F.col("node").alias("a"), F.col("pivot").alias("b"))
-    links = materialise(verified(pairs), "links")
+    links = materialise(verified(central_pairs(members)), "links")
     roots = connected(links)
-    members = stars.select("key", "node").unionByName(stars.select("key", F.col("pivot").alias("node")))
-    rest = open_pairs(members.distinct(), roots, sketches, floor)
-    more = materialise(verified(rest), "links")
+    more = materialise(verified(open_pairs(members, roots, nodes, floor)), "links")
     if more.isEmpty():
         return roots
     return connected(links.unionByName(more))
