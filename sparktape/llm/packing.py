@@ -6,10 +6,12 @@ number of documents; each group is packed online with a fixed number of open bin
 
 from __future__ import annotations
 
+import base64
 import functools
-import re
+import os
 import zlib
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -25,70 +27,57 @@ END_ID = 2
 # all that packing in groups can cost.
 OPEN_BINS = 1024
 GROUP_DOCS = 25_000
-# Cached words per task.
-CACHED = 300_000
 
 
-def default_tokenizer() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.json")
+class Vocabulary(NamedTuple):
+    """A byte-level BPE vocabulary: the file for `tokenizers`, and optionally the same one as
+    ranks for `tiktoken` with the pattern that splits texts."""
 
+    tokenizer: str
+    ranks: str | None = None
+    pattern: str = ""
 
-@functools.lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    import os
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are the parallelism
-    from tokenizers import Tokenizer
+def default_vocabulary() -> Vocabulary:
+    import public_tokenizers
 
-    return Tokenizer.from_file(path)
+    path = public_tokenizers.path
+    return Vocabulary(path("byte_bpe_50k.json"), path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 class Encoder:
-    """Token ids of texts as little-endian 32-bit bytes, through a cache of words.
+    """Token ids of texts, as `tokenizers` gives them without adding special tokens.
 
-    Byte-level pre-tokenising starts a new word at a space that has no white space on both
-    sides, so a text is encoded as its parts between such spaces, each with the space
-    before it. A text where white space stands on both sides of a space is encoded whole.
+    Given ranks, `tiktoken` finds the same ids four times as fast; texts that spell out an
+    added token still go through `tokenizers`, which takes it for that token.
     """
 
-    _JOINED = re.compile(r"\s (?:\s|\Z)")
-
-    def __init__(self, path: str, cached: int = CACHED):
-        self.tokenizer, self.cached = _tokenizer(path), cached
-        self.words: dict[str, bytes | None] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def _learn(self, words: set[str]) -> None:
-        new = [w for w in words if w and not w[0].isspace()]
-        self.words.update(zip(new, self._encode([f" {w}" for w in new]), strict=True))
-        for word in words:  # such a space may belong to a run of white space
-            self.words.setdefault(word, None)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [text.split(" ") for text in texts]
-        if len(self.words) > self.cached:
-            self.words.clear()
-        missing = {w for p in parts for w in p[1:] if w not in self.words}
-        if missing:
-            self._learn(missing)
-        firsts = self._encode([p[0] for p in parts])
-        out = []
-        for text, part, first in zip(texts, parts, firsts, strict=True):
-            known = list(map(self.words.__getitem__, part[1:]))
-            if None in known:
-                if self._JOINED.search(text):
-                    out.append(self._encode([text])[0])
-                    continue
-                odd = self._encode([f" {w}" for w, k in zip(part[1:], known, strict=True) if k is None])
-                odd.reverse()
-                known = [odd.pop() if k is None else k for k in known]
-            out.append(first + b"".join(known))
-        return out
+    def __init__(self, vocabulary: Vocabulary):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are the parallelism
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(vocabulary.tokenizer)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.ranked = None
+        if vocabulary.ranks:
+            import tiktoken
+
+            with open(vocabulary.ranks, "rb") as lines:
+                ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+            self.ranked = tiktoken.Encoding(
+                "ranked", pat_str=vocabulary.pattern, mergeable_ranks=ranks, special_tokens={}
+            )
+
+    def encode(self, text: str) -> bytes:
+        """The ids as little-endian 32-bit numbers."""
+        if self.ranked is None or any(token in text for token in self.added):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return self.ranked.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+
+
+@functools.lru_cache(maxsize=2)
+def _encoder(vocabulary: Vocabulary) -> Encoder:
+    return Encoder(vocabulary)
 
 
 def cut(n: int, size: int) -> list[tuple[int, int]]:
@@ -100,24 +89,22 @@ def cut(n: int, size: int) -> list[tuple[int, int]]:
 _PIECE = "piece:int,start:long,length:long,ids_crc32:long"
 
 
-def _pieces_udf(path: str, size: int, end_id: int, with_ids: bool) -> Callable[[Column], Column]:
+def _pieces_udf(vocabulary: Vocabulary, size: int, end_id: int, with_ids: bool) -> Callable[[Column], Column]:
     end = np.array([end_id], "<u4").tobytes()
     fields = [("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
     fields += [("ids", pa.binary())] if with_ids else []
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = Encoder(path)
+        encoder = _encoder(vocabulary)
         for texts in batches:
             counts, rows = [], []
-            values = ["" if t is None else t for t in texts.to_pylist()]
-            for low in range(0, len(values), 512):
-                for ids in encoder.encode(values[low : low + 512]):
-                    ids += end
-                    found = cut(len(ids) // 4, size)
-                    counts.append(len(found))
-                    for k, (start, length) in enumerate(found):
-                        own = ids[4 * start : 4 * (start + length)]
-                        rows.append((k, start, length, zlib.crc32(own), own))
+            for text in texts:
+                ids = encoder.encode(text.as_py() or "") + end
+                found = cut(len(ids) // 4, size)
+                counts.append(len(found))
+                for k, (start, length) in enumerate(found):
+                    own = ids[4 * start : 4 * (start + length)]
+                    rows.append((k, start, length, zlib.crc32(own), own if with_ids else None))
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
             arrays = [pa.array(c, kind) for c, (_, kind) in zip(columns, fields, strict=False)]
             pieces = pa.StructArray.from_arrays(arrays, [name for name, _ in fields])
@@ -131,7 +118,7 @@ def _pieces_udf(path: str, size: int, end_id: int, with_ids: bool) -> Callable[[
 def token_pieces(
     docs: DataFrame,
     *,
-    tokenizer: str | None = None,
+    vocabulary: Vocabulary | None = None,
     size: int = SEQUENCE_TOKENS,
     end_id: int = END_ID,
     with_ids: bool = False,
@@ -141,7 +128,7 @@ def token_pieces(
     A document is its ids and `end_id`; a null text is empty, so it is `end_id` alone. Only
     documents of more than `size` ids are cut, into pieces of `size`, the first one shorter.
     """
-    pieces = _pieces_udf(tokenizer or default_tokenizer(), size, end_id, with_ids)
+    pieces = _pieces_udf(vocabulary or default_vocabulary(), size, end_id, with_ids)
     rows = docs.select("doc_id", F.explode(pieces(F.col("text").cast("string"))).alias("p"))
     return rows.select("doc_id", "p.*")
 
