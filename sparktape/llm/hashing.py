@@ -8,6 +8,7 @@ about 2^-64.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -192,6 +193,41 @@ def superminhash(values: np.ndarray, bounds: np.ndarray, size: int) -> np.ndarra
     return signature
 
 
+@functools.lru_cache(maxsize=4)
+def _probes(size: int) -> np.ndarray:
+    """For each place an order of all places in which to look for a value to borrow."""
+    draws = mix64(np.arange(1, size * size + 1, dtype=U) * GOLDEN).reshape(size, size)
+    return draws.argsort(axis=1)
+
+
+def one_permutation(values: np.ndarray, bounds: np.ndarray, size: int) -> np.ndarray:
+    """MinHash signatures by one permutation, one row of `size` values per set.
+
+    The permuted elements fall into `size` places, each of which keeps its least; an empty
+    place borrows from the first one that is not, in an order of its own that is the same
+    for all sets. An empty set keeps the largest value throughout.
+    """
+    n = len(bounds) - 1
+    signature = np.full((n, size), EMPTY)
+    flat = signature.reshape(-1)
+    x = values * GOLDEN
+    x ^= x >> U(29)
+    x *= U(0xBF58476D1CE4E5B9)
+    place = ((x >> U(40)) * U(size) >> U(24)).astype(np.int64)
+    place += np.repeat(np.arange(n) * size, np.diff(bounds))
+    np.minimum.at(flat, place, x & U((1 << 40) - 1))
+    own, probes = signature.copy(), _probes(size)
+    empty = np.flatnonzero((flat == EMPTY) & np.repeat(np.diff(bounds) > 0, size))
+    for turn in range(size):
+        if not len(empty):
+            break
+        row, at = empty // size, empty % size
+        found = own[row, probes[at, turn]]
+        flat[empty] = found
+        empty = empty[found == EMPTY]
+    return signature
+
+
 def band_keys(signature: np.ndarray, rows: int) -> np.ndarray:
     """One key per band of `rows` neighbouring signature values."""
     n, size = signature.shape
@@ -204,16 +240,23 @@ def band_keys(signature: np.ndarray, rows: int) -> np.ndarray:
     return mix64(keys).view(np.int64)
 
 
+def low_bits(signature: np.ndarray) -> np.ndarray:
+    """The low four bits of each signature value, sixteen to a long."""
+    bits = (signature & U(15)).astype(np.uint8)
+    return np.ascontiguousarray(bits[:, ::2] | (bits[:, 1::2] << 4)).view(np.int64)
+
+
+def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Similarity of the sets behind rows of low bits (as bytes): the share of equal values,
+    less those that are equal by chance."""
+    apart = a ^ b
+    same = np.count_nonzero(apart & 15 == 0, axis=1) + np.count_nonzero(apart >> 4 == 0, axis=1)
+    share = same / (2 * a.shape[1])
+    return share - (1 - share) / 15
+
+
 def lists(values: pa.Array, sizes: np.ndarray) -> pa.Array:
     """List array with `sizes[i]` of the values in row i."""
     return pa.ListArray.from_arrays(
         pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), values
     )
-
-
-def binaries(rows: np.ndarray) -> pa.Array:
-    """Binary array of the bytes of each row of a matrix."""
-    n, width = rows.shape[0], rows.shape[1] * rows.itemsize
-    offsets = np.arange(n + 1, dtype=np.int32) * np.int32(width)
-    data = pa.py_buffer(np.ascontiguousarray(rows))
-    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), data])

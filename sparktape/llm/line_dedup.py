@@ -1,14 +1,16 @@
 """Operator 2: near-duplicate lines by MinHash over character shingles.
 
-Lines that are equal after normalising are one node. A node's signature (correlated-rank
-MinHash, 48 values in 12 bands of 4) finds a pair at the threshold of 0.8 with probability
-0.998 and nearly all pairs above it; candidates are verified on their shingle sets, and
+Lines that are equal after normalising are one node. A node's signature is
+one-permutation MinHash; 10 bands of 4 values find a pair at the threshold of 0.8 with
+probability 0.995 and nearly all pairs above it; candidates are verified on their shingle sets, and
 union-find keeps one line of each component: the first, by doc_id and place.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,16 +24,24 @@ from .tables import free_names, in_filter, key_filter, materialise
 
 SHINGLE_CHARS = 8
 THRESHOLD = 0.8
-BANDS, ROWS = 12, 4
-# Share of equal signature bytes below which a pair is not taken for a candidate (four
-# standard deviations under 0.8 at 48 values).
-SKETCH_FLOOR = 0.57
-_SKETCH_LONGS = 6
-
-
-def normal_line(line: str) -> str:
-    """The line in lower case with single spaces; empty for a blank one."""
-    return " ".join(line.lower().split())
+BANDS, ROWS = 10, 4
+# Values of a signature; four bits of each are compared before a pair is verified.
+VALUES = 128
+_RARE = "\t\r\x0b\x0c"
+_RUN = re.compile(r"[ \t\n\r\x0b\x0c]+")
+# Similarity that sketches must suggest for a pair to be verified (three standard deviations
+# under 0.8 at 128 values).
+SKETCH_FLOOR = 0.69
+_BASE = 0xD1342543DE82EF95
+
+
+def normal_lines(text: str) -> list[str]:
+    """The lines of a text in lower case, with single spaces for runs of ASCII white space and
+    none at the ends; empty for a blank one."""
+    text = text.lower()
+    if "  " in text or any(c in text for c in _RARE):
+        return [_RUN.sub(" ", line).strip(" ") for line in text.split("\n")]
+    return [line.strip(" ") for line in text.split("\n")]
 
 
 def _identity(line: str) -> bytes:
@@ -43,8 +53,7 @@ def _lines(texts: list[str | None]) -> tuple[list[str], list[int], list[int]]:
     lines, places, counts = [], [], []
     for text in texts:
         before = len(lines)
-        for at, raw in enumerate((text or "").split("\n")):
-            line = normal_line(raw)
+        for at, line in enumerate(normal_lines(text or "")):
             if line:
                 lines.append(line)
                 places.append(at)
@@ -52,47 +61,54 @@ def _lines(texts: list[str | None]) -> tuple[list[str], list[int], list[int]]:
     return lines, places, counts
 
 
-def _first_lines(texts: list[str | None]) -> tuple[list[str], list[int], list[int]]:
-    """As `_lines`, but each line once per text."""
+def _first_lines(texts: list[str | None]) -> tuple[list[str], list[tuple[int, int]], list[int]]:
+    """As `_lines`, but each line once per text, with its first place and how often it is there."""
     lines, places, counts = _lines(texts)
-    kept, at = [], 0
+    kept, where, at = [], [], 0
     for i, n in enumerate(counts):
-        seen: dict[str, int] = {}
-        for k in range(at, at + n):
-            seen.setdefault(lines[k], k)
-        kept += seen.values()
-        at, counts[i] = at + n, len(seen)
-    return [lines[k] for k in kept], [places[k] for k in kept], counts
+        own = lines[at : at + n]
+        times = Counter(own)
+        kept += times
+        where += [(places[at + own.index(line)], k) for line, k in times.items()] if len(times) < n else [
+            (place, 1) for place in places[at : at + n]
+        ]
+        at, counts[i] = at + n, len(times)
+    return kept, where, counts
 
 
 def _shingle_hashes(lines: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the runs of `size` characters of each line (repeats included), and where
-    each line's start; a shorter line is one run."""
+    """Hashes of the runs of `size` characters of each line (repeats included, not mixed),
+    and where each line's start; a shorter line is one run."""
     lengths = np.array([len(line) for line in lines], np.int64)
     starts = np.concatenate([[0], np.cumsum(lengths)])
-    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
-    values = hashing.mix64(codes.astype(np.uint64) + hashing.GOLDEN)
-    weights = hashing._weights(size)
-    runs = values * weights[0]
-    for j in range(1, size):
-        runs[:-j] += values[j:] * weights[j]
+    runs = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    # Polynomials over ever longer runs: of a length by two of half of it.
+    have, base = 1, _BASE
+    while have < size:
+        step = min(have, size - have)
+        power = pow(base, step, 1 << 64)
+        longer = runs * np.uint64(power)
+        longer[:-step] += runs[step:]
+        # Where the two halves overlap, the overlap counts twice: as good a hash of the run.
+        runs, have = longer, have + step
+    valid = np.ones(len(runs), bool)
     per = np.maximum(lengths - size + 1, 1)
-    bounds = np.concatenate([[0], np.cumsum(per)])
-    index = np.repeat(starts[:-1] - bounds[:-1], per) + np.arange(bounds[-1])
-    found = runs[index]
+    ends = starts[1:]
+    for back in range(1, size):
+        at = ends - back
+        valid[at[(at > starts[:-1]) & (lengths > 0)]] = False
     for i in np.flatnonzero(lengths < size):
-        digest = np.frombuffer(_identity(lines[i]), np.uint64)
-        found[bounds[i]] = digest[0]
-    return hashing.mix64(found), bounds
+        runs[starts[i]] = np.frombuffer(_identity(lines[i]), np.uint64)[0]
+    return runs[valid], np.concatenate([[0], np.cumsum(per)])
 
 
 def _line_type(bands: int) -> tuple[str, list[str]]:
-    names = ["line_no", "fp1", "fp2", *(f"k{i}" for i in range(bands)), *(f"s{i}" for i in range(_SKETCH_LONGS))]
+    names = ["line_no", "times", "fp1", "fp2", *(f"k{i}" for i in range(bands)), *(f"s{i}" for i in range(VALUES // 16))]
     return f"array<struct<{','.join(f'{n}:long' for n in names)}>>", names
 
 
 def _marks_udf(size: int, bands: int, rows: int) -> Callable[[Column], Column]:
-    """First place, identity, band keys and sketch of the different lines of each text."""
+    """First place, number, identity, band keys and sketch of the different lines of each text."""
     kind, names = _line_type(bands)
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -104,13 +120,10 @@ def _marks_udf(size: int, bands: int, rows: int) -> Callable[[Column], Column]:
                 columns = np.zeros((len(names), len(lines)), np.int64)
                 if lines:
                     digests = np.frombuffer(b"".join(map(_identity, lines)), np.int64).reshape(-1, 2)
-                    signature = hashing.superminhash(*_shingle_hashes(lines, size), bands * rows)
-                    sketch = np.zeros((len(lines), 8 * _SKETCH_LONGS), np.uint8)
-                    width = min(sketch.shape[1], signature.shape[1])
-                    sketch[:, :width] = signature[:, :width].astype(np.uint8)
-                    columns[0], columns[1:3] = places, digests.T
-                    columns[3 : 3 + bands] = hashing.band_keys(signature, rows).T
-                    columns[3 + bands :] = sketch.view(np.int64).T
+                    signature = hashing.one_permutation(*_shingle_hashes(lines, size), VALUES)
+                    columns[:2], columns[2:4] = np.array(places).T, digests.T
+                    columns[4 : 4 + bands] = hashing.band_keys(signature[:, : bands * rows], rows).T
+                    columns[4 + bands :] = hashing.low_bits(signature).T
                 found = pa.StructArray.from_arrays([pa.array(c) for c in columns], names)
                 parts.append(hashing.lists(found, np.array(counts, np.int64)))
             yield pa.concat_arrays(parts)
@@ -118,68 +131,71 @@ def _marks_udf(size: int, bands: int, rows: int) -> Callable[[Column], Column]:
     return F.arrow_udf(run, kind)
 
 
-def _places_udf() -> Callable[[Column], Column]:
-    """Place and identity of each line of each text."""
-    fields = ["line_no", "fp1", "fp2"]
+_SHARED = "struct<n_lines:long,shared:array<struct<line_no:long,node:long,content:binary>>>"
 
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            lines, places, counts = _lines(texts.to_pylist())
-            digests = np.frombuffer(b"".join(map(_identity, lines)), np.int64).reshape(-1, 2)
-            arrays = [pa.array(places, pa.int64()), pa.array(digests[:, 0]), pa.array(digests[:, 1])]
-            found = pa.StructArray.from_arrays(arrays, fields)
-            yield hashing.lists(found, np.array(counts, np.int64))
 
-    return F.arrow_udf(run, "array<struct<line_no:long,fp1:long,fp2:long>>")
+def _shared_udf(docs_wanted, nodes_wanted) -> Callable[[Column, Column], Column]:
+    """How many lines each text has, and place and identity of those whose identity is in the
+    filter; also the line itself, if its text is in the filter too."""
 
-
-def _wanted_udf(wanted) -> Callable[[Column], Column]:
-    """The lines of each text whose identity is in the filter."""
-
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            lines, _, counts = _lines(texts.to_pylist())
-            nodes = np.frombuffer(b"".join(map(_identity, lines)), np.int64).reshape(-1, 2)[:, 0]
-            hit = in_filter(wanted.value, nodes)
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for keys, texts in batches:
+            lines, places, counts = _lines(texts.to_pylist())
+            node = np.frombuffer(b"".join(map(_identity, lines)), np.int64).reshape(-1, 2)[:, 0]
+            hit = np.flatnonzero(in_filter(nodes_wanted.value, node))
+            whole = in_filter(docs_wanted.value, keys.to_numpy(zero_copy_only=False))
             owner = np.repeat(np.arange(len(counts)), counts)[hit]
-            content = [lines[i].encode("utf-8", "surrogatepass") for i in np.flatnonzero(hit)]
+            content = [
+                lines[i].encode("utf-8", "surrogatepass") if whole[o] else None
+                for i, o in zip(hit, owner, strict=True)
+            ]
             found = pa.StructArray.from_arrays(
-                [pa.array(nodes[hit]), pa.array(content, pa.binary())], ["node", "content"]
+                [pa.array(np.array(places, np.int64)[hit]), pa.array(node[hit]), pa.array(content, pa.binary())],
+                ["line_no", "node", "content"],
             )
-            yield hashing.lists(found, np.bincount(owner, minlength=len(counts)))
+            shared = hashing.lists(found, np.bincount(owner, minlength=len(counts)))
+            yield pa.StructArray.from_arrays([pa.array(counts, pa.int64()), shared], ["n_lines", "shared"])
 
-    return F.arrow_udf(run, "array<struct<node:long,content:binary>>")
+    return F.arrow_udf(run, _SHARED)
 
 
 def shingle_set(line: str, size: int) -> set[str]:
     return {line[i : i + size] for i in range(max(1, len(line) - size + 1))}
 
 
-def _similar_udf(size: int, threshold: float) -> Callable[[Column, Column], Column]:
+def similar_lines(size: int, threshold: float) -> Callable[[list[bytes], np.ndarray, np.ndarray], np.ndarray]:
+    """Decides which pairs (by index) of lines have shingle sets, as 64-bit hashes, of a
+    Jaccard similarity that is high enough."""
     percent = round(threshold * 100)
 
-    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for left, right in batches:
-            out = []
-            for one, two in zip(left.to_pylist(), right.to_pylist(), strict=True):
-                a = shingle_set(one.decode("utf-8", "surrogatepass"), size)
-                b = shingle_set(two.decode("utf-8", "surrogatepass"), size)
-                shared = len(a & b)
-                out.append(100 * shared >= percent * (len(a) + len(b) - shared))
-            yield pa.array(out, pa.bool_())
+    def decide(lines: list[bytes], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        used, index = np.unique(np.concatenate([a, b]), return_inverse=True)
+        texts = [lines[i].decode("utf-8", "surrogatepass") for i in used]
+        if not texts:
+            return np.zeros(0, bool)
+        values, bounds = hashing.distinct(*_shingle_hashes(texts, size))
+        sets = [values[low:high] for low, high in zip(bounds, bounds[1:], strict=False)]
+        out = np.zeros(len(a), bool)
+        for k, (one, two) in enumerate(zip(index[: len(a)], index[len(a) :], strict=True)):
+            both = np.concatenate([sets[one], sets[two]])
+            both.sort()
+            shared = int(np.count_nonzero(both[1:] == both[:-1]))
+            out[k] = 100 * shared >= percent * (len(both) - shared)
+        return out
 
-    return F.arrow_udf(run, "boolean")
+    return decide
 
 
 def _place(line_no: str) -> Column:
     """Order of lines by doc_id, nulls last, then place."""
     doc = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.expr("9223372036854775808BD"))
-    return (doc * F.lit(2**32).cast("decimal(10,0)")).cast("decimal(38,0)") + F.col(line_no)
+    place = (doc * F.expr("4294967296BD")).cast("decimal(38,0)") + F.col(line_no)
+    return place.cast("decimal(38,0)")
 
 
-def _classes(docs: DataFrame, size: int, threshold: float, bands: int, rows: int) -> DataFrame:
-    """`node, root, owner, place, n_docs`: the component of each different line, the least
-    doc_id that has a line of it, that line's place, and how many documents' lines it has."""
+def _dropped(docs: DataFrame, size: int, threshold: float, bands: int, rows: int) -> DataFrame:
+    """`doc_id, n_lines, shared, dropped` of each document row: of its lines those that may be
+    in a class with others, and of these the ones that are not kept, with their class."""
     text = F.col("text").cast("string")
     _, names = _line_type(bands)
     found = docs.select("doc_id", F.explode(_marks_udf(size, bands, rows)(text)).alias("m"))
@@ -188,41 +204,44 @@ def _classes(docs: DataFrame, size: int, threshold: float, bands: int, rows: int
         .groupBy(F.col("fp1").alias("node"), "fp2")
         .agg(
             F.min("doc_id").alias("doc_id"),
-            F.min(_place("line_no").cast("decimal(38,0)")).alias("place"),
-            F.count("*").alias("n_docs"),
-            *[F.max(n).alias(n) for n in names[3:]],
+            F.min(_place("line_no")).alias("place"),
+            F.sum("times").alias("n_lines"),
+            *[F.max(n).alias(n) for n in names[4:]],
         )
     )
+    keys, sketch = F.array(*names[4 : 4 + bands]), F.array(*names[4 + bands :])
+    nodes = nodes.select("node", "doc_id", "place", "n_lines", keys.alias("keys"), sketch.alias("sketch"))
     nodes = materialise(nodes, "line-nodes")
+    narrow = nodes.select("node", "doc_id", "place", "n_lines")
+    scanned: list[DataFrame] = []
 
     def contents_of(wanted: DataFrame) -> DataFrame:
-        keys = key_filter(wanted, F.col("node"))
-        lines = docs.select(F.explode(_wanted_udf(keys)(text)).alias("s")).select("s.*")
-        return lines.dropDuplicates(["node"]).join(wanted, "node", "left_semi")
-
-    sketch = F.concat(*[F.unhex(F.lpad(F.hex(f"s{i}"), 16, "0")) for i in range(_SKETCH_LONGS)])
-    # Bytes beyond a short signature are equal everywhere and say nothing.
-    used = min(bands * rows, 8 * _SKETCH_LONGS) / (8 * _SKETCH_LONGS)
-    keys = F.array(*[f"k{i}" for i in range(bands)])
-    roots = link_components(
-        nodes.select("node", keys.alias("keys"), sketch.alias("sketch")),
-        contents_of,
-        _similar_udf(size, threshold),
-        SKETCH_FLOOR * used + (1 - used),
-    )
-    named = nodes.select("node", "doc_id", "place", "n_docs").join(roots, "node", "left")
+        owners = narrow.join(wanted, "node", "left_semi")
+        many = narrow.where("n_lines > 1").select("node").unionByName(wanted)
+        shared = _shared_udf(key_filter(owners, F.xxhash64("doc_id")), key_filter(many, F.col("node")))
+        found = docs.select("doc_id", shared(F.xxhash64("doc_id"), text).alias("s"))
+        scanned.append(materialise(found.select("doc_id", "s.*"), "shared-lines"))
+        held = scanned[0].select(F.explode("shared").alias("l")).where("l.content is not null")
+        return held.select("l.node", "l.content").dropDuplicates(["node"]).join(wanted, "node", "left_semi")
+
+    roots = link_components(nodes, contents_of, similar_lines(size, threshold), SKETCH_FLOOR, small=True)
+    # Any other line is alone in its class.
+    named = narrow.join(roots, "node", "left").where("n_lines > 1 or root is not null")
     named = named.withColumn("root", F.coalesce("root", "node"))
-    classes = named.groupBy("root").agg(
-        F.min("doc_id").alias("owner"), F.min("place").alias("place"), F.sum("n_docs").alias("n_docs")
+    classes = named.groupBy("root").agg(F.min("doc_id").alias("owner"), F.min("place").alias("first"))
+    classes = named.select("node", "root").join(classes, "root")
+    lines = scanned[0].select("doc_id", F.explode("shared").alias("l"))
+    lines = lines.select("doc_id", "l.line_no", "l.node").join(classes, "node")
+    line = F.struct("line_no", "node", F.col("root").alias("class_id"), F.col("owner").alias("class_doc_id"))
+    gone = lines.where(_place("line_no") != F.col("first"))
+    gone = gone.groupBy(F.col("doc_id").alias("gone_of")).agg(F.array_sort(F.collect_set(line)).alias("gone"))
+    own = F.transform("shared", lambda s: F.struct(s["line_no"], s["node"]))
+    joined = scanned[0].join(gone, F.col("doc_id").eqNullSafe(F.col("gone_of")), "left")
+    # Of rows with one doc_id, each loses only lines of its own.
+    mine = F.filter(
+        "gone", lambda g: F.array_contains(own, F.struct(g["line_no"].alias("line_no"), g["node"].alias("node")))
     )
-    return named.select("node", "root").join(classes, "root")
-
-
-def _classified(docs: DataFrame, size: int, threshold: float, bands: int, rows: int) -> DataFrame:
-    classes = _classes(docs, size, threshold, bands, rows)
-    lines = docs.select("doc_id", F.explode(_places_udf()(F.col("text").cast("string"))).alias("l"))
-    lines = lines.select("doc_id", "l.line_no", F.col("l.fp1").alias("node"))
-    return lines.join(classes, "node").withColumn("kept", _place("line_no") == F.col("place"))
+    return joined.select("doc_id", "n_lines", F.coalesce(mine, F.array()).alias("dropped"))
 
 
 def duplicate_lines(
@@ -233,22 +252,27 @@ def duplicate_lines(
     bands: int = BANDS,
     rows: int = ROWS,
 ) -> DataFrame:
-    """One row per line that is not blank: `doc_id, line_no, class_id, class_doc_id, class_docs, kept`.
-
-    Lines end at a line feed and count from 0. They are compared in lower case with single
-    spaces, as sets of runs of `shingle_chars` characters (a shorter line is one run), and
-    linked at a Jaccard similarity of `threshold`. Of each class the first line of the
-    least doc_id is kept; `class_docs` counts different lines of a class, once per
-    document. A null or blank text has no line; a null doc_id is larger than any other.
+    """One row per document: `doc_id, n_lines, n_kept, dropped`.
+
+    Lines end at a line feed and count from 0; blank ones count as none. They are compared
+    in lower case with single spaces, as sets of runs of `shingle_chars` characters (a
+    shorter line is one run), and linked at a Jaccard similarity of `threshold`. Of each
+    class of linked lines the first line of the least doc_id is kept. `dropped` lists the
+    others of a document: line_no, class_id and class_doc_id, the document that keeps the
+    class's line. A null or blank text has no line; a null doc_id is larger than any other.
     Rows of one doc_id are one document: a line at the same place of several is kept in all.
     """
-    return _classified(docs, shingle_chars, threshold, bands, rows).select(
-        "doc_id",
-        "line_no",
-        F.col("root").alias("class_id"),
-        F.col("owner").alias("class_doc_id"),
-        F.col("n_docs").alias("class_docs"),
-        "kept",
+    found = _dropped(docs, shingle_chars, threshold, bands, rows)
+    dropped = F.transform(
+        "dropped",
+        lambda d: F.struct(
+            d["line_no"].alias("line_no"),
+            d["class_id"].alias("class_id"),
+            d["class_doc_id"].alias("class_doc_id"),
+        ),
+    )
+    return found.select(
+        "doc_id", "n_lines", (F.col("n_lines") - F.size("dropped")).alias("n_kept"), dropped.alias("dropped")
     )
 
 
@@ -264,11 +288,12 @@ def _rest_udf() -> Callable[[Column, Column], Column]:
                     continue
                 goes = {(d["line_no"], d["node"]) for d in drop}
                 at = {place for place, _ in goes}
+                normal = normal_lines(text)
                 kept = [
                     raw
                     for i, raw in enumerate(text.split("\n"))
                     if i not in at
-                    or (i, int.from_bytes(_identity(normal_line(raw))[:8], "little", signed=True)) not in goes
+                    or (i, int.from_bytes(_identity(normal[i])[:8], "little", signed=True)) not in goes
                 ]
                 out.append("\n".join(kept) if any(line.strip() for line in kept) else "")
             yield pa.array(out, pa.string())
@@ -288,10 +313,10 @@ def drop_duplicate_lines(
 
     A document that loses all its lines goes; one that had none to begin with stays.
     """
-    goes = _classified(docs, shingle_chars, threshold, bands, rows).where("not kept")
     mine, lines, rest = free_names(docs, "lines_of", "lines_gone", "text_left")
+    goes = _dropped(docs, shingle_chars, threshold, bands, rows).where(F.size("dropped") > 0)
     goes = goes.groupBy(F.col("doc_id").alias(mine)).agg(
-        F.collect_set(F.struct("line_no", "node")).alias(lines)
+        F.flatten(F.collect_set("dropped")).alias(lines)
     )
     joined = docs.join(goes, F.col("doc_id").eqNullSafe(F.col(mine)), "left")
     joined = joined.withColumn(rest, _rest_udf()(F.col("text").cast("string"), F.col(lines)))

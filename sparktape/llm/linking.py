@@ -9,6 +9,7 @@ blocks of bounded size by signature, and every pair that may be similar is verif
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,59 +17,67 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import materialise
+from .hashing import estimate
+from .tables import in_filter, key_filter, materialise
 
 # Nodes on either side of a block of comparisons.
 BLOCK = 512
+# Pairs that a task compares at once.
+PAIRS_AT_ONCE = 20_000
 
-_STAR = "key long, node long, pivot long, edge boolean"
+_MEMBERS = "key long, node long, edge boolean, alone boolean"
 
 
-def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Nodes with the first node of their bucket, from rows sorted by key and node.
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Nodes of the buckets of two or more, from rows sorted by key.
 
-    The first and the last bucket of a task may go on in another one; they also yield a
-    row marked `edge`, from which the parts are joined up.
+    The first and the last bucket of a task may go on in another one; they also yield a row
+    marked `edge` with one of their nodes, `alone` if it is the only one in the task.
     """
 
-    def out(key, node, pivot, edge) -> pa.RecordBatch:
-        columns = [pa.array(x) for x in (key, node, pivot)]
-        columns.append(pa.array(np.full(len(columns[0]), edge)))
-        return pa.RecordBatch.from_arrays(columns, ["key", "node", "pivot", "edge"])
+    def out(key, node, edge, alone) -> pa.RecordBatch:
+        columns = [pa.array(np.asarray(x, np.int64)) for x in (key, node)]
+        columns += [pa.array(np.full(len(key), edge)), pa.array(np.asarray(alone, bool))]
+        return pa.RecordBatch.from_arrays(columns, ["key", "node", "edge", "alone"])
 
-    first = last = None  # (key, pivot)
-    before = None
+    first = None  # the first bucket: key, node, alone
+    last = None  # the bucket that may go on: likewise; its node is not yet out while alone
     for batch in batches:
         key, node = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         if not len(key):
             continue
-        new = np.empty(len(key), bool)
-        new[0] = last is None or key[0] != last[0]
-        new[1:] = key[1:] != key[:-1]
-        start = np.maximum.accumulate(np.where(new, np.arange(len(key)), -1))
-        pivot = np.where(start >= 0, node[start], node[0] if last is None else last[1])
-        keep = node != pivot
-        keep[1:] &= new[1:] | (node[1:] != node[:-1])  # a repeated row says nothing new
-        keep[0] &= before != (key[0], node[0])
-        if first is None:
-            first = (key[0], pivot[0])
-        last, before = (key[-1], pivot[-1]), (key[-1], node[-1])
+        goes_on = last is not None and last[2] and key[0] == last[0]
+        if goes_on:  # the node held back has company now
+            key, node = np.insert(key, 0, last[0]), np.insert(node, 0, last[1])
+        new = np.ones(len(key) + 1, bool)
+        new[1:-1] = key[1:] != key[:-1]
+        single = new[1:] & new[:-1]
+        if last is not None and not goes_on and key[0] == last[0]:
+            single[0] = False
+        if first is None or (first[0] == key[0] and first[2]):
+            first = (key[0], node[0] if first is None else first[1], bool(single[0]))
+        last = (key[-1], node[-1], bool(single[-1]))
+        keep = ~single
         if keep.any():
-            yield out(key[keep], node[keep], pivot[keep], False)
+            yield out(key[keep], node[keep], False, np.zeros(keep.sum()))
     if first is not None:
-        keys = np.array(sorted({first, last}), np.int64)
-        yield out(keys[:, 0], keys[:, 1], keys[:, 1], True)
+        edges = {first[0]: first, last[0]: last if last[0] != first[0] else first}
+        rows = list(edges.values())
+        yield out([r[0] for r in rows], [r[1] for r in rows], True, [r[2] for r in rows])
 
 
 def bucket_members(bands: DataFrame) -> DataFrame:
     """`(key, node, n)`: the nodes of each bucket of two or more, and how many it has."""
     spread = bands.select("key", "node").repartitionByRange("key", "node")
     found = materialise(
-        spread.sortWithinPartitions("key", "node").mapInArrow(_stars, _STAR), "bucket-stars"
+        spread.sortWithinPartitions("key").mapInArrow(_members, _MEMBERS), "bucket-nodes"
     )
-    members = found.where("not edge").select("key", "node")
-    members = members.unionByName(found.select("key", F.col("pivot").alias("node"))).distinct()
-    sizes = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    # Buckets over several tasks: nodes that are alone in their task belong to them too.
+    edges = found.where("edge")
+    spread_over = edges.groupBy("key").agg(F.count("*").alias("tasks")).where("tasks > 1").select("key")
+    lonely = edges.where("alone").join(spread_over, "key", "left_semi")
+    members = found.where("not edge").select("key", "node").unionByName(lonely.select("key", "node"))
+    sizes = members.groupBy("key").agg(F.count("*").alias("n"))
     return materialise(members.join(sizes, "key"), "bucket-members")
 
 
@@ -91,18 +100,18 @@ def _fingerprint(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def connected(links: DataFrame, name: str = "components") -> DataFrame:
+def connected(links: DataFrame, rounds: int | None = None) -> DataFrame:
     """`(node, root)` for the linked nodes, the root being the component's least node.
 
     Alternates two rewrites of the links until nothing changes: every node's larger
     neighbours move to its least neighbour, then its smaller ones do. Each round is two
     grouped minima and two joins; the number of rounds grows with the logarithm of the
-    longest chain.
+    longest chain. After a fixed number of `rounds`, a root may be any node of the component.
     """
     links = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    links = materialise(links.where("u <> v").distinct(), name)
-    state = _fingerprint(links)
-    while True:
+    links = materialise(links.where("u <> v").distinct(), "components")
+    state = None if rounds else _fingerprint(links)
+    for turn in itertools.count(1):
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
         least = least.select("u", F.least("u", "m").alias("m"))
@@ -110,60 +119,103 @@ def connected(links: DataFrame, name: str = "components") -> DataFrame:
         large = large.distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        links = materialise(small.unionByName(least.withColumnRenamed("m", "v")).distinct(), name)
-        now = _fingerprint(links)
-        if now == state:
+        links = materialise(small.unionByName(least.withColumnRenamed("m", "v")).distinct(), "components")
+        now = None if rounds else _fingerprint(links)
+        if turn == rounds or (not rounds and now == state):
+            if rounds:  # a node may still have several links
+                links = links.groupBy("u").agg(F.min("v").alias("v"))
             return links.select(F.col("u").alias("node"), F.col("v").alias("root"))
         state = now
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Groups of equal (key, i, j) from rows sorted by them, each of bounded size."""
+def _whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows, sorted by (key, i, j), in tables that do not cut such a block."""
     rest = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
-        table = table if rest is None else pa.concat_tables([rest, table])
-        rest = None
+        table = (table if rest is None else pa.concat_tables([rest, table])).combine_chunks()
         if not table.num_rows:
             continue
         marks = [table.column(c).to_numpy() for c in ("key", "i", "j")]
-        new = np.flatnonzero(np.any([m[1:] != m[:-1] for m in marks], axis=0)) + 1
-        bounds = [0, *new.tolist()]
-        table = table.combine_chunks()
-        for low, high in zip(bounds, bounds[1:], strict=False):
-            yield table.slice(low, high - low)
-        rest = table.slice(bounds[-1])
+        last = np.all([m == m[-1] for m in marks], axis=0)
+        cut = int(last.argmax())
+        if cut:
+            yield table.slice(0, cut)
+        rest = table.slice(cut)
     if rest is not None and rest.num_rows:
         yield rest
 
 
-def _compare(floor: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    """Rows of a column of equally long lists of longs."""
+    values = pa.concat_arrays(column.chunks) if column.num_chunks > 1 else column.chunk(0)
+    return values.flatten().to_numpy().reshape(len(values), -1)
+
+
+# Which of the pairs (two arrays of indices) of some contents are similar.
+Decide = Callable[[list[bytes], np.ndarray, np.ndarray], np.ndarray]
+
+
+def _compare(floor: float, decide: Decide | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _blocks(batches):
-            left_side, loose, node, root = (
-                block.column(c).to_numpy() for c in ("side", "loose", "node", "root")
+        for table in _whole_blocks(batches):
+            key, i, j, left, loose, node, root = (
+                table.column(c).to_numpy() for c in ("key", "i", "j", "side", "loose", "node", "root")
             )
-            n = len(node)
-            sketch = np.frombuffer(b"".join(block.column("sketch").to_pylist()), np.uint8).reshape(n, -1)
-            keys = np.array(block.column("keys").to_pylist(), np.int64)
-            band = int((keys[0] == block.column("key")[0].as_py()).argmax())
-            right = np.flatnonzero(~left_side)
-            for i in np.flatnonzero(left_side):
-                near = right[(root[right] != root[i]) & (~loose[right] | (node[right] > node[i]))]
-                # A pair is compared in the first bucket that it shares, and only there.
-                near = near[~(keys[near, :band] == keys[i, :band]).any(axis=1)]
-                same = np.count_nonzero(sketch[near] == sketch[i], axis=1)
-                found = node[near[same >= floor * sketch.shape[1]]]
-                if len(found):
-                    own = np.full(len(found), node[i])
-                    yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(found)], ["a", "b"])
+            keys, sketch = _matrix(table.column("keys")), _matrix(table.column("sketch")).view(np.uint8)
+            band = (keys == key[:, None]).argmax(axis=1)
+            contents = table.column("content") if decide is not None else None
+            new = np.ones(len(key), bool)
+            new[1:] = (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+            start = np.flatnonzero(new)
+            block = np.cumsum(new) - 1
+            n_right = np.bincount(block, ~left, len(start)).astype(np.int64)  # they come first
+            rows = np.flatnonzero(left)
+            pairs = n_right[block[rows]]
+            ends = np.cumsum(pairs)
+            low = 0
+            while low < len(rows):
+                done = ends[low - 1] if low else 0
+                high = max(low + 1, int(np.searchsorted(ends, done + PAIRS_AT_ONCE, "right")))
+                some, n = rows[low:high], pairs[low:high]
+                a = np.repeat(some, n)
+                b = np.repeat(start[block[some]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                keep = (root[a] != root[b]) & (~loose[b] | (node[b] > node[a]))
+                a, b = a[keep], b[keep]
+                near = estimate(sketch[a], sketch[b]) >= floor
+                a, b = a[near], b[near]
+                # A pair is taken in the first bucket that it shares, and only there.
+                first = (keys[a] == keys[b]).argmax(axis=1) == band[a]
+                a, b = a[first], b[first]
+                if decide is not None and len(a):
+                    used, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+                    similar = decide(contents.take(pa.array(used)).to_pylist(), at[: len(a)], at[len(a) :])
+                    a, b = a[similar], b[similar]
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], ["a", "b"])
+                low = high
 
     return run
 
 
-def open_pairs(members: DataFrame, roots: DataFrame, nodes: DataFrame, floor: float) -> DataFrame:
-    """Pairs of nodes that share a bucket but no component, and whose sketches agree in
-    `floor` of their bytes. A bucket's largest component is compared with the others only."""
+def _held_udf(wanted) -> Callable[[Column], Column]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for nodes in batches:
+            yield pa.array(in_filter(wanted.value, nodes.to_numpy(zero_copy_only=False)))
+
+    return F.arrow_udf(run, "boolean")
+
+
+def open_pairs(
+    members: DataFrame,
+    roots: DataFrame,
+    nodes: DataFrame,
+    floor: float,
+    contents: DataFrame | None = None,
+    decide: Decide | None = None,
+) -> DataFrame:
+    """Pairs of nodes that share a bucket but no component, and whose sketches suggest a
+    similarity of `floor`; with contents, only those that are similar. A bucket's largest component is compared with the others only."""
     named = members.join(roots, "node", "left").select(
         "key", "node", F.coalesce("root", "node").alias("root")
     )
@@ -173,8 +225,10 @@ def open_pairs(members: DataFrame, roots: DataFrame, nodes: DataFrame, floor: fl
         F.sum("n").alias("n_all"),
         (F.sum("n") - F.max("n")).alias("n_loose"),
     )
-    mixed = mixed.where("n_loose > 0")
-    rows = named.join(mixed, "key").join(nodes.select("node", "keys", "sketch"), "node")
+    rows = named.join(mixed.where("n_loose > 0"), "key")
+    # Only the members' signatures are shuffled.
+    marks = nodes.select("node", "keys", "sketch").where(_held_udf(key_filter(members, F.col("node")))("node"))
+    rows = rows.join(marks, "node")
     across, down = F.ceil(F.col("n_all") / BLOCK), F.ceil(F.col("n_loose") / BLOCK)
 
     def place(blocks: Column) -> Column:
@@ -185,29 +239,48 @@ def open_pairs(members: DataFrame, roots: DataFrame, nodes: DataFrame, floor: fl
 
     rows = rows.withColumn("loose", F.col("root") != F.col("main"))
     kept = ["key", "node", "root", "loose", "keys", "sketch"]
+    if contents is not None:
+        rows, kept = rows.join(contents, "node"), [*kept, "content"]
     left = rows.where("loose").select(
         *kept, place(down).alias("i"), every(across).alias("j"), F.lit(True).alias("side")
     )
     right = rows.select(*kept, every(down).alias("i"), place(across).alias("j"), F.lit(False).alias("side"))
-    blocks = left.unionByName(right).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return blocks.mapInArrow(_compare(floor), "a long, b long")
+    blocks = left.unionByName(right).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side")
+    return blocks.mapInArrow(_compare(floor, decide), "a long, b long")
+
+
+def _similar_udf(decide: Decide) -> Callable[[Column, Column], Column]:
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for left, right in batches:
+            out = [np.zeros(0, bool)]
+            for low in range(0, len(left), 1024):
+                one, two = left[low : low + 1024].to_pylist(), right[low : low + 1024].to_pylist()
+                at = {content: i for i, content in enumerate(dict.fromkeys([*one, *two]))}
+                index = [np.array([at[c] for c in side]) for side in (one, two)]
+                out.append(decide(list(at), *index))
+            yield pa.array(np.concatenate(out))
+
+    return F.arrow_udf(run, "boolean")
 
 
 def link_components(
     nodes: DataFrame,
     contents_of: Callable[[DataFrame], DataFrame],
-    similar: Callable[[Column, Column], Column],
+    decide: Decide,
     floor: float,
+    *,
+    small: bool = False,
 ) -> DataFrame:
     """`(node, root)` of the nodes that are linked with another one.
 
-    `nodes` has `(node, keys, sketch)`: an id, band keys and some bytes of the signature;
-    `contents_of` turns a table of nodes into `(node, content)`; `similar` decides on two
-    contents. Pairs whose sketches agree in less than `floor` of their bytes are taken as
-    not similar.
+    `nodes` has `(node, keys, sketch)`: an id, band keys and the low bits of the signature;
+    `contents_of` turns a table of nodes into `(node, content)`; `decide` says which pairs
+    of contents are similar. Pairs whose sketches suggest less than `floor` are taken as
+    not similar. With `small` contents, pairs are verified where they are compared.
     """
     members = bucket_members(nodes.select(F.explode("keys").alias("key"), "node"))
     contents = materialise(contents_of(members.select("node").distinct()), "contents")
+    similar = _similar_udf(decide)
 
     def verified(pairs: DataFrame) -> DataFrame:
         one = contents.select(F.col("node").alias("a"), F.col("content").alias("content_a"))
@@ -216,8 +289,9 @@ def link_components(
         return both.where(similar(F.col("content_a"), F.col("content_b"))).select("a", "b")
 
     links = materialise(verified(central_pairs(members)), "links")
-    roots = connected(links)
-    more = materialise(verified(open_pairs(members, roots, nodes, floor)), "links")
-    if more.isEmpty():
-        return roots
-    return connected(links.unionByName(more))
+    roots = connected(links, rounds=1)
+    if small:
+        more = open_pairs(members, roots, nodes, floor, contents, decide)
+    else:
+        more = verified(open_pairs(members, roots, nodes, floor))
+    return connected(links.unionByName(materialise(more, "links")))

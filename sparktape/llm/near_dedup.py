@@ -21,11 +21,11 @@ from .tables import free_names, in_filter, key_filter, materialise, text_bytes
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 48, 8
-# Share of equal signature bytes below which no pair of the threshold's similarity falls
-# (three standard deviations of plain MinHash under 0.8 at 384 values, more of this kind's).
+# Similarity that sketches must suggest for a pair to be verified (three standard deviations
+# of plain MinHash under 0.8 at 384 values, more of this kind's).
 SKETCH_FLOOR = 0.74
 
-_MARKS = "struct<n_shingles:long,fp1:long,fp2:long,keys:array<long>,sketch:binary>"
+_MARKS = "struct<n_shingles:long,fp1:long,fp2:long,keys:array<long>,sketch:array<long>>"
 
 
 def _sets(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -45,6 +45,7 @@ def marks_udf(size: int, bands: int, rows: int) -> Callable[[Column], Column]:
                 fp1, fp2 = hashing.set_digests(values, bounds)
                 signature = hashing.superminhash(values, bounds, bands * rows)
                 keys = hashing.band_keys(signature, rows)
+                sketch = hashing.low_bits(signature).reshape(-1)
                 full = counts > 0
                 parts.append(
                     pa.StructArray.from_arrays(
@@ -53,7 +54,7 @@ def marks_udf(size: int, bands: int, rows: int) -> Callable[[Column], Column]:
                             pa.array(fp1.view(np.int64)),
                             pa.array(fp2.view(np.int64)),
                             hashing.lists(pa.array(keys[full].reshape(-1)), full * bands),
-                            hashing.binaries(signature.astype(np.uint8)),
+                            hashing.lists(pa.array(sketch), np.full(len(counts), bands * rows // 16)),
                         ],
                         ["n_shingles", "fp1", "fp2", "keys", "sketch"],
                     )
@@ -66,7 +67,7 @@ def marks_udf(size: int, bands: int, rows: int) -> Callable[[Column], Column]:
             ("fp1", pa.int64()),
             ("fp2", pa.int64()),
             ("keys", pa.list_(pa.int64())),
-            ("sketch", pa.binary()),
+            ("sketch", pa.list_(pa.int64())),
         ]
     )
     return F.arrow_udf(run, _MARKS)
@@ -94,22 +95,20 @@ def _set_udf(size: int, wanted) -> Callable[[Column, Column], Column]:
     return F.arrow_udf(run, "struct<node:long,content:binary>")
 
 
-def _similar_udf(threshold: float) -> Callable[[Column, Column], Column]:
+def similar_sets(threshold: float) -> Callable[[list[bytes], np.ndarray, np.ndarray], np.ndarray]:
+    """Decides which pairs (by index) of sorted sets have a Jaccard similarity that is high enough."""
     percent = round(threshold * 100)
 
-    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for left, right in batches:
-            out = []
-            for one, two in zip(left, right, strict=True):
-                a = np.frombuffer(one.as_buffer(), np.uint64)
-                b = np.frombuffer(two.as_buffer(), np.uint64)
-                both = np.concatenate([a, b])
-                both.sort()
-                shared = int(np.count_nonzero(both[1:] == both[:-1]))
-                out.append(100 * shared >= percent * (len(both) - shared))
-            yield pa.array(out, pa.bool_())
+    def decide(sets: list[bytes], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(a), bool)
+        for k, (one, two) in enumerate(zip(a, b, strict=True)):
+            both = np.concatenate([np.frombuffer(sets[one], np.uint64), np.frombuffer(sets[two], np.uint64)])
+            both.sort()
+            shared = int(np.count_nonzero(both[1:] == both[:-1]))
+            out[k] = 100 * shared >= percent * (len(both) - shared)
+        return out
 
-    return F.arrow_udf(run, "boolean")
+    return decide
 
 
 def _identity_udf(size: int) -> Callable[[Column], Column]:
@@ -148,7 +147,7 @@ def _components(docs: DataFrame, size: int, threshold: float, bands: int, rows:
         found = docs.select(_set_udf(size, keys)(F.xxhash64("doc_id"), text_bytes()).alias("s"))
         return found.where("s.content is not null").select("s.*").dropDuplicates(["node"])
 
-    roots = link_components(nodes, contents_of, _similar_udf(threshold), SKETCH_FLOOR)
+    roots = link_components(nodes, contents_of, similar_sets(threshold), SKETCH_FLOOR)
     named = nodes.select("node", "doc_id").join(roots, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("least"))

@@ -25,7 +25,8 @@ def materialise(rows: DataFrame, name: str) -> DataFrame:
     """
     spark = rows.sparkSession
     path = scratch_dir(spark, name)
-    rows.write.parquet(path)
+    # Mostly hashes: a dictionary would only cost time.
+    rows.write.option("parquet.enable.dictionary", "false").parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
