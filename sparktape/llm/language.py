@@ -21,11 +21,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import hashing
+from .tables import materialise
 
 FEATURES = 1 << 12
 CENTROIDS = 4
 # Learnt documents per language from which the centroids are made (the bound of the sample).
 SAMPLE = 600
+# Rows of a sample (a language and a hash each) up to which it is sent to all tasks.
+SMALL_SAMPLE = 100_000
 # Cosine below which a text is rejected: told from noise by no centroid.
 REJECT_BELOW = 0.05
 UNKNOWN = "und"
@@ -177,7 +180,10 @@ def fit(docs: DataFrame, *, centroids: int = CENTROIDS, sample: int = SAMPLE) ->
     weights = (np.log((1 + n) / (1 + frequency)) + 1).astype(np.float32)
     place = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
     chosen = learn.select("lang", "draw", place.alias("place")).where(F.col("place") <= sample)
-    chosen = learn.join(chosen.select("lang", "draw").distinct(), ["lang", "draw"])
+    chosen = materialise(chosen.select("lang", "draw").distinct(), "language-sample")
+    if chosen.count() <= SMALL_SAMPLE:
+        chosen = F.broadcast(chosen)
+    chosen = learn.join(chosen, ["lang", "draw"])
     found = chosen.groupBy("lang").applyInPandas(_centroids(weights, centroids), "lang string, centroid binary")
     rows = sorted((r["lang"], bytes(r["centroid"])) for r in found.collect())
     stacked = [np.frombuffer(c, "<f4") for _, c in rows]

@@ -8,13 +8,13 @@ union-find keeps one line of each component: the first, by doc_id and place.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,7 +45,7 @@ def normal_lines(text: str) -> list[str]:
 
 
 def _identity(line: str) -> bytes:
-    return hashlib.blake2b(line.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+    return xxhash.xxh3_128_digest(line.encode("utf-8", "surrogatepass"))
 
 
 def _lines(texts: list[str | None]) -> tuple[list[str], list[int], list[int]]:
@@ -214,19 +214,23 @@ def _dropped(docs: DataFrame, size: int, threshold: float, bands: int, rows: int
     nodes = materialise(nodes, "line-nodes")
     narrow = nodes.select("node", "doc_id", "place", "n_lines")
     scanned: list[DataFrame] = []
+    many: list[DataFrame] = []
 
     def contents_of(wanted: DataFrame) -> DataFrame:
-        owners = narrow.join(wanted, "node", "left_semi")
-        many = narrow.where("n_lines > 1").select("node").unionByName(wanted)
-        shared = _shared_udf(key_filter(owners, F.xxhash64("doc_id")), key_filter(many, F.col("node")))
+        owners = materialise(narrow.join(wanted, "node", "left_semi"), "line-owners")
+        many.append(narrow.where("n_lines > 1").unionByName(owners).dropDuplicates(["node"]))
+        repeated = narrow.where("n_lines > 1").select("node").unionByName(owners.select("node"))
+        shared = _shared_udf(key_filter(owners, F.xxhash64("doc_id")), key_filter(repeated, F.col("node")))
         found = docs.select("doc_id", shared(F.xxhash64("doc_id"), text).alias("s"))
         scanned.append(materialise(found.select("doc_id", "s.*"), "shared-lines"))
         held = scanned[0].select(F.explode("shared").alias("l")).where("l.content is not null")
         return held.select("l.node", "l.content").dropDuplicates(["node"]).join(wanted, "node", "left_semi")
 
     roots = link_components(nodes, contents_of, similar_lines(size, threshold), SKETCH_FLOOR, small=True)
+    heads = roots.select(F.col("root").alias("node"), "root").distinct()
+    roots = roots.unionByName(heads)
     # Any other line is alone in its class.
-    named = narrow.join(roots, "node", "left").where("n_lines > 1 or root is not null")
+    named = many[0].join(roots, "node", "left").where("n_lines > 1 or root is not null")
     named = named.withColumn("root", F.coalesce("root", "node"))
     classes = named.groupBy("root").agg(F.min("doc_id").alias("owner"), F.min("place").alias("first"))
     classes = named.select("node", "root").join(classes, "root")
@@ -236,10 +240,11 @@ def _dropped(docs: DataFrame, size: int, threshold: float, bands: int, rows: int
     gone = lines.where(_place("line_no") != F.col("first"))
     gone = gone.groupBy(F.col("doc_id").alias("gone_of")).agg(F.array_sort(F.collect_set(line)).alias("gone"))
     own = F.transform("shared", lambda s: F.struct(s["line_no"], s["node"]))
-    joined = scanned[0].join(gone, F.col("doc_id").eqNullSafe(F.col("gone_of")), "left")
+    whole = scanned[0].select("doc_id", "n_lines", own.alias("own"))
+    joined = whole.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_of")), "left")
     # Of rows with one doc_id, each loses only lines of its own.
     mine = F.filter(
-        "gone", lambda g: F.array_contains(own, F.struct(g["line_no"].alias("line_no"), g["node"].alias("node")))
+        "gone", lambda g: F.array_contains("own", F.struct(g["line_no"].alias("line_no"), g["node"].alias("node")))
     )
     return joined.select("doc_id", "n_lines", F.coalesce(mine, F.array()).alias("dropped"))
 

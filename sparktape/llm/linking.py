@@ -9,7 +9,6 @@ blocks of bounded size by signature, and every pair that may be similar is verif
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -100,18 +99,18 @@ def _fingerprint(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def connected(links: DataFrame, rounds: int | None = None) -> DataFrame:
+def connected(links: DataFrame) -> DataFrame:
     """`(node, root)` for the linked nodes, the root being the component's least node.
 
     Alternates two rewrites of the links until nothing changes: every node's larger
     neighbours move to its least neighbour, then its smaller ones do. Each round is two
     grouped minima and two joins; the number of rounds grows with the logarithm of the
-    longest chain. After a fixed number of `rounds`, a root may be any node of the component.
+    longest chain.
     """
     links = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     links = materialise(links.where("u <> v").distinct(), "components")
-    state = None if rounds else _fingerprint(links)
-    for turn in itertools.count(1):
+    state = _fingerprint(links)
+    while True:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
         least = least.select("u", F.least("u", "m").alias("m"))
@@ -120,10 +119,8 @@ def connected(links: DataFrame, rounds: int | None = None) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         links = materialise(small.unionByName(least.withColumnRenamed("m", "v")).distinct(), "components")
-        now = None if rounds else _fingerprint(links)
-        if turn == rounds or (not rounds and now == state):
-            if rounds:  # a node may still have several links
-                links = links.groupBy("u").agg(F.min("v").alias("v"))
+        now = _fingerprint(links)
+        if now == state:
             return links.select(F.col("u").alias("node"), F.col("v").alias("root"))
         state = now
 
@@ -289,7 +286,8 @@ def link_components(
         return both.where(similar(F.col("content_a"), F.col("content_b"))).select("a", "b")
 
     links = materialise(verified(central_pairs(members)), "links")
-    roots = connected(links, rounds=1)
+    # One link per node: what it leads to stands for the component that is known so far.
+    roots = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
     if small:
         more = open_pairs(members, roots, nodes, floor, contents, decide)
     else:

@@ -77,8 +77,9 @@ def propagate(
     A row may move to a shard that holds more of its neighbours than its own does, if one
     of them there is senior to it: it has more links, or as many and a smaller number. So
     two neighbours never change places for ever, and the hub of a group stays put. A shard
-    takes in, those that gain most first, as many rows as it has rows without links; to
-    keep counts as they are, such rows leave it for the shards that lost rows.
+    takes in, those that gain most and those of small groups first, as many rows as it has
+    rows without links; to keep counts as they are, such rows leave it for the shards that
+    lost rows.
     """
     links = links.where("a <> b").distinct()
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
@@ -94,22 +95,23 @@ def propagate(
     near = both.join(degree.select(F.col("row").alias("a"), F.col("degree").alias("degree_a")), "a")
     near = near.join(degree.select(F.col("row").alias("b"), F.col("degree").alias("degree_b")), "b")
     senior = F.struct(-F.col("degree_b"), "b") < F.struct(-F.col("degree_a"), "a")
-    near = materialise(near.select("a", "b", senior.cast("int").alias("senior")), "shard-links")
+    near = materialise(near.select("a", "b", senior.cast("int").alias("senior"), "degree_b"), "shard-links")
     for _ in range(rounds):
         votes = near.join(placed.select(F.col("row").alias("b"), F.col("shard").alias("to")), "b")
         votes = votes.groupBy(F.col("a").alias("row"), "to").agg(
-            F.count("*").alias("votes"), F.max("senior").alias("senior")
+            F.count("*").alias("votes"), F.max("senior").alias("senior"), F.max("degree_b").alias("crowd")
         )
         votes = votes.join(placed, "row")
         here = F.max(F.when(F.col("to") == F.col("shard"), F.col("votes")))
         away = (F.col("to") != F.col("shard")) & (F.col("senior") == 1)
-        best = F.max(F.when(away, F.struct("votes", (-F.col("to")).alias("to"))))
+        best = F.max(F.when(away, F.struct("votes", (-F.col("to")).alias("to"), "crowd")))
         wish = votes.groupBy("row").agg(here.alias("here"), best.alias("best"))
         gain = F.col("best.votes") - F.coalesce("here", F.lit(0))
-        wish = wish.where(gain > 0).select("row", (-F.col("best.to")).alias("target"), gain.alias("gain"))
+        # Those that gain most go first, and among them those of the smallest groups.
+        few = F.ceil(F.log2("best.crowd")) - 64 * F.least(gain, F.lit(16))
+        wish = wish.where(gain > 0).select("row", (-F.col("best.to")).alias("target"), few.alias("few"))
         room = placed.where("degree = 0").groupBy(F.col("shard").alias("target")).agg(F.count("*").alias("room"))
-        few = -F.least("gain", F.lit(16))
-        wish = ranked(wish, ["target"], F.xxhash64("row"), n_rows, "at", few)
+        wish = ranked(wish, ["target"], F.xxhash64("row"), n_rows, "at", F.col("few"))
         moves = materialise(wish.join(room, "target").where("at < room").select("row", "target"), "shard-moves")
         if moves.isEmpty():
             break
