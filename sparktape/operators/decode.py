@@ -76,13 +76,19 @@ def outcome_sql(bad: str, trades: str) -> str:
 
 
 def strict_json(text: str, schema: str) -> Column:
-    """Parse a whole frame into `struct(f, z)`; `z` is NULL unless all of the text is JSON.
+    """Parse a whole frame into `struct(f, z)`; NULL unless the text is one JSON value.
 
-    A field placed after the frame shows that the parser got that far, so trailing text
-    counts as malformed too.
+    An array of the text and its own hash must have just these two elements: whatever
+    follows the value in the text breaks the array or adds to it, and no text can contain
+    its own hash.
     """
     wrapped = f"""'{{"f":' || {text} || ',"z":1}}'"""
-    return F.expr(f"from_json({wrapped}, 'f {schema}, z int', {_JSON})")
+    mark = f"CAST(xxhash64({text}) AS STRING)"
+    alone = f"""from_json('[' || {text} || ',"' || {mark} || '"]', 'array<string>', {_JSON})"""
+    whole = f"from_json({wrapped}, 'f {schema}, z int', {_JSON})"
+    return F.expr(
+        f"transform(array({alone}), a -> CASE WHEN size(a) = 2 AND a[1] = {mark} THEN {whole} END)[0]"
+    )
 
 
 def root_fault(parsed: str) -> str:

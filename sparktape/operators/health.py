@@ -115,10 +115,12 @@ def latency_quantiles(write_log: DataFrame, window_s: int | None = None) -> Data
     )
 
 
-def feed_latency(ticks: DataFrame) -> DataFrame:
+def feed_latency(ticks: DataFrame, *, exact: bool = False, accuracy: int = 10_000) -> DataFrame:
     """Receipt minus trade time per feed: extremes, mean, skewed clocks and quantiles.
 
-    Quantiles come from a histogram of fixed width, so a feed's state never grows with it.
+    Quantiles are of the values themselves, whatever their sign and size. By default they
+    come from a sketch of bounded size: a value whose rank is off by at most one part in
+    `accuracy`. `exact` interpolates between all values, with state that grows with them.
     """
     lag_ns = F.col("received_ns") - F.col("timestamp_ns")
     rows = ticks.select(*FEED, lag_ns.alias("lag_ns"), (lag_ns / F.lit(1e9)).alias("lag_s"))
@@ -132,10 +134,14 @@ def feed_latency(ticks: DataFrame) -> DataFrame:
         F.min(lag_s).alias("min_s"),
         F.max(lag_s).alias("max_s"),
         ((whole * 1e6 + rest) / F.count("*") / 1e9).alias("mean_s"),
-        _cumulative(lag_s, LATENCY_BOUNDS).alias("c"),
+        (
+            F.percentile(lag_s, list(QUANTILES.values()))
+            if exact
+            else F.percentile_approx(lag_s, list(QUANTILES.values()), accuracy)
+        ).alias("q"),
     )
-    quantiles = {n: bucket_quantile(F.col("c"), LATENCY_BOUNDS, q) for n, q in QUANTILES.items()}
-    return summary.withColumns(quantiles).drop("c")
+    quantiles = {name: F.get("q", F.lit(i)) for i, name in enumerate(QUANTILES)}
+    return summary.withColumns(quantiles).drop("q")
 
 
 # -- staleness -----------------------------------------------------------------------------------

@@ -110,13 +110,20 @@ def vwap_by_bar(ticks: DataFrame, interval: str = "1h") -> DataFrame:
     return ticks.groupBy(*FEED, slot).agg(vwap_column().alias("vwap"))
 
 
+def _narrowed(name: str) -> Column:
+    value, narrow = F.col(name), F.col(name).cast("decimal(18,8)")
+    fault = F.raise_error(F.concat(F.lit(f"{name} does not fit decimal(18,8): "), value.cast("string")))
+    return F.when(value.isNull() | (narrow == value), narrow).otherwise(fault.cast("decimal(18,8)"))
+
+
 def vwap_exact_parts(ticks: DataFrame) -> DataFrame:
     """Exact notional and volume per feed, for inputs of at most eight decimal places.
 
     Products of wide decimals lose scale in Spark, so both sides are narrowed first; the
-    caller divides. A value that does not fit decimal(18,8) makes the query fail.
+    caller divides. A value that does not fit decimal(18,8), also one with a ninth decimal
+    place, makes the query fail.
     """
-    price, size = (F.col(c).cast("decimal(18,8)") for c in ("price", "size"))
+    price, size = (_narrowed(c) for c in ("price", "size"))
     return ticks.groupBy(*FEED).agg(
         F.sum(price * size).alias("notional"), F.sum(size).alias("volume")
     )

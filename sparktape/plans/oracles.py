@@ -332,6 +332,7 @@ def all_oracles() -> dict[str, str]:
         "stream_drain": _events(
             f"SELECT {TICK_OUT} FROM frame_ticks WHERE exchange = 'binance'", FRAMES
         ),
+        "stream_restart": _events(f"SELECT {TICK_OUT} FROM frame_ticks", FRAMES),
         "stream_union": _events(f"SELECT {TICK_OUT} FROM frame_ticks", FRAMES),
         "stream_bars": _events(
             f"SELECT exchange, symbol, timestamp_ns // {hour} * {hour} AS bar_start_ns, "
@@ -365,16 +366,13 @@ def all_oracles() -> dict[str, str]:
             ),
         ),
         "m_feed_latency": _events(
-            """SELECT exchange, symbol, count(*) AS n_ticks, count(*) FILTER (v < 0) AS n_negative,
-                 min(v) AS min_s, max(v) AS max_s,
-                 CAST(sum(ns) AS DOUBLE) / count(*) / 1e9 AS mean_s,
-                 any_value(p50) AS p50, any_value(p95) AS p95, any_value(p99) AS p99
-               FROM observed JOIN quantiles USING (exchange, symbol) GROUP BY exchange, symbol""",
-            _quantiles(
-                "SELECT exchange, symbol, received_ns - timestamp_ns AS ns, "
-                "(received_ns - timestamp_ns) / 1e9 AS v FROM ticks",
-                "exchange, symbol",
-            ),
+            "SELECT exchange, symbol, count(*) AS n_ticks, count(*) FILTER (v < 0) AS n_negative, "
+            "min(v) AS min_s, max(v) AS max_s, CAST(sum(ns) AS DOUBLE) / count(*) / 1e9 AS mean_s, "
+            + ", ".join(
+                f"round(quantile_cont(v, {p}), 9) AS {name}" for name, p in health.QUANTILES.items()
+            )
+            + " FROM (SELECT exchange, symbol, received_ns - timestamp_ns AS ns, "
+            "(received_ns - timestamp_ns) / 1e9 AS v FROM ticks) GROUP BY exchange, symbol"
         ),
         "m_rate_1m": _events(_rate("ticks", "exchange", "received_ns", "count(*)", 60, 60)),
         "m_rate_5m": _events(_rate("ticks", "exchange, symbol", "received_ns", "count(*)", 300, 60)),

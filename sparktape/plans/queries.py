@@ -260,7 +260,7 @@ _REGISTRY |= {
     ),
     "m_summary": _frames(health.summary),
     "m_feed_latency": _ticks(
-        lambda t: rounded(health.feed_latency(t), *health.QUANTILES, places=12)
+        lambda t: rounded(health.feed_latency(t, exact=True), *health.QUANTILES, places=9)
     ),
 }
 
@@ -306,6 +306,20 @@ def stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(lake.read_ticks(spark, root))
 
 
+@query("stream_restart")
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream over half the files, ended, then started again with the same arguments once
+    the others have come: every tick is there once."""
+    landing, root = scratch_dir(spark, "landing-restart"), scratch_dir(spark, "stream-tree")
+    frames = tables.event_frames(spark, sf_dir).withColumn("late", F.xxhash64("raw") % 2 == 0)
+    for late in (False, True):
+        part = frames.where(F.col("late") == late).drop("late")
+        part.repartition(2).write.mode("append").parquet(landing)
+        ticks = stream_ticks.tick_stream(frame_sources.stream_frames(spark, landing, max_files_per_trigger=1))
+        stream_ticks.write_tick_stream(ticks, root, available_now=True).awaitTermination()
+    return portable(lake.read_ticks(spark, root))
+
+
 @query("stream_union")
 def stream_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, root = _run_feeds(spark, sf_dir)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -81,7 +82,11 @@ def with_date(ticks: DataFrame) -> DataFrame:
 def append_ticks(
     ticks: DataFrame, root: str, *, cluster: bool = True, max_records_per_file: int = 0
 ) -> None:
-    """Add ticks to a tree. Files appear when the whole job commits, or not at all.
+    """Add ticks to a tree. A file appears complete or not at all, when the job commits.
+
+    Spark's default committer then moves the files one by one, so a reader at that moment can
+    see a part of them; a job that fails leaves none. Where readers must never see a part, use
+    a committer or table format that publishes a job at once.
 
     Rows are gathered per partition with a rebalance, which adaptive execution splits
     where one feed's day is too large for a task and merges where days are small; within a
@@ -104,12 +109,51 @@ def append_ticks(
     )
 
 
+def _batch_numbers(spark: SparkSession, path: str) -> list[int] | None:
+    """Batches that a stream's log folder has an entry for; None where there is no folder.
+
+    Spark's readers hide such folders, so the file system is asked.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return None
+    names = [status.getPath().getName().split(".")[0] for status in files.listStatus(folder)]
+    return [int(name) for name in names if name.isdigit()]
+
+
 def _is_stream_tree(spark: SparkSession, root: str) -> bool:
-    try:
-        spark.read.text(f"{str(root).rstrip('/')}/{STREAM_LOG}")
-    except AnalysisException:
-        return False
-    return True
+    return _batch_numbers(spark, f"{str(root).rstrip('/')}/{STREAM_LOG}") is not None
+
+
+def check_stream_target(spark: SparkSession, root: str, checkpoint: str) -> None:
+    """Refuses a tree that a stream with this checkpoint would lose ticks in.
+
+    The sink's list of files would hide the files of a batch job, and it takes a batch whose
+    number it already holds for done; so the tree may not be ahead of the checkpoint.
+    """
+    listed = _batch_numbers(spark, f"{str(root).rstrip('/')}/{STREAM_LOG}")
+    if listed is None:
+        tree = _open(spark, root)
+        if tree is not None and tree.inputFiles():
+            raise ValueError(f"{root} holds files of batch writes; stream to another tree and read both")
+        return
+    done = _batch_numbers(spark, f"{checkpoint.rstrip('/')}/commits") or [-1]
+    # The last batch may be in the tree but not yet in the checkpoint.
+    if max(listed, default=-1) > max(done) + 1 or (listed and done == [-1] and max(listed) > 0):
+        raise ValueError(f"{root} is ahead of the checkpoint {checkpoint}; restart with its own")
+
+
+def tree_feeds(spark: SparkSession, *roots: str) -> list[tuple[str, str]]:
+    """Exchange and symbol of each directory, from the paths of the files alone."""
+    found = set()
+    for root in roots:
+        tree = _open(spark, root)
+        for path in tree.inputFiles() if tree is not None else []:
+            parts = dict(p.split("=", 1) for p in path.split("/") if "=" in p)
+            # Names in file URIs are escaped once by Spark and once more as a URI.
+            found.add(tuple(unquote(unquote(parts[c])) for c in ("exchange", "symbol")))
+    return sorted(found)
 
 
 def partition_path() -> Column:

@@ -9,12 +9,12 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.columns import tick_line
 from ..operators.decode import decode_frames, frame_ticks
 from ..schema import PARTITION_COLS, WRITE_LOG
-from ..session import scratch_dir
-from ..sources.lake import with_date
+from ..sources.lake import check_stream_target, with_date
 
 # Ticks per file and seconds between flushes, unless the caller says otherwise.
 FLUSH_TICKS = 10_000
 FLUSH_INTERVAL = "30 seconds"
+CHECKPOINT_SUFFIX = "-checkpoint"
 
 
 def tick_stream(frames: DataFrame, on_error: str = "prefix") -> DataFrame:
@@ -35,8 +35,12 @@ def write_tick_stream(
 
     A micro-batch becomes visible as a whole when it commits. A query that is restarted with
     its checkpoint goes on where it stopped; `available_now` drains what is there and ends.
+    The checkpoint belongs to the tree: unless named, it is a fixed folder beside it. A tree
+    of batch files, or one that is ahead of the checkpoint, is refused.
     """
     spark = ticks.sparkSession
+    checkpoint = checkpoint or f"{str(root).rstrip('/')}{CHECKPOINT_SUFFIX}"
+    check_stream_target(spark, str(root), checkpoint)
     rows = with_date(ticks).observe("written", F.count(F.lit(1)).alias("n_ticks"))
     writer = (
         rows.writeStream.format("parquet")
@@ -44,7 +48,7 @@ def write_tick_stream(
         .option("path", str(root))
         .option("compression", "zstd")
         .option("maxRecordsPerFile", max_records_per_file)
-        .option("checkpointLocation", checkpoint or scratch_dir(spark, "tick-stream"))
+        .option("checkpointLocation", checkpoint)
     )
     trigger = {"availableNow": True} if available_now else {"processingTime": flush_interval}
     return writer.trigger(**trigger).start()
@@ -86,8 +90,15 @@ def progress_log(spark: SparkSession, query: StreamingQuery) -> DataFrame:
 
 
 def run_summary(query: StreamingQuery, inventory: DataFrame) -> DataFrame:
-    """One row on a run: frames in, ticks and files out, time spent, frames per second."""
+    """One row on a run: frames in, ticks and files out, time spent, frames per second.
+
+    Spark keeps a limited number of a query's batches; a longer run is refused rather than
+    summed up in part.
+    """
     done = query.recentProgress
+    kept = int(inventory.sparkSession.conf.get("spark.sql.streaming.numRecentProgressUpdates", "100"))
+    if len(done) >= kept:
+        raise ValueError(f"only the last {kept} batches are known; raise numRecentProgressUpdates")
     frames = sum(p.numInputRows for p in done)
     seconds = sum(p.durationMs.get("triggerExecution", 0) for p in done) / 1000.0
     return inventory.agg(

@@ -240,3 +240,21 @@ def test_subscriptions_fold_case(spark):
     assert decode.subscribed(ticks, ["btc-usd", "Eth-Usd"], "coinbase").count() == 1
     with pytest.raises(ValueError, match="At least one symbol"):
         decode.subscribed(ticks, [], "binance")
+
+
+@pytest.mark.parametrize("source", ["binance", "coinbase"])
+@pytest.mark.parametrize(
+    "after", [',"x":1', ',"z":5}', ',"f":{"e":"trade"}', ',{"a":1}', '],[1', ',"1"', " x", "}"]
+)
+def test_nothing_may_follow_a_frame(spark, source, after):
+    frame = {
+        "binance": '{"e":"trade","s":"BTCUSDT","t":1,"p":"1","q":"1","T":1736899200000,"m":true}',
+        "coinbase": '{"channel":"market_trades","events":[]}',
+    }[source]
+    rows = spark.createDataFrame(
+        [(source, frame, 1736899200000000000), (source, frame + after, 1736899200000000000)],
+        "source string, raw string, received_ns long",
+    )
+    found = {r.raw: r.status for r in decode.decode_frames(rows).collect()}
+    assert found[frame] in ("parsed", "ignored")
+    assert found[frame + after] == "error"

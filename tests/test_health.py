@@ -96,11 +96,21 @@ def test_feed_latency(spark):
     row = health.feed_latency(ticks).first()
     assert (row.n_ticks, row.n_negative) == (3, 1)
     assert (row.min_s, row.max_s) == (-0.01, 0.07)
-    assert row.p50 == pytest.approx(0.025 + 0.025 * 0.5)
+    assert row.p50 == pytest.approx(0.03)
+
+
+def test_feed_latency_beyond_the_histogram(spark):
+    """Quantiles of a feed a minute late, or half a second early, are those of its ticks."""
+    times = [BASE_NS + i for i in range(101)]
+    for shift in (60_000_000_000, -500_000_000):
+        late = ticks_at(spark, times).withColumn("received_ns", F.col("timestamp_ns") + shift)
+        for exact in (False, True):
+            row = health.feed_latency(late, exact=exact).first()
+            assert (row.p50, row.p99) == (pytest.approx(shift / 1e9), pytest.approx(shift / 1e9))
 
 
 def test_no_feed_state_grows(spark):
-    """Quantile state is a fixed set of counters: hash aggregates, nothing collected."""
+    """Quantile state is a sketch of bounded size unless exact ones are asked for."""
     text = health.feed_latency(ticks_at(spark, [BASE_NS]))._jdf.queryExecution().executedPlan().toString()
-    assert "ObjectHashAggregate" not in text
+    assert "percentile_approx" in text
     assert "SortAggregate" not in text

@@ -196,3 +196,17 @@ def test_names_and_lines(spark):
     assert tuple(rows.select(exchange, symbol).first()) == ("test", "a:b")
     line = ticks_at(spark, [BASE_NS], price="67000.50", size="0.005").select(tick_line()).first()[0]
     assert line == "[test    ] GAPUSDT    BUY               67000.5  ×  0.005               id=t0"
+
+
+def test_feeds_come_from_paths(spark, tmp_path):
+    ticks = ticks_at(spark, [1736899200000000000]).withColumn("symbol", F.lit("A/B 100%"))
+    lake.append_ticks(ticks, str(tmp_path / "tree"))
+    found = lake.tree_feeds(spark, str(tmp_path / "tree"), str(tmp_path / "none"))
+    assert [symbol for _, symbol in found] == ["A/B 100%"]
+
+
+def test_scratch_needs_a_shared_folder_off_this_machine(spark):
+    from sparktape.session import _ONE_MACHINE
+
+    assert all(_ONE_MACHINE.fullmatch(m) for m in ("local", "local[*]", "local[8, 2]"))
+    assert not any(_ONE_MACHINE.fullmatch(m) for m in ("", "yarn", "local-cluster[3,2,1024]"))

@@ -193,3 +193,11 @@ def test_small_blocks_find_the_same_gaps(spark, monkeypatch):
     monkeypatch.setattr(market, "_FAN_OUT", 16)
     found = market.gaps(ticks, 30.0).collect()
     assert sorted((g.gap_start_ns, g.gap_end_ns) for g in found) == plain_gaps(times, 30 * 10**9)
+
+
+def test_exact_parts_refuse_a_ninth_decimal(spark):
+    ticks = ticks_at(spark, [1736899200000000000]).withColumn(
+        "size", F.lit("0.00000000012345678").cast("decimal(38,18)")
+    )
+    with pytest.raises(Exception, match="does not fit"):
+        market.vwap_exact_parts(ticks).collect()

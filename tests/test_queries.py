@@ -45,4 +45,5 @@ def test_frames_are_parsed_once(spark, sf_dir):
     """Filters on the outcome of decoding must not pull a second copy of it to the scan."""
     for name in ("decode_binance", "parse_errors", "frame_filter"):
         text = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
-        assert text.count("from_json(") <= 3  # two stages of one feed, one of the other
+        # Per feed the frame and the check that nothing follows it, and one inner object.
+        assert text.count("from_json(") <= 5

@@ -165,3 +165,22 @@ def test_streamed_gaps_equal_batch_gaps(spark, tmp_path):
     assert found == want
     assert len(found) == 3
     assert gaps.columns[:2] == FEED
+
+
+def test_stream_refuses_what_would_lose_ticks(spark, tmp_path):
+    from tests.data import ticks_at
+
+    ticks = ticks_at(spark, [1736899200000000000 + i for i in range(20)])
+    batch = str(tmp_path / "batch")
+    lake.append_ticks(ticks, batch)
+    source = spark.readStream.schema(STORED_TICK).parquet(f"{batch}").select(*STORED_COLS)
+    with pytest.raises(ValueError, match="batch writes"):
+        streams.write_tick_stream(source, batch, available_now=True)
+    root = str(tmp_path / "stream")
+    streams.write_tick_stream(source, root, available_now=True).awaitTermination()
+    assert lake.read_ticks(spark, root).count() == 20
+    lake.append_ticks(ticks, batch)
+    streams.write_tick_stream(source, root, available_now=True).awaitTermination()
+    assert lake.read_ticks(spark, root).count() == 40
+    with pytest.raises(ValueError, match="ahead of the checkpoint"):
+        streams.write_tick_stream(source, root, str(tmp_path / "other"), available_now=True)
