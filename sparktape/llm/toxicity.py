@@ -15,8 +15,7 @@ from __future__ import annotations
 
 import itertools
 import re
-from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -114,21 +113,24 @@ def by_length(words: list[str]) -> Iterator[tuple[np.ndarray, list[str]]]:
 
 
 def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
-    """Normalised kernel of each word with each landmark."""
-    table = np.zeros((_SIZE**3, len(landmarks)), np.float32)
-    for places, some in by_length(landmarks):
-        ids, weights = subsequences(some)
-        norms = _norms(ids, weights)
-        for row, place in enumerate(places):
-            np.add.at(table[:, place], ids[row], weights / norms[row])
+    """Normalised kernel of each word with each landmark; a few landmarks at a time, to
+    bound the memory of their table."""
     out = np.zeros((len(words), len(landmarks)))
-    for places, some in by_length(words):
-        ids, weights = subsequences(some)
-        norms = _norms(ids, weights)
-        found = np.zeros((len(some), len(landmarks)))
-        for column, weight in zip(ids.T, weights, strict=True):
-            found += table[column] * weight
-        out[places] = found / norms[:, None]
+    for low in range(0, len(landmarks), 16):
+        few = landmarks[low : low + 16]
+        table = np.zeros((_SIZE**3, len(few)), np.float32)
+        for places, some in by_length(few):
+            ids, weights = subsequences(some)
+            norms = _norms(ids, weights)
+            for row, place in enumerate(places):
+                np.add.at(table[:, place], ids[row], weights / norms[row])
+        for places, some in by_length(words):
+            ids, weights = subsequences(some)
+            norms = _norms(ids, weights)
+            found = np.zeros((len(some), len(few)))
+            for column, weight in zip(ids.T, weights, strict=True):
+                found += table[column] * weight
+            out[places, low : low + len(few)] = found / norms[:, None]
     return out
 
 
@@ -197,63 +199,77 @@ def _grams(word: str, size: int = 4) -> set[str]:
     return {word[i : i + size] for i in range(max(1, len(word) - size + 1))}
 
 
-def _first_guess(toxic: list[list[str]], clean: list[list[str]]) -> list[str]:
-    """For each toxic document the word with the run of characters that most toxic and
-    fewest clean documents have."""
-
-    def documents(bags: list[list[str]]) -> Counter:
-        return Counter(itertools.chain.from_iterable(set().union(*map(_grams, bag)) for bag in bags))
-
-    in_toxic, in_clean = documents(toxic), documents(clean)
-    odds = {g: n / (1 + 20 * in_clean[g]) for g, n in in_toxic.items()}
-    return [max(bag, key=lambda w: (max(odds[g] for g in _grams(w)), w)) for bag in toxic if bag]
+def _first_guess(words: list[str], toxic: list[np.ndarray], clean: list[np.ndarray]) -> np.ndarray:
+    """For each word the odds of its run of four characters that most toxic and fewest clean
+    documents have."""
+    index: dict[str, int] = {}
+    runs = [[index.setdefault(g, len(index)) for g in _grams(w)] for w in words]
+    sizes = np.array([len(r) for r in runs])
+    flat = np.fromiter(itertools.chain.from_iterable(runs), np.int32, sizes.sum())
+    starts = np.cumsum(sizes) - sizes
+
+    def documents(bags: list[np.ndarray]) -> np.ndarray:
+        counts = np.zeros(len(index))
+        for bag in bags:
+            at = np.repeat(starts[bag] - (np.cumsum(sizes[bag]) - sizes[bag]), sizes[bag])
+            counts[np.unique(flat[at + np.arange(len(at))])] += 1
+        return counts
+
+    odds = documents(toxic) / (1 + 20 * documents(clean))
+    return np.maximum.reduceat(odds[flat], starts)
+
+
+def _numbered(bags: Iterable[set[str]], index: dict[str, int]) -> list[np.ndarray]:
+    """The parts of each bag's words as numbers; bags without any are left out."""
+    out = []
+    for bag in bags:
+        own = {index.setdefault(p, len(index)) for w in bag for p in parts(w) if p}
+        if own:
+            out.append(np.fromiter(own, np.int32, len(own)))
+    return out
 
 
-def train(toxic: list[set[str]], clean: list[set[str]], landmarks: int = LANDMARKS) -> Model:
+def train(toxic: Iterable[set[str]], clean: Iterable[set[str]], landmarks: int = LANDMARKS) -> Model:
     """Model from the bags of words of labelled documents.
 
     Without toxic or without clean documents that have words, the share of toxic ones is
     every document's score.
     """
-    n_toxic, n_all = len(toxic), len(toxic) + len(clean)
-    toxic = [sorted({p for w in bag for p in parts(w) if p}) for bag in toxic]
-    clean = [sorted({p for w in bag for p in parts(w) if p}) for bag in clean]
-    toxic, clean = [b for b in toxic if b], [b for b in clean if b]
-    if not toxic or not clean:
-        return Model(None, prior=n_toxic / n_all if n_all else 0.0)
-    in_toxic = Counter(itertools.chain.from_iterable(toxic))
-    in_clean = Counter(itertools.chain.from_iterable(clean))
+    index: dict[str, int] = {}
+    toxic_at, clean_at = _numbered(toxic, index), _numbered(clean, index)
+    prior = len(toxic_at) / max(1, len(toxic_at) + len(clean_at))
+    if not toxic_at or not clean_at:
+        return Model(None, prior=prior)
+    words = sorted(index)
+    number = np.empty(len(words), np.int32)
+    for i, word in enumerate(words):
+        number[index[word]] = i
+    del index
+    toxic_at, clean_at = ([np.sort(number[bag]) for bag in bags] for bags in (toxic_at, clean_at))
+    in_toxic, in_clean = (np.bincount(np.concatenate(b), minlength=len(words)) for b in (toxic_at, clean_at))
     # An insult is at least so many times as frequent in toxic documents.
-    rare = len(clean) / len(toxic) / ENRICHED
-    suspects = [[w for w in bag if in_clean[w] <= in_toxic[w] * rare] for bag in toxic]
-    clean_words = sorted(in_clean)
-    rng = np.random.default_rng(5)
-    some = rng.permutation(len(clean_words))
-    sampled = [clean_words[i] for i in some[:CLEAN_WORDS]]
-    witness = _first_guess(suspects, clean)
-    if not witness:
-        return Model(None, prior=n_toxic / n_all)
-    hard: set[str] = set()
-    words = sorted(in_toxic.keys() | in_clean.keys())
-    index = {w: i for i, w in enumerate(words)}
-    toxic_at = [[index[w] for w in b] for b in toxic]
-    suspects_at = [[index[w] for w in b] for b in suspects if b]
-    clean_at = [[index[w] for w in b] for b in clean]
+    rare = len(clean_at) / len(toxic_at) / ENRICHED
+    suspects = [bag[in_clean[bag] <= in_toxic[bag] * rare] for bag in toxic_at]
+    suspects = [bag for bag in suspects if len(bag)]
+    if not suspects:
+        return Model(None, prior=prior)
+    clean_words = np.flatnonzero(in_clean)
+    sampled = np.random.default_rng(5).permutation(clean_words)[:CLEAN_WORDS]
+    guess = _first_guess(words, suspects, clean_at)
+    witness = np.array([bag[guess[bag].argmax()] for bag in suspects])
+    hard = np.zeros(0, np.int64)
     for _ in range(TURNS):
-        counts = Counter(witness)
-        top = [w for w, _ in counts.most_common(landmarks // 2)]
-        basis = list(dict.fromkeys([*top, *sampled[: landmarks - len(top)]]))
-        gram = kernel(basis, basis)
-        values, vectors = np.linalg.eigh(gram)
+        positive, counts = np.unique(witness, return_counts=True)
+        top = positive[np.argsort(-counts, kind="stable")[: landmarks // 2]]
+        basis = [words[i] for i in dict.fromkeys([*top, *sampled[: landmarks - len(top)]])]
+        values, vectors = np.linalg.eigh(kernel(basis, basis))
         keep = values > 1e-6 * values[-1]
         project = vectors[:, keep] / np.sqrt(values[keep])
-        positive = sorted(counts)
-        negative = sorted(set(sampled) | hard)
-        x = kernel([*positive, *negative], basis) @ project
+        negative = np.union1d(sampled, hard)
+        x = kernel([words[i] for i in [*positive, *negative]], basis) @ project
         y = np.array([1.0] * len(positive) + [-1.0] * len(negative))
-        share = np.array([counts[w] for w in positive], float)
-        often = np.log([1.0 + in_clean[w] for w in negative])
-        weight = np.concatenate([share / share.sum() * 200, often / often.sum() * 200])
+        often = np.log1p(in_clean[negative])
+        weight = np.concatenate([counts / counts.sum() * 200, often / often.sum() * 200])
         w = _fit_margin(x, y, weight)
         alpha = project @ w[:-1]
         table = np.zeros(_SIZE**3)
@@ -264,16 +280,13 @@ def train(toxic: list[set[str]], clean: list[set[str]], landmarks: int = LANDMAR
                 np.add.at(table, ids[row], alpha[place] * weights / norms[row])
         model = Model(table, float(w[-1]))
         margin = model.margins(words)
-        again = [words[max(at, key=lambda i: margin[i])] for at in suspects_at]
-        hard |= {clean_words[i] for i in np.argsort([-margin[index[w]] for w in clean_words])[:2_000]}
-        if again == witness:
+        again = np.array([bag[margin[bag].argmax()] for bag in suspects])
+        hard = np.union1d(hard, clean_words[np.argsort(-margin[clean_words], kind="stable")[:2_000]])
+        if np.array_equal(again, witness):
             break
         witness = again
-    top_toxic = np.array([margin[at].max() for at in toxic_at])
-    top_clean = np.array([margin[at].max() for at in clean_at])
-    model.scale, model.shift = _fit_probability(
-        np.concatenate([top_toxic, top_clean]), np.arange(len(toxic) + len(clean)) < len(toxic)
-    )
+    tops = np.array([margin[bag].max() for bag in [*toxic_at, *clean_at]])
+    model.scale, model.shift = _fit_probability(tops, np.arange(len(tops)) < len(toxic_at))
     return model
 
 
@@ -281,24 +294,22 @@ def _held_out(doc_id: Column, folds: int, held: int) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(folds)) == held
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[set[str]], list[set[str]]]:
-    """Bags of words of a bounded sample of the labelled documents: toxic ones, clean ones.
+def labelled_sample(docs: DataFrame, labels: DataFrame, toxic: bool) -> Iterator[set[str]]:
+    """Bags of words of a bounded sample of the labelled documents of one class.
 
     Rows without a label or an id are not learnt from; of several labels of an id the
     highest counts. The sample is chosen by a hash of the id.
     """
     ids = labels.where("doc_id is not null and toxic is not null")
     ids = ids.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    own = ids.where((F.col("toxic") == 1) == F.lit(toxic))
+    bound = SAMPLE_TOXIC if toxic else SAMPLE_CLEAN
+    share = bound / max(bound, own.count())
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
-    bags: list[list[set[str]]] = []
-    for toxic, bound in ((True, SAMPLE_TOXIC), (False, SAMPLE_CLEAN)):
-        own = ids.where((F.col("toxic") == 1) == F.lit(toxic))
-        share = bound / max(bound, own.count())
-        chosen = own.where(draw < int(share * 1_000_000) + 1).select("doc_id").limit(bound)
-        rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-        rows = rows.select(F.col("text").cast("string")).limit(bound).collect()
-        bags.append([bag_of_words(r["text"]) for r in rows])
-    return bags[0], bags[1]
+    chosen = own.where(draw < int(share * 1_000_000) + 1).select("doc_id").limit(bound)
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    for row in rows.select(F.col("text").cast("string")).limit(bound).collect():
+        yield bag_of_words(row["text"])
 
 
 def _score_udf(model) -> Callable[[Column], Column]:
@@ -329,7 +340,7 @@ def _score_udf(model) -> Callable[[Column], Column]:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    return train(*labelled_sample(docs, labels))
+    return train(labelled_sample(docs, labels, True), labelled_sample(docs, labels, False))
 
 
 def with_toxicity(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
