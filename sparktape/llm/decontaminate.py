@@ -156,8 +156,8 @@ def _match_udf(items, window: int) -> Callable[[Column], Column]:
         automaton = SuffixAutomaton([(n, words_of(t)) for n, t in items.value], window)
         for texts in batches:
             out = []
-            for text in texts.to_pylist():
-                words = words_of(text)
+            for value in texts:
+                words = words_of(value.as_py())
                 spans, names = automaton.matches(words)
                 out.append(
                     {

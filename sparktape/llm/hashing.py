@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 
 U = np.uint64
 GOLDEN = U(0x9E3779B97F4A7C15)
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 EMPTY = U(0xFFFFFFFFFFFFFFFF)
 
 
@@ -146,7 +146,7 @@ def set_digests(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.
 
 
 _RANK_BITS = U(40)
-_TRACED = 4
+_TRACED = 8
 
 
 def superminhash(values: np.ndarray, bounds: np.ndarray, size: int) -> np.ndarray:

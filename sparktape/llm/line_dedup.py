@@ -114,9 +114,8 @@ def _marks_udf(size: int, bands: int, rows: int) -> Callable[[Column], Column]:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             parts = []
-            values = texts.to_pylist()
-            for low in range(0, max(len(values), 1), 256):
-                lines, places, counts = _first_lines(values[low : low + 256])
+            for low in range(0, max(len(texts), 1), 256):
+                lines, places, counts = _first_lines(texts[low : low + 256].to_pylist())
                 columns = np.zeros((len(names), len(lines)), np.int64)
                 if lines:
                     digests = np.frombuffer(b"".join(map(_identity, lines)), np.int64).reshape(-1, 2)
@@ -140,21 +139,25 @@ def _shared_udf(docs_wanted, nodes_wanted) -> Callable[[Column, Column], Column]
 
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for keys, texts in batches:
-            lines, places, counts = _lines(texts.to_pylist())
-            node = np.frombuffer(b"".join(map(_identity, lines)), np.int64).reshape(-1, 2)[:, 0]
-            hit = np.flatnonzero(in_filter(nodes_wanted.value, node))
             whole = in_filter(docs_wanted.value, keys.to_numpy(zero_copy_only=False))
-            owner = np.repeat(np.arange(len(counts)), counts)[hit]
-            content = [
-                lines[i].encode("utf-8", "surrogatepass") if whole[o] else None
-                for i, o in zip(hit, owner, strict=True)
-            ]
-            found = pa.StructArray.from_arrays(
-                [pa.array(np.array(places, np.int64)[hit]), pa.array(node[hit]), pa.array(content, pa.binary())],
-                ["line_no", "node", "content"],
-            )
-            shared = hashing.lists(found, np.bincount(owner, minlength=len(counts)))
-            yield pa.StructArray.from_arrays([pa.array(counts, pa.int64()), shared], ["n_lines", "shared"])
+            parts = []
+            for low in range(0, max(len(texts), 1), 256):
+                lines, places, counts = _lines(texts[low : low + 256].to_pylist())
+                node = np.frombuffer(b"".join(map(_identity, lines)), np.int64).reshape(-1, 2)[:, 0]
+                hit = np.flatnonzero(in_filter(nodes_wanted.value, node))
+                owner = np.repeat(np.arange(len(counts)), counts)[hit]
+                content = [
+                    lines[i].encode("utf-8", "surrogatepass") if whole[low + o] else None
+                    for i, o in zip(hit, owner, strict=True)
+                ]
+                at = pa.array(np.array(places, np.int64)[hit])
+                found = pa.StructArray.from_arrays(
+                    [at, pa.array(node[hit]), pa.array(content, pa.binary())], ["line_no", "node", "content"]
+                )
+                shared = hashing.lists(found, np.bincount(owner, minlength=len(counts)))
+                numbers = pa.array(counts, pa.int64())
+                parts.append(pa.StructArray.from_arrays([numbers, shared], ["n_lines", "shared"]))
+            yield pa.concat_arrays(parts)
 
     return F.arrow_udf(run, _SHARED)
 
@@ -287,8 +290,9 @@ def _rest_udf() -> Callable[[Column, Column], Column]:
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, drops in batches:
             out = []
-            for text, drop in zip(texts.to_pylist(), drops.to_pylist(), strict=True):
-                if text is None or not drop:
+            for value, drop in zip(texts, drops.to_pylist(), strict=True):
+                text = value.as_py() if drop else None
+                if text is None:
                     out.append(None)
                     continue
                 goes = {(d["line_no"], d["node"]) for d in drop}

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import json
 import os
 import zlib
 from collections.abc import Callable, Iterator
@@ -36,13 +37,16 @@ class Vocabulary(NamedTuple):
     tokenizer: str
     ranks: str | None = None
     pattern: str = ""
+    added: tuple[str, ...] = ()  # tokens that texts may spell out
 
 
 def default_vocabulary() -> Vocabulary:
     import public_tokenizers
 
     path = public_tokenizers.path
-    return Vocabulary(path("byte_bpe_50k.json"), path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    with open(path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        added = tuple(t["content"] for t in json.load(file)["added_tokens"])
+    return Vocabulary(path("byte_bpe_50k.json"), path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, added)
 
 
 class Encoder:
@@ -53,11 +57,7 @@ class Encoder:
     """
 
     def __init__(self, vocabulary: Vocabulary):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are the parallelism
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(vocabulary.tokenizer)
-        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.vocabulary = vocabulary
         self.ranked = None
         if vocabulary.ranks:
             import tiktoken
@@ -68,9 +68,16 @@ class Encoder:
                 "ranked", pat_str=vocabulary.pattern, mergeable_ranks=ranks, special_tokens={}
             )
 
+    @functools.cached_property
+    def tokenizer(self):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are the parallelism
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.vocabulary.tokenizer)
+
     def encode(self, text: str) -> bytes:
         """The ids as little-endian 32-bit numbers."""
-        if self.ranked is None or any(token in text for token in self.added):
+        if self.ranked is None or any(token in text for token in self.vocabulary.added):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return self.ranked.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
 

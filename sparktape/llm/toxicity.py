@@ -34,7 +34,7 @@ TURNS = 4
 ENRICHED = 5.0
 TOXIC_AT = 0.7
 WORD_CHARS, WORD_STEP = 32, 24
-CACHED = 300_000
+CACHED = 150_000
 
 _SIZE = 64  # alphabet: 0 none, 1-26 letters, 27-61 all others, 62 start, 63 end
 _START, _END = 62, 63
@@ -317,10 +317,9 @@ def _score_udf(model) -> Callable[[Column], Column]:
         fitted: Model = model.value
         known: dict[str, float] = {}
         for texts in batches:
-            values = texts.to_pylist()
-            top = np.full(len(values), fitted.bias)
-            for low in range(0, len(values) if fitted.table is not None else 0, 256):
-                bags = [bag_of_words(t) for t in values[low : low + 256]]
+            top = np.full(len(texts), fitted.bias)
+            for low in range(0, len(texts) if fitted.table is not None else 0, 256):
+                bags = [bag_of_words(t.as_py()) for t in texts[low : low + 256]]
                 new = list(set().union(*bags).difference(known))
                 if len(known) + len(new) > CACHED:
                     known.clear()
