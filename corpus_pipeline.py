@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sparktape.llm import decontaminate, line_dedup, near_dedup, packing, toxicity
-from sparktape.llm.tables import materialise, read_table
+from sparktape.llm.tables import materialise, read_table, small_batches
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,6 +45,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+    with small_batches(spark):
+        for name, stage in STAGES:
+            docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs

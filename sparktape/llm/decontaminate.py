@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import materialise, text_bytes
+from .tables import computed_once, lean, materialise, text_bytes
 
 WINDOW = 13
 MAX_COVERAGE = 0.05
@@ -168,7 +168,7 @@ def _match_udf(items, window: int) -> Callable[[Column], Column]:
                 )
             yield pa.array(out, _FOUND_TYPE)
 
-    return F.arrow_udf(run, _FOUND)
+    return F.arrow_udf(lean(run), _FOUND)
 
 
 def _piece_udf(window: int) -> Callable[[Column], Column]:
@@ -184,7 +184,7 @@ def _piece_udf(window: int) -> Callable[[Column], Column]:
                 out.append([b" ".join(words[i : i + size]) for i in starts] if words else [])
             yield pa.array(out, pa.list_(pa.binary()))
 
-    return F.arrow_udf(run, "array<binary>")
+    return F.arrow_udf(lean(run), "array<binary>")
 
 
 def _item_blocks(benchmark: DataFrame, window: int) -> list[list[tuple[str | None, bytes]]]:
@@ -270,7 +270,7 @@ def _cut_udf() -> Callable[[Column, Column], Column]:
                 out.append(b"".join([*kept, text[at:]]).decode("utf-8", "replace"))
             yield pa.array(out, pa.string())
 
-    return F.arrow_udf(run, "string")
+    return F.arrow_udf(lean(run), "string")
 
 
 def decontaminate(
@@ -289,6 +289,7 @@ def decontaminate(
     while any(c.startswith(found) for c in docs.columns):
         found = f"_{found}"
     rows = match_benchmark(docs, benchmark, window=window, found=found)
+    rows = computed_once(rows, found)
     spans = F.col(f"{found}.spans")
     n_hit, n_words = hit_words(spans), F.col(f"{found}.n_words")
     share = round(max_coverage * 1_000_000)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from . import hashing
 from .linking import link_components
-from .tables import free_names, in_filter, key_filter, materialise
+from .tables import computed_once, free_names, in_filter, key_filter, lean, materialise
 
 SHINGLE_CHARS = 8
 THRESHOLD = 0.8
@@ -113,7 +113,6 @@ def _marks_udf(size: int, bands: int, rows: int) -> Callable[[Column], Column]:
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            parts = []
             for low in range(0, max(len(texts), 1), 256):
                 lines, places, counts = _first_lines(texts[low : low + 256].to_pylist())
                 columns = np.zeros((len(names), len(lines)), np.int64)
@@ -124,10 +123,9 @@ def _marks_udf(size: int, bands: int, rows: int) -> Callable[[Column], Column]:
                     columns[4 : 4 + bands] = hashing.band_keys(signature[:, : bands * rows], rows).T
                     columns[4 + bands :] = hashing.low_bits(signature).T
                 found = pa.StructArray.from_arrays([pa.array(c) for c in columns], names)
-                parts.append(hashing.lists(found, np.array(counts, np.int64)))
-            yield pa.concat_arrays(parts)
+                yield hashing.lists(found, np.array(counts, np.int64))
 
-    return F.arrow_udf(run, kind)
+    return F.arrow_udf(lean(run), kind)
 
 
 _SHARED = "struct<n_lines:long,shared:array<struct<line_no:long,node:long,content:binary>>>"
@@ -140,7 +138,6 @@ def _shared_udf(docs_wanted, nodes_wanted) -> Callable[[Column, Column], Column]
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for keys, texts in batches:
             whole = in_filter(docs_wanted.value, keys.to_numpy(zero_copy_only=False))
-            parts = []
             for low in range(0, max(len(texts), 1), 256):
                 lines, places, counts = _lines(texts[low : low + 256].to_pylist())
                 node = np.frombuffer(b"".join(map(_identity, lines)), np.int64).reshape(-1, 2)[:, 0]
@@ -156,10 +153,9 @@ def _shared_udf(docs_wanted, nodes_wanted) -> Callable[[Column, Column], Column]
                 )
                 shared = hashing.lists(found, np.bincount(owner, minlength=len(counts)))
                 numbers = pa.array(counts, pa.int64())
-                parts.append(pa.StructArray.from_arrays([numbers, shared], ["n_lines", "shared"]))
-            yield pa.concat_arrays(parts)
+                yield pa.StructArray.from_arrays([numbers, shared], ["n_lines", "shared"])
 
-    return F.arrow_udf(run, _SHARED)
+    return F.arrow_udf(lean(run), _SHARED)
 
 
 def shingle_set(line: str, size: int) -> set[str]:
@@ -307,7 +303,7 @@ def _rest_udf() -> Callable[[Column, Column], Column]:
                 out.append("\n".join(kept) if any(line.strip() for line in kept) else "")
             yield pa.array(out, pa.string())
 
-    return F.arrow_udf(run, "string")
+    return F.arrow_udf(lean(run), "string")
 
 
 def drop_duplicate_lines(
@@ -329,5 +325,6 @@ def drop_duplicate_lines(
     )
     joined = docs.join(goes, F.col("doc_id").eqNullSafe(F.col(mine)), "left")
     joined = joined.withColumn(rest, _rest_udf()(F.col("text").cast("string"), F.col(lines)))
+    joined = computed_once(joined, rest)
     joined = joined.where(F.col(rest).isNull() | (F.col(rest) != ""))
     return joined.withColumn("text", F.coalesce(rest, "text")).select(*docs.columns)

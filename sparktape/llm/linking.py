@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .hashing import estimate
-from .tables import in_filter, key_filter, materialise
+from .tables import in_filter, key_filter, lean, materialise
 
 # Nodes on either side of a block of comparisons.
 BLOCK = 512
@@ -69,7 +69,7 @@ def bucket_members(bands: DataFrame) -> DataFrame:
     """`(key, node, n)`: the nodes of each bucket of two or more, and how many it has."""
     spread = bands.select("key", "node").repartitionByRange("key", "node")
     found = materialise(
-        spread.sortWithinPartitions("key").mapInArrow(_members, _MEMBERS), "bucket-nodes"
+        spread.sortWithinPartitions("key").mapInArrow(lean(_members), _MEMBERS), "bucket-nodes"
     )
     # Buckets over several tasks: nodes that are alone in their task belong to them too.
     edges = found.where("edge")
@@ -200,7 +200,7 @@ def _held_udf(wanted) -> Callable[[Column], Column]:
         for nodes in batches:
             yield pa.array(in_filter(wanted.value, nodes.to_numpy(zero_copy_only=False)))
 
-    return F.arrow_udf(run, "boolean")
+    return F.arrow_udf(lean(run), "boolean")
 
 
 def open_pairs(
@@ -243,7 +243,7 @@ def open_pairs(
     )
     right = rows.select(*kept, every(down).alias("i"), place(across).alias("j"), F.lit(False).alias("side"))
     blocks = left.unionByName(right).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side")
-    return blocks.mapInArrow(_compare(floor, decide), "a long, b long")
+    return blocks.mapInArrow(lean(_compare(floor, decide)), "a long, b long")
 
 
 def _similar_udf(decide: Decide) -> Callable[[Column, Column], Column]:
@@ -257,7 +257,7 @@ def _similar_udf(decide: Decide) -> Callable[[Column, Column], Column]:
                 out.append(decide(list(at), *index))
             yield pa.array(np.concatenate(out))
 
-    return F.arrow_udf(run, "boolean")
+    return F.arrow_udf(lean(run), "boolean")
 
 
 def link_components(

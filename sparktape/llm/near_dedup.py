@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from . import hashing
 from .linking import link_components
-from .tables import free_names, in_filter, key_filter, materialise, text_bytes
+from .tables import free_names, in_filter, key_filter, lean, materialise, text_bytes
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -70,7 +70,7 @@ def marks_udf(size: int, bands: int, rows: int) -> Callable[[Column], Column]:
             ("sketch", pa.list_(pa.int64())),
         ]
     )
-    return F.arrow_udf(run, _MARKS)
+    return F.arrow_udf(lean(run), _MARKS)
 
 
 def _set_udf(size: int, wanted) -> Callable[[Column, Column], Column]:
@@ -92,7 +92,7 @@ def _set_udf(size: int, wanted) -> Callable[[Column, Column], Column]:
                 [pa.array(node, mask=~hit), pa.array(content, pa.binary())], ["node", "content"]
             )
 
-    return F.arrow_udf(run, "struct<node:long,content:binary>")
+    return F.arrow_udf(lean(run), "struct<node:long,content:binary>")
 
 
 def similar_sets(threshold: float) -> Callable[[list[bytes], np.ndarray, np.ndarray], np.ndarray]:
@@ -123,7 +123,7 @@ def _identity_udf(size: int) -> Callable[[Column], Column]:
                 parts.append(pa.array(digests, mask=np.diff(bounds) == 0))
             yield pa.concat_arrays(parts)
 
-    return F.arrow_udf(run, "long")
+    return F.arrow_udf(lean(run), "long")
 
 
 def _components(docs: DataFrame, size: int, threshold: float, bands: int, rows: int) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tables import materialise
+from .tables import lean, materialise
 
 SEQUENCE_TOKENS = 1024
 END_ID = 2
@@ -119,7 +119,7 @@ def _pieces_udf(vocabulary: Vocabulary, size: int, end_id: int, with_ids: bool)
             yield pa.ListArray.from_arrays(pa.array(offsets), pieces)
 
     ids = ",ids:binary" if with_ids else ""
-    return F.arrow_udf(run, f"array<struct<{_PIECE}{ids}>>")
+    return F.arrow_udf(lean(run), f"array<struct<{_PIECE}{ids}>>")
 
 
 def token_pieces(
@@ -223,7 +223,7 @@ def pack(
     rows = rows.sortWithinPartitions("pack_group", F.xxhash64(order), "doc_id", "piece")
     fields = [f for f in rows.schema.fields if f.name != "pack_group"]
     out = T.StructType([*fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
-    return rows.mapInArrow(_packer(size, open_bins), out)
+    return rows.mapInArrow(lean(_packer(size, open_bins)), out)
 
 
 def pack_documents(docs: DataFrame, **options) -> DataFrame:

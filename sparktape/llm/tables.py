@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+
 import numpy as np
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +35,43 @@ def materialise(rows: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+# Bytes of rows that go to a Python worker at once; a longer text is a batch of its own.
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Rows go to Python workers in batches of `BATCH_BYTES` for as long as this lasts."""
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, before)
+
+
+def lean(run: Callable) -> Callable:
+    """The function of a Python stage, giving freed memory back when its task is done: a
+    worker lives on through later tasks and stages."""
+
+    @functools.wraps(run)
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+                pool.release_unused()
+
+    return wrapped
+
+
+def computed_once(rows: DataFrame, name: str) -> DataFrame:
+    """The rows, their column `name` behind a generator of one element: a filter on it is not
+    pushed into a second copy of the Python function that computes it."""
+    return rows.withColumn(name, F.explode(F.array(name)))
+
+
 def text_bytes(name: str = "text") -> Column:
     """UTF-8 of a text column, without decoding it on the way to Python; null stays null."""
     return F.col(name).cast("string").cast("binary")

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .tables import lean
+
 # Subsequences of three characters within five places; each place beyond three costs DECAY.
 SPAN, DECAY = 5, 0.6
 LANDMARKS = 128
@@ -107,8 +109,8 @@ def by_length(words: list[str]) -> Iterator[tuple[np.ndarray, list[str]]]:
     lengths = np.array([len(w) for w in words])
     for length in np.unique(lengths):
         places = np.flatnonzero(lengths == length)
-        for low in range(0, len(places), 4096):
-            some = places[low : low + 4096]
+        for low in range(0, len(places), 1024):
+            some = places[low : low + 1024]
             yield some, [words[i] for i in some]
 
 
@@ -335,7 +337,7 @@ def _score_udf(model) -> Callable[[Column], Column]:
                         top[i] = max(map(known.__getitem__, bag))
             yield pa.array(fitted.probability(top))
 
-    return F.arrow_udf(run, "double")
+    return F.arrow_udf(lean(run), "double")
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
