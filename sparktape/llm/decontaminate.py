@@ -294,6 +294,8 @@ def decontaminate(
     n_hit, n_words = hit_words(spans), F.col(f"{found}.n_words")
     share = round(max_coverage * 1_000_000)
     rows = rows.where((n_hit == 0) | (n_hit * 1_000_000 < n_words * share))
+    # Matching and cutting in turn: a task then holds one Python worker, not two at once.
+    rows = materialise(rows, "decontaminate")
     hit = F.size(spans) > 0
     cut = _cut_udf()(F.when(hit, text_bytes()), F.when(hit, spans))
     return rows.withColumn("text", F.coalesce(cut, F.col("text"))).select(*docs.columns)

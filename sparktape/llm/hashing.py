@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 
 U = np.uint64
 GOLDEN = U(0x9E3779B97F4A7C15)
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 EMPTY = U(0xFFFFFFFFFFFFFFFF)
 
 

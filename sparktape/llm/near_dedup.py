@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from . import hashing
 from .linking import link_components
-from .tables import free_names, in_filter, key_filter, lean, materialise, text_bytes
+from .tables import computed_once, free_names, in_filter, key_filter, lean, materialise, text_bytes
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -145,6 +145,7 @@ def _components(docs: DataFrame, size: int, threshold: float, bands: int, rows:
         chosen = nodes.select("node", "doc_id").join(wanted, "node", "left_semi")
         keys = key_filter(chosen, F.xxhash64("doc_id"))
         found = docs.select(_set_udf(size, keys)(F.xxhash64("doc_id"), text_bytes()).alias("s"))
+        found = computed_once(found, "s")
         return found.where("s.content is not null").select("s.*").dropDuplicates(["node"])
 
     roots = link_components(nodes, contents_of, similar_sets(threshold), SKETCH_FLOOR)
