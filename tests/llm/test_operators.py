@@ -439,6 +439,34 @@ def test_quality_counts_equal_plain_python(spark):
     assert found[0].kept and not found[2].kept
 
 
+def test_copies_do_not_narrow_the_band(spark):
+    rng = random.Random(13)
+
+    def text(letters: str) -> str:
+        return " ".join("".join(rng.choices(letters, k=5)) for _ in range(200))
+
+    # Two thirds are copies of one text, at the ranks in the middle.
+    body = text("abcdefghijklmnop")
+    simple = [" ".join("z" * rng.randint(1, 20) for _ in range(200)) for _ in range(15)]
+    rows = quality.quality(documents(spark, [body] * 60 + simple + [text("abcdefghijklmnopqrst") for _ in range(15)])).collect()
+    ranks = [r.doc_id for r in sorted(rows, key=lambda r: r.perplexity)]
+    assert len(rows) == 90 and max(ranks[15:75]) < 60
+    assert all(r.kept for r in rows)
+
+
+def test_near_copies_leave_a_band(spark):
+    rng = random.Random(14)
+    body = ["".join(rng.choices("abcdefghijklmnop", k=5)) for _ in range(200)]
+    near = [" ".join([*body, f"{'abcdefgh'[i % 8]}{'abcdefghij'[i // 8]}"]) for i in range(80)]
+    edited = []
+    for _ in range(10):
+        words = list(body)
+        for at in rng.sample(range(200), 8):
+            words[at] = "".join(rng.choices("abcdefghijklmnop", k=5))
+        edited.append(" ".join(words))
+    assert all(r.kept for r in quality.quality(documents(spark, near + edited)).collect())
+
+
 # -- tables at their limits -------------------------------------------------------------------
 
 OPERATORS = {
