@@ -198,6 +198,34 @@ def test_shards_are_even_and_groups_together(spark):
     assert places["hot"].most_common(1)[0][1] >= 80  # of 125 places; 38 by chance
 
 
+@pytest.mark.parametrize("copies", [2, 3])
+def test_shards_without_unlinked_rows(spark, copies):
+    texts = [f"t{i % 480}" for i in range(480 * copies)]
+    rows = sharding.shard_documents(documents(spark, texts), shards=8).collect()
+    counts, places = Counter(r.shard for r in rows), defaultdict(set)
+    assert sorted(counts.values()) == [60 * copies] * 8
+    for r in rows:
+        places[texts[r.doc_id]].add(r.shard)
+    assert all(len(p) == 1 for p in places.values())
+
+
+def test_large_groups_are_placed_whole(spark):
+    sizes = [90] * 4 + [70] * 4 + [30] * 4 + [10] * 4
+    texts = [f"g{i}" for i, n in enumerate(sizes) for _ in range(n)]
+    rows = sharding.shard_documents(documents(spark, texts), shards=8).collect()
+    assert Counter(Counter(r.shard for r in rows).values()) == {100: 8}
+    assert len({(texts[r.doc_id], r.shard) for r in rows}) == len(sizes)
+
+
+def test_linked_rows_change_places(spark):
+    rows = spark.range(40).withColumnRenamed("id", "row")
+    # The junior of each pair wants to where the junior of another one is: no row is loose.
+    links = spark.createDataFrame([(i, i + 21 if i % 2 == 0 else i + 19) for i in range(20)], "a long, b long")
+    placed = {r.row: r.shard for r in sharding.propagate(rows, links, 40, shards=2).collect()}
+    assert Counter(placed.values()) == {0: 20, 1: 20}
+    assert all(placed[a] == placed[b] for a, b in ((r.a, r.b) for r in links.collect()))
+
+
 # -- 5 ----------------------------------------------------------------------------------------
 
 
