@@ -1,8 +1,8 @@
 """Operator 2: near-duplicate lines by MinHash over character shingles.
 
 Lines that are equal after normalising are one node. A node's signature is
-one-permutation MinHash; 10 bands of 4 values find a pair at the threshold of 0.8 with
-probability 0.995 and nearly all pairs above it; candidates are verified on their shingle sets, and
+one-permutation MinHash; 12 bands of 4 values find a pair at the threshold of 0.8 with
+probability 0.998 and nearly all pairs above it; candidates are verified on their shingle sets, and
 union-find keeps one line of each component: the first, by doc_id and place.
 """
 
@@ -24,14 +24,14 @@ from .tables import computed_once, free_names, in_filter, key_filter, lean, mate
 
 SHINGLE_CHARS = 8
 THRESHOLD = 0.8
-BANDS, ROWS = 10, 4
+BANDS, ROWS = 12, 4
 # Values of a signature; four bits of each are compared before a pair is verified.
 VALUES = 128
 _RARE = "\t\r\x0b\x0c"
 _RUN = re.compile(r"[ \t\n\r\x0b\x0c]+")
-# Similarity that sketches must suggest for a pair to be verified (three standard deviations
-# under 0.8 at 128 values).
-SKETCH_FLOOR = 0.69
+# Similarity that sketches must suggest for a pair to be verified (nearly five standard
+# deviations under 0.8 at 128 values; those of short lines vary more).
+SKETCH_FLOOR = 0.62
 _BASE = 0xD1342543DE82EF95
 
 

@@ -21,9 +21,9 @@ from .tables import computed_once, free_names, in_filter, key_filter, lean, mate
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 48, 8
-# Similarity that sketches must suggest for a pair to be verified (three standard deviations
-# of plain MinHash under 0.8 at 384 values, more of this kind's).
-SKETCH_FLOOR = 0.74
+# Similarity that sketches must suggest for a pair to be verified (four standard deviations
+# under 0.8 at 384 values).
+SKETCH_FLOOR = 0.71
 
 _MARKS = "struct<n_shingles:long,fp1:long,fp2:long,keys:array<long>,sketch:array<long>>"
 

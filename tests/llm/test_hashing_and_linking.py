@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from sparktape.llm import hashing
+from sparktape.llm import hashing, line_dedup, near_dedup
 from sparktape.llm.linking import _members, bucket_members, connected
 
 MASK = (1 << 64) - 1
@@ -109,3 +109,30 @@ def test_buckets_across_batches_and_tasks(spark):
         out = [r for b in _members(iter(batches)) for r in b.to_pylist()]
         assert sorted((r["key"], r["node"]) for r in out if not r["edge"]) == [(1, 1), (1, 2), (3, 4), (3, 5)]
         assert sorted((r["key"], r["alone"]) for r in out if r["edge"]) == [(1, False), (3, False)]
+
+
+def pairs_at_threshold(n: int, k: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """`n` pairs of sets of 9k values, with 8k of 10k in common."""
+    values = np.random.default_rng(seed).integers(0, 2**63, (n, 10 * k), dtype=np.uint64)
+    sets = np.empty((2 * n, 9 * k), np.uint64)
+    sets[0::2], sets[1::2] = values[:, : 9 * k], np.concatenate([values[:, : 8 * k], values[:, 9 * k :]], 1)
+    return sets.reshape(-1), np.arange(2 * n + 1) * (9 * k)
+
+
+def missed(signature: np.ndarray, bands: int, rows: int, floor: float) -> float:
+    keys = hashing.band_keys(signature[:, : bands * rows], rows)
+    low = hashing.low_bits(signature).view(np.uint8)
+    found = (keys[0::2] == keys[1::2]).any(1) & (hashing.estimate(low[0::2], low[1::2]) >= floor)
+    return 1 - found.mean()
+
+
+@pytest.mark.parametrize("k", [2, 6, 12, 50])
+def test_lines_missed_at_the_threshold(k):
+    signatures = [hashing.one_permutation(*pairs_at_threshold(10_000, k, s), line_dedup.VALUES) for s in range(2)]
+    assert missed(np.concatenate(signatures), line_dedup.BANDS, line_dedup.ROWS, line_dedup.SKETCH_FLOOR) < 0.0035
+
+
+def test_documents_missed_at_the_threshold():
+    size = near_dedup.BANDS * near_dedup.ROWS
+    signatures = [hashing.superminhash(*pairs_at_threshold(1_000, 120, s), size) for s in range(8)]
+    assert missed(np.concatenate(signatures), near_dedup.BANDS, near_dedup.ROWS, near_dedup.SKETCH_FLOOR) < 0.0005
