@@ -1,4 +1,4 @@
-"""The ten operators and the pipeline as registered queries."""
+"""The operators and the pipeline as registered queries."""
 
 from __future__ import annotations
 
@@ -14,10 +14,13 @@ from . import (
     line_dedup,
     near_dedup,
     packing,
+    periodic,
     quality,
     secrets,
     sharding,
+    token_counts,
     toxicity,
+    whitening,
 )
 from .oracles import ORACLES
 from .tables import read_table
@@ -152,6 +155,62 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    learnt = whitening.fit(rows)
+    shares = [F.lit(share).cast("double") for share in learnt.explained]
+    found = whitening.with_whitened(rows, learnt).select(
+        "vec_id", "deviation", F.posexplode("whitened").alias("place", "value")
+    )
+    return found.select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        F.lit(learnt.n).cast("long").alias("n"),
+        "deviation",
+        F.col("value").alias("whitened"),
+        F.get(F.array(*shares).cast("array<double>"), F.col("place")).alias("explained"),
+        F.lit(learnt.identity_error).cast("double").alias("identity_error"),
+    )
+
+
+def with_planted_period(docs: DataFrame) -> DataFrame:
+    """`doc_id, text`; a tenth of the texts, by the CRC-32 of the doc_id, repeat some words from
+    some place on to their end. A null doc_id plants nothing."""
+    code = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    rows = docs.select("doc_id", "text", F.floor(code / 10).alias("g"), (code % 10 == 0).alias("chosen"))
+    rows = rows.withColumn("words", F.when(F.col("chosen"), words)).withColumn("n", F.size("words"))
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, F.pmod("g", "n")))
+    rows = rows.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+
+    def planted(word, i):
+        place = F.col("a") + F.pmod(i - F.col("a"), F.col("p"))
+        return F.when(i >= F.col("a"), F.get("words", place.cast("int"))).otherwise(word)
+
+    text = F.array_join(F.transform("words", planted), " ")
+    return rows.select("doc_id", F.when(F.col("n") > 0, text).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.with_runs(with_planted_period(_docs(spark, sf_dir))).select(
+        "doc_id", "runs", "collapsed", periodic.longest_run(F.col("runs")).alias("best")
+    )
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *(r[c] for c in periodic.RUN)), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *(F.col(f"best.{name}") for name in periodic.RUN),
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.with_token_counts(_docs(spark, sf_dir).select("doc_id", "text"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 def all_queries() -> dict[str, Query]:
     import corpus_pipeline
 
@@ -166,6 +225,9 @@ def all_queries() -> dict[str, Query]:
         op8_near_dedup,
         op9_language,
         op10_quality,
+        op11_whitening,
+        op12_periodic,
+        op13_token_counts,
     ]
     return {run.__name__: run for run in named} | {"pipeline": corpus_pipeline.run}
 
