@@ -10,8 +10,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import utc_date
-from ..schema import PARTITION_COLS, STORED_COLS, STORED_TICK, TICK_COLS
+from ..functions.timeargs import TimeInput
+from ..schema import STORED_COLS, STORED_TICK
+from . import published
+from .published import with_date, write_partitions
 
 STREAM_LOG = "_spark_metadata"
 
@@ -43,7 +45,12 @@ def _open(
 
 
 def read_ticks(
-    spark: SparkSession, *roots: str, exchange: str | None = None, symbol: str | None = None
+    spark: SparkSession,
+    *roots: str,
+    exchange: str | None = None,
+    symbol: str | None = None,
+    start: TimeInput | None = None,
+    end: TimeInput | None = None,
 ) -> DataFrame:
     """Ticks of one or more trees with the path's `date`; no rows where nothing exists yet.
 
@@ -52,12 +59,20 @@ def read_ticks(
     a stream keeps its own list of finished files.
 
     Naming an exchange or a symbol keeps the driver from listing the directories of all
-    the others, which matters in a tree with millions of them.
+    the others, which matters in a tree with millions of them. Of a published tree no
+    directory is listed at all: its manifest names the files, and `start` and `end` leave
+    out those without a tick in between. (Rows outside of them may still come out.)
     """
-    found = [_open(spark, root, exchange, symbol) for root in roots]
+    named = {"exchange": exchange, "symbol": symbol}
+    found = [
+        published.read_published(spark, root, start=start, end=end, **named)
+        if published.is_published(spark, root)
+        else _open(spark, root, **named)
+        for root in roots
+    ]
     trees = [tree.select(*STORED_COLS) for tree in found if tree is not None]
     ticks = reduce(DataFrame.unionByName, trees) if trees else spark.createDataFrame([], STORED_TICK)
-    for name, value in (("exchange", exchange), ("symbol", symbol)):
+    for name, value in named.items():
         if value is not None:
             ticks = ticks.where(F.col(name) == value)
     return ticks
@@ -74,11 +89,6 @@ def read_partition(
     )
 
 
-def with_date(ticks: DataFrame) -> DataFrame:
-    """Ticks in stored form, the day computed from the trade time."""
-    return ticks.select(*TICK_COLS, utc_date(F.col("timestamp_ns")).alias("date"))
-
-
 def append_ticks(
     ticks: DataFrame, root: str, *, cluster: bool = True, max_records_per_file: int = 0
 ) -> None:
@@ -86,7 +96,7 @@ def append_ticks(
 
     Spark's default committer then moves the files one by one, so a reader at that moment can
     see a part of them; a job that fails leaves none. Where readers must never see a part, use
-    a committer or table format that publishes a job at once.
+    a published tree (`published.create_published`), to which this appends in one commit.
 
     Rows are gathered per partition with a rebalance, which adaptive execution splits
     where one feed's day is too large for a task and merges where days are small; within a
@@ -96,17 +106,11 @@ def append_ticks(
     spark = ticks.sparkSession
     if _is_stream_tree(spark, root):
         raise ValueError(f"{root} is written by a stream; append to another tree and read both")
+    if published.is_published(spark, root):
+        published.publish_ticks(ticks, root, max_records_per_file=max_records_per_file)
+        return
     rows = with_date(ticks)
-    if cluster:
-        rows = rows.hint("rebalance", *PARTITION_COLS)
-    (
-        rows.sortWithinPartitions(*PARTITION_COLS, "timestamp_ns")
-        .write.mode("append")
-        .partitionBy(*PARTITION_COLS)
-        .option("compression", "zstd")
-        .option("maxRecordsPerFile", max_records_per_file)
-        .parquet(str(root))
-    )
+    write_partitions(rows, root, "append", cluster=cluster, max_records_per_file=max_records_per_file)
 
 
 def _batch_numbers(spark: SparkSession, path: str) -> list[int] | None:
@@ -144,10 +148,24 @@ def check_stream_target(spark: SparkSession, root: str, checkpoint: str) -> None
         raise ValueError(f"{root} is ahead of the checkpoint {checkpoint}; restart with its own")
 
 
+def check_fence(spark: SparkSession, root: str, checkpoint: str, name: str) -> None:
+    """Refuses a checkpoint that is behind what the stream `name` has published at `root`:
+    its batches would be taken for done."""
+    now = published.latest(spark, root)
+    done = max(_batch_numbers(spark, f"{checkpoint.rstrip('/')}/commits") or [-1], default=-1)
+    # The last batch may be in the tree but not yet in the checkpoint.
+    if now and now.fences.get(name, -1) > done + 1 or (now and done == -1 and now.fences.get(name, -1) > 0):
+        raise ValueError(f"stream {name!r} at {root} is ahead of the checkpoint {checkpoint}")
+
+
 def tree_feeds(spark: SparkSession, *roots: str) -> list[tuple[str, str]]:
     """Exchange and symbol of each directory, from the paths of the files alone."""
     found = set()
     for root in roots:
+        if published.is_published(spark, root):
+            feeds = published.live_files(spark, root).select("exchange", "symbol").distinct()
+            found |= {tuple(feed) for feed in feeds.collect()}
+            continue
         tree = _open(spark, root)
         for path in tree.inputFiles() if tree is not None else []:
             parts = dict(p.split("=", 1) for p in path.split("/") if "=" in p)
@@ -172,7 +190,11 @@ def partition_layout(ticks: DataFrame) -> DataFrame:
 
 
 def file_inventory(spark: SparkSession, root: str) -> DataFrame:
-    """Files of a tree with bytes and rows; no data column is read."""
+    """Files of a tree with bytes and rows; no data column is read, and of a published tree
+    nothing but its manifest."""
+    if published.is_published(spark, root):
+        path = F.concat(F.lit(f"{str(root).rstrip('/')}/"), "path").alias("path")
+        return published.live_files(spark, root).select(path, "n_bytes", "n_rows")
     tree = _open(spark, root)
     if tree is None:
         return spark.createDataFrame([], "path string, n_bytes long, n_rows long")

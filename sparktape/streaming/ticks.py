@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.columns import tick_line
 from ..operators.decode import decode_frames, frame_ticks
 from ..schema import PARTITION_COLS, WRITE_LOG
-from ..sources.lake import check_stream_target, with_date
+from ..sources import published
+from ..sources.lake import check_fence, check_stream_target
+from ..sources.published import with_date
 
 # Ticks per file and seconds between flushes, unless the caller says otherwise.
 FLUSH_TICKS = 10_000
@@ -54,6 +56,55 @@ def write_tick_stream(
     return writer.trigger(**trigger).start()
 
 
+def publish_tick_stream(
+    frames: DataFrame,
+    root: str,
+    checkpoint: str | None = None,
+    *,
+    name: str = "ticks",
+    on_error: str = "prefix",
+    available_now: bool = False,
+    flush_interval: str = FLUSH_INTERVAL,
+    max_records_per_file: int = 0,
+) -> StreamingQuery:
+    """Decode a stream of frames into a published tree, with a write log beside the ticks.
+
+    Each micro-batch is one commit: its files, its rows in the write log (one per feed) and
+    its row in the batch log become visible together. A batch that runs again, after a
+    restart or a lost executor, finds its number in the tree and changes nothing. The log
+    lives as long as the tree, over all runs. Several streams may write to a tree under
+    different names, and batch jobs and compaction beside them.
+    """
+    spark = frames.sparkSession
+    root = str(root).rstrip("/")
+    checkpoint = checkpoint or f"{root}{CHECKPOINT_SUFFIX}"
+    published.create_published(spark, root)
+    check_fence(spark, root, checkpoint, name)
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        now = published.latest(batch.sparkSession, root)
+        if now.fences.get(name, -1) >= batch_id:
+            return
+        seen = Observation()
+        decoded = decode_frames(batch, on_error=on_error).observe(
+            seen,
+            F.count(F.lit(1)).alias("n_frames"),
+            F.count_if(F.col("status") == "error").alias("n_errors"),
+        )
+        published.publish_ticks(
+            frame_ticks(decoded),
+            root,
+            commit=f"{name}-{batch_id:012d}",
+            fence=(name, batch_id),
+            frames=seen,
+            max_records_per_file=max_records_per_file,
+        )
+
+    trigger = {"availableNow": True} if available_now else {"processingTime": flush_interval}
+    writer = frames.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
+    return writer.trigger(**trigger).start()
+
+
 def print_tick_stream(ticks: DataFrame, *, available_now: bool = False) -> StreamingQuery:
     """Show a stream of ticks on the console, one line each."""
     trigger = {"availableNow": True} if available_now else {"processingTime": "1 second"}
@@ -67,8 +118,19 @@ def drain(query: StreamingQuery) -> None:
     query.stop()
 
 
+def _refuse_long_run(spark: SparkSession, query: StreamingQuery) -> None:
+    kept = int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", "100"))
+    if len(query.recentProgress) >= kept:
+        raise ValueError(f"only the last {kept} batches are known; raise numRecentProgressUpdates")
+
+
 def progress_log(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Write log of a query's recent micro-batches (Spark keeps a bounded number of them)."""
+    """Write log of a query's micro-batches, without feeds.
+
+    Spark keeps a bounded number of them; a longer run is refused rather than cut. A
+    published tree keeps a log of all batches and feeds (`published.write_log`).
+    """
+    _refuse_long_run(spark, query)
     batches = [
         (
             int(p.batchId),
@@ -89,16 +151,32 @@ def progress_log(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     return raw.withColumn("at_ns", at_ns).select(*WRITE_LOG.fieldNames())
 
 
+def published_summary(spark: SparkSession, root: str) -> DataFrame:
+    """One row on all that was ever streamed into a published tree, over any number of runs:
+    batches, frames in, frames that failed, ticks and files written, frames per second of
+    writing."""
+    return published.batch_log(spark, root).where("stream IS NOT NULL").agg(
+        F.count("*").alias("n_batches"),
+        F.coalesce(F.sum("n_frames"), F.lit(0)).alias("n_frames"),
+        F.coalesce(F.sum("n_errors"), F.lit(0)).alias("n_errors"),
+        F.coalesce(F.sum("n_ticks"), F.lit(0)).alias("n_ticks"),
+        F.coalesce(F.sum("n_files"), F.lit(0)).alias("files_written"),
+        F.round(F.sum("n_frames") / F.nullif(F.sum("latency_s"), F.lit(0.0)), 1).alias("msgs_per_sec"),
+    )
+
+
 def run_summary(query: StreamingQuery, inventory: DataFrame) -> DataFrame:
-    """One row on a run: frames in, ticks and files out, time spent, frames per second.
+    """One row on a tree's only run: frames in, ticks and files out, time spent, frames per
+    second.
 
-    Spark keeps a limited number of a query's batches; a longer run is refused rather than
-    summed up in part.
+    Spark keeps a limited number of a query's batches, and none of an earlier run; a longer
+    run, or one that went on where another stopped, is refused rather than summed up in
+    part. `published_summary` covers all runs.
     """
+    _refuse_long_run(inventory.sparkSession, query)
     done = query.recentProgress
-    kept = int(inventory.sparkSession.conf.get("spark.sql.streaming.numRecentProgressUpdates", "100"))
-    if len(done) >= kept:
-        raise ValueError(f"only the last {kept} batches are known; raise numRecentProgressUpdates")
+    if done and done[0].batchId > 0:
+        raise ValueError("an earlier run wrote to this tree, and its batches are not known any more")
     frames = sum(p.numInputRows for p in done)
     seconds = sum(p.durationMs.get("triggerExecution", 0) for p in done) / 1000.0
     return inventory.agg(
