@@ -12,7 +12,7 @@ the rest of its frame. Such a frame is either `parsed`, `ignored` (no trade in i
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -183,16 +183,49 @@ COINBASE = register_decoder(
 )
 
 
+# -- feeds read by Python -----------------------------------------------------------------
+
+# Text of a frame -> its trades, as mappings with `CANDIDATE_FIELDS`; raises `ValueError`, whose
+# text becomes the reason, where the frame cannot be read.
+FrameReader = Callable[[str], Iterable[Mapping[str, object]]]
+
+
+def _reader_udtf(parse: FrameReader, unreadable: str):
+    """A table function of one row per frame: `bad` and `trades`, as a SQL decoder gives them."""
+
+    class ReadFrame:
+        def eval(self, raw: str):
+            if raw is None:
+                yield unreadable, []
+                return
+            try:
+                found = [tuple(trade.get(c) for c in CANDIDATE_FIELDS) for trade in parse(raw)]
+            except ValueError as error:
+                yield str(error) or MALFORMED, []
+                return
+            yield None, found
+
+    return F.udtf(ReadFrame, returnType=f"bad STRING, trades {CANDIDATES}")
+
+
 # -- common part --------------------------------------------------------------------------
 
 
 def decode_frames(
-    frames: DataFrame, now_ns: int | None = None, on_error: str = "prefix"
+    frames: DataFrame,
+    now_ns: int | None = None,
+    on_error: str = "prefix",
+    python_feeds: Mapping[str, FrameReader] | None = None,
 ) -> DataFrame:
     """Frames with `status`, `reason` and the good `trades` of each, in one narrow pass.
 
     `on_error="prefix"` drops the trades after the first bad one of a frame;
     `"per_trade"` drops only the bad ones. Works on tables and on streams.
+
+    `python_feeds` names sources whose frames no SQL expression can read, each with a Python
+    function. Their frames alone go through Python workers, by a table function; tick rules
+    and all that follows are the same. Such a source takes the place of a SQL decoder of its
+    name, and makes for one more scan of the frames.
     """
     if on_error not in ("prefix", "per_trade"):
         raise ValueError(f"on_error must be 'prefix' or 'per_trade', not {on_error!r}")
@@ -201,6 +234,17 @@ def decode_frames(
     text = F.expr("try_validate_utf8(CAST(raw AS STRING))") if binary else F.col("raw")
     rows = frames.select("source", "raw", "received_ns", text.alias("_text"))
 
+    unreadable = NOT_UTF8 if binary else MALFORMED
+    by_python = dict(python_feeds or {})
+    read_by_python = [
+        rows.where(F.col("source") == name)
+        .lateralJoin(_reader_udtf(parse, unreadable)(F.col("_text").outer()))
+        .select("source", "raw", "received_ns", F.struct("bad", "trades").alias("_read"))
+        for name, parse in by_python.items()
+    ]
+    if by_python:
+        rows = rows.where(~F.coalesce(F.col("source").isin(list(by_python)), F.lit(False)))
+
     # One chain of parse columns per feed; a row runs only the chain of its own source.
     for depth in range(max(len(decoder.stages) for decoder in known)):
         stage_columns = {}
@@ -215,7 +259,7 @@ def decode_frames(
     def failed(reason: str) -> Column:
         return F.expr(outcome_sql(f"'{reason}'", _NOTHING))
 
-    read = F.when(F.col("_text").isNull(), failed(NOT_UTF8 if binary else MALFORMED))
+    read = F.when(F.col("_text").isNull(), failed(unreadable))
     for decoder in known:
         outcome = decoder.read(f"_{decoder.name}_{len(decoder.stages) - 1}", "_text")
         read = read.when(F.col("source") == decoder.name, outcome)
@@ -238,9 +282,11 @@ def decode_frames(
         "prefix": f"slice(_read.trades, 1, {first_bad} - 1)",
         "per_trade": "filter(_read.trades, (t, i) -> _reasons[i] IS NULL)",
     }[on_error]
+    rows = rows.withColumn("_read", read.otherwise(failed(NO_DECODER)))
+    for part in read_by_python:
+        rows = rows.select("source", "raw", "received_ns", "_read").unionByName(part)
     staged = (
-        rows.withColumn("_read", read.otherwise(failed(NO_DECODER)))
-        .withColumn("_reasons", F.expr(reasons))
+        rows.withColumn("_reasons", F.expr(reasons))
         .withColumn("_bad", F.expr(first_reason))
         .selectExpr(
             "source", "raw", "received_ns",

@@ -115,6 +115,61 @@ def latency_quantiles(write_log: DataFrame, window_s: int | None = None) -> Data
     )
 
 
+def latency_quantiles_of_values(
+    write_log: DataFrame, *keys: str, accuracy: int | None = None
+) -> DataFrame:
+    """p50, p95 and p99 of the write latencies themselves, per group.
+
+    Exact, by linear interpolation, with state that grows with the values; or with an
+    `accuracy` from a sketch of bounded size: a value whose rank is off by at most one part
+    in `accuracy`.
+    """
+    value, wanted = F.col("latency_s"), list(QUANTILES.values())
+    q = F.percentile(value, wanted) if accuracy is None else F.percentile_approx(value, wanted, accuracy)
+    found = write_log.groupBy(*keys).agg(F.count(value).alias("n_writes"), q.alias("q"))
+    return found.withColumns({name: F.get("q", F.lit(i)) for i, name in enumerate(QUANTILES)}).drop("q")
+
+
+# -- quantile sketches that merge ------------------------------------------------------------
+
+# Size of a KLL sketch, and the greatest error of a rank that is to be expected of it (99 % of
+# the time, as the authors of the sketch state it); merging does not add to the error.
+SKETCH_K, SKETCH_RANK_ERROR = 800, 0.006
+
+
+def latency_sketches(
+    rows: DataFrame, seconds: Column, time: str, *keys: str, pane_s: int = 60, k: int = SKETCH_K
+) -> DataFrame:
+    """One sketch of a latency per group and pane of `pane_s` seconds.
+
+    A sketch has a few kilobytes whatever it has seen, so panes can be stored and the
+    quantiles of any range of them asked for later.
+    """
+    width = pane_s * NS_PER_SECOND
+    pane = (long_div(F.col(time), width) * F.lit(width).cast("long")).alias("pane_start_ns")
+    sketch = F.kll_sketch_agg_double(seconds, F.lit(k)).alias("sketch")
+    return rows.groupBy(*keys, pane).agg(F.count(seconds).alias("n"), sketch)
+
+
+def sketch_quantiles(
+    sketches: DataFrame, *keys: str, start_ns: int | None = None, end_ns: int | None = None
+) -> DataFrame:
+    """p50, p95 and p99 per group over the panes that begin in `[start_ns, end_ns)`.
+
+    Each value has a rank within `SKETCH_RANK_ERROR` of the quantile's.
+    """
+    for bound, within in ((start_ns, F.col("pane_start_ns") >= start_ns), (end_ns, F.col("pane_start_ns") < end_ns)):
+        if bound is not None:
+            sketches = sketches.where(within)
+    merged = sketches.where("n > 0").groupBy(*keys).agg(
+        F.sum("n").alias("n"), F.kll_merge_agg_double("sketch").alias("sketch")
+    )
+    quantiles = {
+        name: F.kll_sketch_get_quantile_double("sketch", F.lit(q)) for name, q in QUANTILES.items()
+    }
+    return merged.withColumns(quantiles).drop("sketch")
+
+
 def feed_latency(ticks: DataFrame, *, exact: bool = False, accuracy: int = 10_000) -> DataFrame:
     """Receipt minus trade time per feed: extremes, mean, skewed clocks and quantiles.
 

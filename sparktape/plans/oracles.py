@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ..operators import health
 from ..sources import tables
+from ..streaming.events import slot_micros
 from . import queries as q
 
 # Ticks of `events`; `kind` picks the frame shape and the broken rows.
@@ -102,6 +103,22 @@ def _bars(width_ns: int, keys: str = "exchange, symbol, ", where: str = "TRUE")
     )
 
 
+def _exact(keys: str, where: str = "TRUE") -> str:
+    """Exact notional, volume and average of `with_long_prices`, in whole numbers of 10^-18."""
+    group = ", ".join(k.split(" AS ")[-1].strip() for k in keys.split(",") if k.strip())
+    text = "CAST({0} // {1}::HUGEINT AS VARCHAR) || '.' || lpad(CAST({0} % {1}::HUGEINT AS VARCHAR), 18, '0')"
+    one = 10**18
+    even = "(n // v + CASE WHEN 2 * (n % v) + (n // v) % 2 > v THEN 1 ELSE 0 END)"
+    return _events(
+        f"""SELECT {group + "," if group else ""} {text.format("n", one)} || repeat('0', 18) AS notional,
+              CAST(v AS VARCHAR) || '.' || repeat('0', 18) AS volume,
+              {text.format(even, one)} AS vwap
+            FROM (SELECT {keys} sum(unit * CAST(size AS HUGEINT)) AS n, CAST(sum(CAST(size AS HUGEINT)) AS HUGEINT) AS v
+                  FROM (SELECT *, CAST(price * 100 AS HUGEINT) * {10**16}::HUGEINT + event_id * 7919 + 1 AS unit FROM ticks)
+                  WHERE {where} {"GROUP BY " + group if group else ""})"""
+    )
+
+
 def _gaps(ticks: str, select: str, seconds: float, where: str = "TRUE", more: str = "") -> str:
     return f"""WITH {ticks}, lagged AS (
         SELECT exchange, symbol, timestamp_ns AS gap_end_ns,
@@ -172,7 +189,11 @@ _WATERMARK = "(SELECT (max(timestamp_ns) // 1000000 - 600000) * 1000000 FROM tic
 
 
 def all_oracles() -> dict[str, str]:
-    hour, slot = _width("1h"), int(q.GAP_SECONDS * 1_000_000_000) + 1
+    hour, slot = _width("1h"), slot_micros(q.GAP_SECONDS) * 1_000
+    _listing = _events(
+        "SELECT 'exchange=' || exchange || '/symbol=' || symbol || '/date=' || CAST(date AS VARCHAR) "
+        "AS partition, count(*) AS n_rows, true AS as_listed FROM ticks GROUP BY ALL"
+    )
     sql = {
         "scan_ticks": _events(f"SELECT {TICK_OUT} FROM ticks"),
         "trades_range": _events(f"SELECT {TICK_OUT} FROM ticks WHERE {RANGE}"),
@@ -205,10 +226,20 @@ def all_oracles() -> dict[str, str]:
         ),
         "vwap_exact_parts": _events(
             "SELECT exchange, symbol, "
-            "CAST(CAST(sum(CAST(price AS DECIMAL(18,2)) * CAST(size AS DECIMAL(18,2))) AS DECIMAL(38,16)) AS VARCHAR) "
-            "AS notional, CAST(CAST(sum(CAST(size AS DECIMAL(18,2))) AS DECIMAL(28,8)) AS VARCHAR) AS volume "
+            "CAST(CAST(sum(CAST(price AS DECIMAL(18,2)) * CAST(size AS DECIMAL(18,0))) AS DECIMAL(38,2)) AS VARCHAR) "
+            "|| repeat('0', 34) AS notional, "
+            "CAST(CAST(sum(CAST(size AS DECIMAL(18,0))) AS DECIMAL(38,0)) AS VARCHAR) || '.' || repeat('0', 18) AS volume "
             "FROM ticks GROUP BY exchange, symbol"
         ),
+        "vwap_exact": _exact("", POOL),
+        "vwap_exact_by_symbol": _exact("exchange, symbol,"),
+        "vwap_exact_by_bar": _exact("exchange, symbol, timestamp_ns // 86400000000000 * 86400000000000 AS bar_start_ns,"),
+        "bars_tied_1d": _events(
+            f"SELECT exchange, symbol, timestamp_ns // {_width('1d')} * {_width('1d')} AS bar_start_ns, "
+            + BAR_AGGREGATES.replace("DOUBLE), timestamp_ns)", "DOUBLE), {'a': timestamp_ns, 'b': event_id})")
+            + " FROM (SELECT * REPLACE (timestamp_ns // 43200000000000 * 43200000000000 AS timestamp_ns) FROM ticks) "
+            "GROUP BY exchange, symbol, bar_start_ns"
+        ),
         "bars_pooled": _bars(_width("15m"), "", POOL),
         "bars_range": _bars(_width("4h"), "", f"{RANGE} AND {FEED}"),
         "bars_display": _events(
@@ -234,7 +265,18 @@ def all_oracles() -> dict[str, str]:
             "SELECT timestamp_ns, CAST(price AS VARCHAR) AS price, CAST(size AS VARCHAR) AS size, side "
             f"FROM ticks WHERE {POOL} AND {FEED} AND date = DATE '{q.DAY}'"
         ),
-        "file_totals": "SELECT count(*) AS n_rows FROM events",
+        "file_totals": "SELECT count(*) AS n_rows, true AS files_as_listed, true AS bytes_as_listed FROM events",
+        "file_inventory": _listing,
+        "scan_empty": _events(f"SELECT {TICK_OUT} FROM ticks WHERE false"),
+        "published_ticks": _events(f"SELECT {TICK_OUT} FROM ticks"),
+        "published_range": _events(f"SELECT {TICK_OUT} FROM ticks WHERE {RANGE} AND {FEED}"),
+        "published_inventory": _listing,
+        "manifest_ranges": _events(
+            "SELECT exchange, symbol, CAST(date AS VARCHAR) AS date, count(*) AS n_rows, "
+            "min(timestamp_ns) AS min_ns, max(timestamp_ns) AS max_ns FROM ticks GROUP BY exchange, symbol, date"
+        ),
+        "atomic_publish": _events(f"SELECT {TICK_OUT} FROM ticks WHERE event_id % 3 <> 2"),
+        "compacted_ticks": _events(f"SELECT {TICK_OUT}, 1 AS n_files FROM ticks"),
         "bulk_vwap": _bulk(f"SELECT exchange, symbol, {VWAP} FROM ticks GROUP BY ALL"),
         "bulk_bars_1d": _bulk(
             f"SELECT exchange, symbol, timestamp_ns // {_width('1d')} * {_width('1d')} AS bar_start_ns, "
@@ -248,6 +290,9 @@ def all_oracles() -> dict[str, str]:
         "decode_coinbase": _events(
             f"SELECT {TICK_OUT} FROM frame_ticks WHERE exchange = 'coinbase'", FRAMES
         ),
+        "decode_python_feed": _events(
+            f"SELECT {TICK_OUT} FROM frame_ticks WHERE exchange = 'binance'", FRAMES
+        ),
         "decode_per_trade": _events(
             # The third trade of a frame with a bad second one survives here.
             f"""SELECT {TICK_OUT} FROM frame_ticks UNION ALL
@@ -326,12 +371,25 @@ def all_oracles() -> dict[str, str]:
                FROM ticks GROUP BY exchange, window_start_ns"""
         ),
         "stream_write": _events(f"SELECT {TICK_OUT} FROM ticks"),
-        "stream_decode": _events(
-            f"SELECT {TICK_OUT} FROM frame_ticks WHERE exchange = 'coinbase'", FRAMES
+        "stream_decode": _events(f"SELECT {TICK_OUT} FROM frame_ticks", FRAMES),
+        "stream_drain": _events(f"SELECT {TICK_OUT} FROM frame_ticks", FRAMES),
+        "stream_published": _events(f"SELECT {TICK_OUT} FROM frame_ticks", FRAMES),
+        "m_run_summary": _events(
+            """SELECT count(DISTINCT received_ns // 86400000000000 % 2) AS n_batches, count(*) AS n_frames,
+                 count(reason) AS n_errors, CAST(sum(n_ticks) AS BIGINT) AS n_ticks,
+                 true AS files_as_listed, true AS has_rate FROM decoded""",
+            FRAMES,
         ),
-        "stream_drain": _events(
-            f"SELECT {TICK_OUT} FROM frame_ticks WHERE exchange = 'binance'", FRAMES
+        "m_stream_written": _events(
+            "SELECT exchange, symbol, count(*) AS n_ticks FROM frame_ticks GROUP BY ALL", FRAMES
+        ),
+        "m_stream_latency": _events(
+            """SELECT exchange, symbol, count(DISTINCT received_ns // 86400000000000 % 2) AS n_writes,
+                 count(DISTINCT received_ns // 86400000000000 % 2) AS cumulative, true AS timed
+               FROM frame_ticks GROUP BY exchange, symbol""",
+            FRAMES,
         ),
+        "stream_corrected_bars": _bars(_width("1h")),
         "stream_restart": _events(f"SELECT {TICK_OUT} FROM frame_ticks", FRAMES),
         "stream_union": _events(f"SELECT {TICK_OUT} FROM frame_ticks", FRAMES),
         "stream_bars": _events(
@@ -365,6 +423,22 @@ def all_oracles() -> dict[str, str]:
                 "FROM write_log", "window_start_ns",
             ),
         ),
+        "m_latency_exact": _events(
+            "SELECT exchange, count(*) AS n_writes, "
+            + ", ".join(f"round(quantile_cont(CAST(latency_s AS DOUBLE), {p}), 9) AS {n}" for n, p in health.QUANTILES.items())
+            + " FROM write_log GROUP BY exchange",
+            WRITE_LOG,
+        ),
+        "m_latency_approx": _events(
+            "SELECT exchange, count(*) AS n_writes, "
+            + ", ".join(f"quantile_disc(CAST(latency_s AS DOUBLE), {p}) AS {n}" for n, p in health.QUANTILES.items())
+            + " FROM write_log GROUP BY exchange",
+            WRITE_LOG,
+        ),
+        "m_latency_sketch": _events(
+            "SELECT exchange, symbol, count(*) AS n, true AS p50_close, true AS p95_close, true AS p99_close "
+            f"FROM ticks WHERE date < DATE '{q.DAY}' GROUP BY exchange, symbol"
+        ),
         "m_feed_latency": _events(
             "SELECT exchange, symbol, count(*) AS n_ticks, count(*) FILTER (v < 0) AS n_negative, "
             "min(v) AS min_s, max(v) AS max_s, CAST(sum(ns) AS DOUBLE) / count(*) / 1e9 AS mean_s, "

@@ -5,16 +5,20 @@ Results carry decimals and dates as text, so that engines compare them by value.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import columns
+from ..functions.timeargs import to_ns
 from ..operators import decode, health, market, validate
 from ..sources import frames as frame_sources
-from ..sources import lake, tables
+from ..sources import lake, published, tables
+from ..schema import MONEY, STORED_COLS, STORED_TICK
 from ..session import scratch_dir
 from ..streaming import events as stream_events
 from ..streaming import ticks as stream_ticks
@@ -77,6 +81,17 @@ def rounded(rows: DataFrame, *names: str, places: int = 6) -> DataFrame:
     return rows.withColumns({name: F.round(name, places) for name in names})
 
 
+def with_long_prices(ticks: DataFrame) -> DataFrame:
+    """Ticks whose prices use all eighteen places, with a digit or more that depends on the id."""
+    more = (F.col("trade_id").cast("long") * 7_919 + 1).cast("decimal(18,0)") * F.lit(Decimal("1E-18"))
+    return ticks.withColumn("price", (F.col("price").cast("decimal(20,2)") + more).cast(MONEY))
+
+
+def with_ties(ticks: DataFrame) -> DataFrame:
+    """Ticks whose times are cut to half days, so that many of a feed are equal."""
+    return ticks.withColumn("timestamp_ns", columns.bar_start(43_200_000_000_000))
+
+
 # -- scans, ranges, aggregates ---------------------------------------------------------------
 
 _REGISTRY |= {
@@ -100,6 +115,14 @@ _REGISTRY |= {
     "vwap_by_symbol": _ticks(lambda t: rounded(market.vwap_by_feed(t), "vwap")),
     "vwap_by_bar": _ticks(lambda t: rounded(market.vwap_by_bar(t, "1h"), "vwap")),
     "vwap_exact_parts": _ticks(market.vwap_exact_parts),
+    "vwap_exact": _ticks(lambda t: market.vwap_exact_range(with_long_prices(t), SYMBOL, *WHOLE)),
+    "vwap_exact_by_symbol": _ticks(lambda t: market.vwap_exact(with_long_prices(t), "exchange", "symbol")),
+    "vwap_exact_by_bar": _ticks(
+        lambda t: market.vwap_exact(
+            with_long_prices(t), "exchange", "symbol", columns.bar_start(86_400_000_000_000)
+        ).withColumnRenamed("_key_2", "bar_start_ns")
+    ),
+    "bars_tied_1d": _ticks(lambda t: market.bars_by_feed(with_ties(t), "1d")),
     "bars_pooled": _ticks(lambda t: market.bars(t, SYMBOL, *WHOLE, interval="15m")),
     "bars_range": _ticks(lambda t: market.bars(t, SYMBOL, START, END, "4h", EXCHANGE)),
     "bars_display": _ticks(
@@ -174,20 +197,147 @@ def tree_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return market.bars(ticks, SYMBOL, START, END, "1h", date_margin=0)
 
 
+def _listed(spark: SparkSession, root: str) -> DataFrame:
+    """Files of a tree as a listing has them: path and bytes. No file is opened."""
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+    files = reader.option("recursiveFileLookup", "true").load(root)
+    return files.select(_plain_path().alias("path"), F.col("length").alias("listed_bytes"))
+
+
+def _plain_path():
+    """A path without its scheme, and as a listing writes it."""
+    return F.regexp_replace(F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))), "^file:/+", "/")
+
+
+def _against_listing(spark: SparkSession, inventory: DataFrame, root: str) -> DataFrame:
+    """Per directory the rows, and whether the inventory has the files and bytes of a listing."""
+    both = inventory.withColumn("path", _plain_path()).join(_listed(spark, root), "path", "full_outer")
+    directory = F.regexp_extract("path", "(exchange=.*)/[^/]*$", 1).alias("partition")
+    equal = F.coalesce(F.col("n_bytes") == F.col("listed_bytes"), F.lit(False))
+    return both.groupBy(directory).agg(F.sum("n_rows").alias("n_rows"), F.min(equal).alias("as_listed"))
+
+
 @query("file_inventory")
 def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lake.file_inventory(spark, _tree(spark, sf_dir))
+    root = _tree(spark, sf_dir)
+    return _against_listing(spark, lake.file_inventory(spark, root), root)
 
 
 @query("file_totals")
 def file_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = lake.file_inventory(spark, _tree(spark, sf_dir))
-    return lake.inventory_totals(files).select("n_rows")
+    root = _tree(spark, sf_dir)
+    listed = _listed(spark, root).agg(F.count("*").alias("files"), F.sum("listed_bytes").alias("bytes"))
+    totals = lake.inventory_totals(lake.file_inventory(spark, root)).crossJoin(listed)  # one row each
+    return totals.select(
+        "n_rows",
+        (F.col("n_files") == F.col("files")).alias("files_as_listed"),
+        (F.col("n_bytes") == F.col("bytes")).alias("bytes_as_listed"),
+    )
+
+
+@query("scan_empty")
+def scan_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tree that nothing was written to, and a published one without a commit."""
+    empty = scratch_dir(spark, "empty-tree")
+    published.create_published(spark, empty)
+    return portable(lake.read_ticks(spark, scratch_dir(spark, "no-tree"), empty))
+
+
+# -- published trees ----------------------------------------------------------------------------
+
+
+def _published(spark: SparkSession, sf_dir: str) -> str:
+    """All ticks in a published tree, in three commits, once per application and folder."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir}#published")
+    if key not in _trees:
+        root = scratch_dir(spark, "published-tree")
+        published.create_published(spark, root)
+        ticks = tables.event_ticks(spark, sf_dir)
+        for part in range(3):
+            lake.append_ticks(ticks.where(F.col("trade_id").cast("long") % 3 == part), root)
+        _trees[key] = root
+    return _trees[key]
+
+
+@query("published_ticks")
+def published_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return portable(lake.read_ticks(spark, _published(spark, sf_dir)))
+
+
+@query("published_range")
+def published_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _published(spark, sf_dir)
+    ticks = lake.read_ticks(spark, root, exchange=EXCHANGE, symbol=SYMBOL, start=START, end=END)
+    return portable(market.trades(ticks, SYMBOL, START, END, EXCHANGE, date_margin=0))
+
+
+@query("published_inventory")
+def published_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _published(spark, sf_dir)
+    return _against_listing(spark, lake.file_inventory(spark, root), f"{root}/data")
+
+
+@query("manifest_ranges")
+def manifest_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the manifest alone knows of each partition."""
+    files = published.live_files(spark, _published(spark, sf_dir))
+    return portable(
+        files.groupBy("exchange", "symbol", "date").agg(
+            F.sum("n_rows").alias("n_rows"), F.min("min_ns").alias("min_ns"), F.max("max_ns").alias("max_ns")
+        )
+    )
+
+
+@query("atomic_publish")
+def atomic_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two commits and one that is lost between its files and its snapshot."""
+    root = scratch_dir(spark, "published-tree")
+    published.create_published(spark, root)
+    ticks = tables.event_ticks(spark, sf_dir)
+    for part in range(2):
+        lake.append_ticks(ticks.where(F.col("trade_id").cast("long") % 3 == part), root)
+    lost = ticks.where(F.col("trade_id").cast("long") % 3 == 2)
+    published.write_partitions(lost, f"{root}/data/commit=lost", "overwrite")
+    return portable(lake.read_ticks(spark, root))
+
+
+@query("compacted_ticks")
+def compacted_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of three commits after compaction, next to the number of files of their day."""
+    root = scratch_dir(spark, "published-tree")
+    published.create_published(spark, root)
+    ticks = tables.event_ticks(spark, sf_dir)
+    for part in range(3):
+        lake.append_ticks(ticks.where(F.col("trade_id").cast("long") % 3 == part), root)
+    published.compact(spark, root)
+    days = published.live_files(spark, root).groupBy("exchange", "symbol", "date").agg(F.count("*").alias("n_files"))
+    return portable(lake.read_ticks(spark, root).join(days, ["exchange", "symbol", "date"]))
 
 
 # -- frames, decoding, rules -----------------------------------------------------------------------
 
 
+def read_binance(text: str) -> list[dict]:
+    """The Binance decoder again, as a feed read by Python."""
+    try:
+        frame = json.loads(text)
+    except json.JSONDecodeError:
+        raise ValueError(decode.MALFORMED) from None
+    trade = frame.get("data", frame)
+    if trade.get("e") != "trade":
+        return []
+    return [
+        {
+            "symbol": trade["s"],
+            "price": trade["p"],
+            "size": trade["q"],
+            "side": "sell" if trade["m"] else "buy",
+            "timestamp_ns": trade["T"] * 1_000_000,
+            "trade_id": str(trade["t"]),
+        }
+    ]
+
+
 def _feed_ticks(exchange: str) -> Callable[[DataFrame], DataFrame]:
     return lambda d: decode.frame_ticks(d.where(F.col("source") == exchange))
 
@@ -196,6 +346,15 @@ _REGISTRY |= {
     "frames_source": _frames(lambda f: f.groupBy("source").agg(F.count("raw").alias("n_frames"))),
     "decode_binance": _decoded(_feed_ticks("binance")),
     "decode_coinbase": _decoded(_feed_ticks("coinbase")),
+    "decode_python_feed": lambda spark, sf_dir: portable(
+        decode.frame_ticks(
+            decode.decode_frames(
+                tables.event_frames(spark, sf_dir).where(F.col("source") == "binance"),
+                tables.AS_OF_NS,
+                python_feeds={"binance": read_binance},
+            )
+        )
+    ),
     "decode_per_trade": _decoded(decode.frame_ticks, on_error="per_trade"),
     "parse_errors": _decoded(
         lambda d: decode.frame_errors(d).drop("excerpt")
@@ -215,6 +374,25 @@ _REGISTRY |= {
     ),
 }
 
+def sketched_ranks(ticks: DataFrame) -> DataFrame:
+    """Quantiles of a range from sketches of its hours, and whether the rank of each among the
+    values themselves is as close as stated."""
+    seconds = (F.col("received_ns") - F.col("timestamp_ns")) / F.lit(1e9)
+    sketches = health.latency_sketches(ticks, seconds, "timestamp_ns", "exchange", "symbol", pane_s=3_600)
+    start, end = to_ns(WHOLE[0]), to_ns(DAY)
+    found = health.sketch_quantiles(sketches, "exchange", "symbol", start_ns=start, end_ns=end)
+    inside = ticks.where(F.col("timestamp_ns").between(start, end - 1)).select("exchange", "symbol", seconds.alias("v"))
+    values = inside.join(found, ["exchange", "symbol"])
+
+    def close(name: str, q: float):
+        below, upto = F.avg((F.col("v") < F.col(name)).cast("int")), F.avg((F.col("v") <= F.col(name)).cast("int"))
+        wide = health.SKETCH_RANK_ERROR
+        return ((below <= q + wide) & (upto >= q - wide)).alias(f"{name}_close")
+
+    checks = [close(name, q) for name, q in health.QUANTILES.items()]
+    return values.groupBy("exchange", "symbol").agg(F.max("n").alias("n"), *checks)
+
+
 # -- feed health --------------------------------------------------------------------------------
 
 _REGISTRY |= {
@@ -229,6 +407,13 @@ _REGISTRY |= {
     "m_latency_q_5m": _log(
         lambda w: rounded(health.latency_quantiles(w, window_s=300), *health.QUANTILES, places=12)
     ),
+    "m_latency_exact": _log(
+        lambda w: rounded(health.latency_quantiles_of_values(w, "exchange"), *health.QUANTILES, places=9)
+    ),
+    "m_latency_approx": _log(
+        lambda w: health.latency_quantiles_of_values(w, "exchange", accuracy=10_000)
+    ),
+    "m_latency_sketch": _ticks(lambda t: sketched_ranks(t)),
     "m_staleness": _ticks(lambda t: health.staleness(t, tables.AS_OF_NS)),
     "m_staleness_level": _ticks(
         # Seen a minute after the last receipt of the whole table's final day.
@@ -299,9 +484,11 @@ def _run_feeds(spark: SparkSession, sf_dir: str):
 
 @query("stream_decode")
 def stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frames = frame_sources.stream_frames(spark, _landing(spark, sf_dir, "coinbase"))
+    """All frames of a landing directory with both exchanges mixed in its files."""
+    landing = scratch_dir(spark, "landing-mixed")
+    tables.event_frames(spark, sf_dir).write.parquet(landing)
     root = scratch_dir(spark, "stream-tree")
-    ticks = stream_ticks.tick_stream(frames)
+    ticks = stream_ticks.tick_stream(frame_sources.stream_frames(spark, landing))
     stream_ticks.write_tick_stream(ticks, root, available_now=True).awaitTermination()
     return portable(lake.read_ticks(spark, root))
 
@@ -326,16 +513,59 @@ def stream_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(lake.read_ticks(spark, root))
 
 
+def _streamed(spark: SparkSession, sf_dir: str) -> str:
+    """Frames streamed into a published tree in two runs, those of even days in the first."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir}#streamed")
+    if key not in _trees:
+        landing, root = scratch_dir(spark, "landing-runs"), scratch_dir(spark, "published-tree")
+        odd = columns.floor_slot(F.col("received_ns"), 86_400_000_000_000) % 2
+        for turn in range(2):
+            frames = tables.event_frames(spark, sf_dir).where(odd == turn)
+            frames.coalesce(1).write.mode("append").parquet(landing)
+            run = stream_ticks.publish_tick_stream(
+                frame_sources.stream_frames(spark, landing), root, available_now=True
+            )
+            run.awaitTermination()
+        _trees[key] = root
+    return _trees[key]
+
+
+@query("stream_published")
+def stream_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return portable(lake.read_ticks(spark, _streamed(spark, sf_dir)))
+
+
 @query("m_run_summary")
 def m_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    run, root = _run_feeds(spark, sf_dir)
-    return stream_ticks.run_summary(run, lake.file_inventory(spark, root))
+    root = _streamed(spark, sf_dir)
+    files = lake.inventory_totals(lake.file_inventory(spark, root)).first().n_files
+    return stream_ticks.published_summary(spark, root).select(
+        "n_batches", "n_frames", "n_errors", "n_ticks",
+        (F.col("files_written") == files).alias("files_as_listed"),
+        (F.col("msgs_per_sec") > 0).alias("has_rate"),
+    )
+
+
+@query("m_stream_written")
+def m_stream_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return health.written(published.write_log(spark, _streamed(spark, sf_dir)))
+
+
+@query("m_stream_latency")
+def m_stream_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes per feed from the log of the runs: the last bucket holds all of them, each took
+    some time, and both quantiles lie between the least and the greatest."""
+    log = published.write_log(spark, _streamed(spark, sf_dir))
+    buckets = health.latency_histogram(log, "exchange", "symbol").where("le = '+Inf'")
+    q = health.latency_quantiles_of_values(log, "exchange", "symbol").drop("n_writes")
+    return buckets.join(q, ["exchange", "symbol"]).select(
+        "exchange", "symbol", "n_writes", "cumulative",
+        ((F.col("total_s") > 0) & (F.col("p50") > 0) & (F.col("p50") <= F.col("p99"))).alias("timed"),
+    )
 
 
 def _tick_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream of the ticks in the batch tree."""
-    from ..schema import STORED_COLS, STORED_TICK
-
     reader = spark.readStream.schema(STORED_TICK).option("pathGlobFilter", "*.parquet")
     return reader.parquet(_tree(spark, sf_dir)).select(*STORED_COLS)
 
@@ -350,15 +580,22 @@ def stream_write(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stream_drain")
 def stream_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A query stopped in between and started again with its checkpoint."""
+    """A running query drained and stopped, and one that goes on from its checkpoint with
+    the frames that have come meanwhile."""
     root, checkpoint = scratch_dir(spark, "stream-tree"), scratch_dir(spark, "checkpoint")
-    landing = _landing(spark, sf_dir, "binance")
-    frames = frame_sources.stream_frames(spark, landing, max_files_per_trigger=1)
-    ticks = stream_ticks.tick_stream(frames)
-    first = stream_ticks.write_tick_stream(ticks, root, checkpoint, flush_interval="0 seconds")
-    stream_ticks.drain(first)
-    again = stream_ticks.write_tick_stream(ticks, root, checkpoint, available_now=True)
-    again.awaitTermination()
+    landing = scratch_dir(spark, "landing-drain")
+    frames = tables.event_frames(spark, sf_dir).withColumn("late", F.xxhash64("raw") % 2 == 0)
+
+    def run(late: bool):
+        part = frames.where(F.col("late") == late).drop("late")
+        part.repartition(2).write.mode("append").parquet(landing)
+        arrived = frame_sources.stream_frames(spark, landing, max_files_per_trigger=1)
+        return stream_ticks.write_tick_stream(
+            stream_ticks.tick_stream(arrived), root, checkpoint, flush_interval="0 seconds"
+        )
+
+    for late in (False, True):
+        stream_ticks.drain(run(late))
     return portable(lake.read_ticks(spark, root))
 
 
@@ -387,3 +624,16 @@ def stream_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     ticks = _tick_source(spark, sf_dir)
     return _to_files(stream_events.stream_gaps(ticks, GAP_SECONDS, STREAM_DELAY), "stream-gaps")
+
+
+@query("stream_corrected_bars")
+def stream_corrected_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars of all ticks, half of which come only after the others."""
+    source, root = scratch_dir(spark, "late-ticks"), scratch_dir(spark, "bar-parts")
+    ticks = tables.event_ticks(spark, sf_dir)
+    for late in (False, True):
+        part = ticks.where((F.xxhash64("trade_id") % 2 == 0) == F.lit(late))
+        part.repartition(2).write.mode("append").parquet(source)
+        arrived = spark.readStream.schema(STORED_TICK).option("maxFilesPerTrigger", 1).parquet(source)
+        stream_events.publish_bars(arrived, root, "1h", available_now=True).awaitTermination()
+    return stream_events.corrected_bars(spark, root, "1h")

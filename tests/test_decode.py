@@ -6,8 +6,11 @@ from pyspark.sql import functions as F
 
 from sparktape.operators import decode, health
 from sparktape.functions.columns import iso_to_ns
-from sparktape.sources.frames import frames_from_kafka
+from sparktape.plans.queries import read_binance
 from sparktape.schema import FRAME
+from sparktape.sources import frames as frame_sources
+from sparktape.sources import tables
+from sparktape.sources.frames import frames_from_kafka
 
 MS = 1_716_163_200_123
 NS = MS * 1_000_000
@@ -258,3 +261,51 @@ def test_nothing_may_follow_a_frame(spark, source, after):
     found = {r.raw: r.status for r in decode.decode_frames(rows).collect()}
     assert found[frame] in ("parsed", "ignored")
     assert found[frame + after] == "error"
+
+
+# -- feeds read by Python ------------------------------------------------------------------
+
+
+def test_a_python_feed_gives_the_rows_of_its_sql_twin(spark, sf_dir):
+    frames = tables.event_frames(spark, sf_dir)
+    twin = decode.decode_frames(frames, tables.AS_OF_NS, python_feeds={"binance": read_binance})
+    plain = decode.decode_frames(frames, tables.AS_OF_NS)
+    for part in (decode.frame_ticks, decode.frame_errors, lambda d: d.drop("trades")):
+        assert part(twin).exceptAll(part(plain)).count() == part(plain).exceptAll(part(twin)).count() == 0
+    plan = twin._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPythonUDTF" in plan or "BatchEvalPythonUDTF" in plan
+    assert "Exchange" not in plan
+
+
+def test_a_python_feed_says_why_it_cannot_read(spark):
+    def read(text):
+        if text == "bad":
+            raise ValueError("no such thing")
+        good = {"symbol": "S", "price": "1.5", "size": "2", "side": "buy", "timestamp_ns": 1_700_000_000_000_000_000, "trade_id": "1"}
+        return [] if text == "none" else [good, good | {"price": "0"}, good | {"trade_id": None}]
+
+    now = 1_700_000_000_000_000_000
+    raws = ["bad", "none", "three", None]
+    rows = [("mine", raw, now) for raw in raws] + [("binance", "{", now), ("unknown", "x", now), (None, "x", now)]
+    frames = spark.createDataFrame(rows, "source string, raw string, received_ns long")
+    found = {(r.source, r.raw): r for r in decode.decode_frames(frames, now, python_feeds={"mine": read}).collect()}
+    assert len(found) == len(rows)
+    assert (found["mine", "bad"].status, found["mine", "bad"].reason) == ("error", "no such thing")
+    assert found["mine", "none"].status == "ignored"
+    assert (found["mine", "three"].reason, len(found["mine", "three"].trades)) == ("price must be > 0", 1)
+    assert found["mine", None].reason == decode.MALFORMED
+    assert found["unknown", "x"].reason == found[None, "x"].reason == decode.NO_DECODER
+
+
+def test_a_python_feed_streams(spark, sf_dir, tmp_path):
+    landing, out = str(tmp_path / "in"), str(tmp_path / "out")
+    tables.event_frames(spark, sf_dir).write.parquet(landing)
+    stream = frame_sources.stream_frames(spark, landing)
+    ticks = decode.frame_ticks(decode.decode_frames(stream, tables.AS_OF_NS, python_feeds={"binance": read_binance}))
+    (
+        ticks.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "ck"))
+        .trigger(availableNow=True).start().awaitTermination()
+    )
+    batch = decode.frame_ticks(decode.decode_frames(frame_sources.read_frames(spark, landing), tables.AS_OF_NS))
+    got = spark.read.schema(ticks.schema).parquet(out)
+    assert got.exceptAll(batch).count() == batch.exceptAll(got).count() == 0

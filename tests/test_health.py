@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,3 +116,40 @@ def test_no_feed_state_grows(spark):
     text = health.feed_latency(ticks_at(spark, [BASE_NS]))._jdf.queryExecution().executedPlan().toString()
     assert "percentile_approx" in text
     assert "SortAggregate" not in text
+
+
+def test_quantiles_of_the_values(spark):
+    rng = random.Random(5)
+    values = [rng.expovariate(3) for _ in range(1001)]
+    log = spark.createDataFrame([("x", v) for v in values] + [("y", 0.5), ("z", None)], "exchange string, latency_s double")
+    exact = {r.exchange: r for r in health.latency_quantiles_of_values(log, "exchange").collect()}
+    ordered = sorted(values)
+    assert exact["x"].p50 == ordered[500] and exact["x"].p95 == pytest.approx(ordered[950]) and exact["x"].n_writes == 1001
+    assert exact["y"].p99 == 0.5 and exact["z"].p50 is None and exact["z"].n_writes == 0
+    near = {r.exchange: r for r in health.latency_quantiles_of_values(log, "exchange", accuracy=100).collect()}
+    rank = sum(v <= near["x"].p95 for v in values) / len(values)
+    assert abs(rank - 0.95) <= 0.011
+
+
+def test_sketches_of_panes_merge_to_any_range(spark):
+    """Ranks stay within the stated error, however many panes are merged, whatever order."""
+    rows = spark.range(300_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'a' ELSE 'b' END AS feed", "id * 1000000000 AS at_ns",
+        "exp(pmod(xxhash64(id), 1000003) / 125000) AS seconds",
+    )
+    sketches = health.latency_sketches(rows, F.col("seconds"), "at_ns", "feed")
+    assert sketches.count() == 2 * 5_000
+    assert sketches.agg(F.max(F.octet_length("sketch"))).first()[0] < 50_000
+    start, end = 60_000 * 10**9, 240_000 * 10**9
+    found = {r.feed: r for r in health.sketch_quantiles(sketches, "feed", start_ns=start, end_ns=end).collect()}
+    inside = rows.where(F.col("at_ns").between(start, end - 1))
+    for feed, got in found.items():
+        values = [r.seconds for r in inside.where(F.col("feed") == feed).collect()]
+        assert got.n == len(values)
+        for name, q in health.QUANTILES.items():
+            rank = sum(v <= got[name] for v in values) / len(values)
+            assert abs(rank - q) <= health.SKETCH_RANK_ERROR
+    whole = health.sketch_quantiles(sketches).first()
+    assert whole.n == 300_000
+    none = health.latency_sketches(rows.limit(0), F.col("seconds"), "at_ns", "feed")
+    assert health.sketch_quantiles(none, "feed").collect() == []

@@ -1,5 +1,6 @@
-from datetime import UTC, datetime
-from decimal import Decimal
+import random
+from datetime import UTC, date, datetime
+from decimal import Decimal, localcontext
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -7,8 +8,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from sparktape import TickLake, append_ticks
-from sparktape.functions.columns import as_double
+from sparktape.functions.columns import as_double, bar_start
 from sparktape.operators import market
+from sparktape.schema import FEED, TICK
 from tests.data import BASE_NS, HOUR_NS, ROWS, STEP_NS, ticks_at, two_days, with_gap
 
 DAY_NS = 24 * HOUR_NS
@@ -117,8 +119,8 @@ def test_equal_times_are_ordered_by_trade_id(spark):
 def test_exact_notional(spark):
     ticks = ticks_at(spark, [BASE_NS, BASE_NS + 1], price="67432.12345678", size="0.00000003")
     row = market.vwap_exact_parts(ticks).first()
-    assert row.notional == 2 * Decimal("67432.12345678") * Decimal("0.00000003")
-    assert row.volume == Decimal("0.00000006")
+    assert Decimal(row.notional) == 2 * Decimal("67432.12345678") * Decimal("0.00000003")
+    assert Decimal(row.volume) == Decimal("0.00000006")
 
 
 def test_doubles_are_the_nearest_ones(spark):
@@ -195,9 +197,77 @@ def test_small_blocks_find_the_same_gaps(spark, monkeypatch):
     assert sorted((g.gap_start_ns, g.gap_end_ns) for g in found) == plain_gaps(times, 30 * 10**9)
 
 
-def test_exact_parts_refuse_a_ninth_decimal(spark):
-    ticks = ticks_at(spark, [1736899200000000000]).withColumn(
-        "size", F.lit("0.00000000012345678").cast("decimal(38,18)")
-    )
-    with pytest.raises(Exception, match="does not fit"):
-        market.vwap_exact_parts(ticks).collect()
+def wide(rng, digits=(1, 5, 12, 20), places=(0, 2, 8, 9, 18)):
+    whole, part = rng.choice(digits), rng.choice(places)
+    return Decimal(rng.randrange(1, 10**whole)) + Decimal(rng.randrange(10**part)).scaleb(-part)
+
+
+def test_exact_vwap_equals_python_decimals(spark):
+    rng = random.Random(7)
+    with localcontext(prec=300):
+        rows = [("x", rng.choice("ABC"), wide(rng), wide(rng), "buy", rng.randrange(2**62), 1, str(i)) for i in range(600)]
+        rows += [("x", "DAYS", Decimal("0.1") + i, Decimal("1E-18") * (i + 1), "buy", i * 40 * HOUR_NS, 1, "1") for i in range(50)]
+        rows += [("x", "MINUS", -wide(rng), wide(rng), "sell", -5, 1, "1"), ("x", "NONE", Decimal(5), Decimal(0), "buy", 5, 1, "1")]
+        rows += [("x", "EVEN", Decimal(1), Decimal(1), "buy", 0, 1, "1"), ("x", "EVEN", Decimal("1.000000000000000001"), Decimal(1), "buy", 0, 1, "2")]
+        ticks = spark.createDataFrame(rows, TICK)
+        found = {r.symbol: r for r in market.vwap_exact(ticks, *FEED).collect()}
+        assert len(found) == 7
+        for symbol, got in found.items():
+            own = [r for r in rows if r[1] == symbol]
+            notional, volume = sum(r[2] * r[3] for r in own), sum(r[3] for r in own)
+            assert Decimal(got.notional) == notional and len(got.notional.split(".")[1]) == 36
+            assert Decimal(got.volume) == volume and len(got.volume.split(".")[1]) == 18
+            assert got.vwap == ((notional / volume).quantize(Decimal("1E-18")) if volume else None)
+
+
+def test_exact_vwap_of_nothing_and_of_a_day(spark):
+    none = spark.createDataFrame([], TICK)
+    assert market.vwap_exact(none).collect() == market.vwap_exact(none, "symbol").collect() == []
+    ticks = ticks_at(spark, [BASE_NS, BASE_NS + 30 * HOUR_NS])
+    by_day = market.vwap_exact(ticks, "symbol", bar_start(24 * HOUR_NS)).collect()
+    assert [r.volume for r in by_day] == ["1." + "0" * 18] * 2
+    huge = ticks_at(spark, [BASE_NS] * 3, price="9" * 20 + "." + "9" * 18, size="9" * 20 + "." + "9" * 18)
+    assert market.vwap_exact(huge).first().vwap == Decimal("9" * 20 + "." + "9" * 18)
+
+
+def tied(spark):
+    """Many trades of equal time, with ids of several kinds and prices that tell them apart."""
+    rng = random.Random(3)
+    ids = [str(i) for i in range(40)] + [f"t{i}" for i in range(20)] + ["007", "9" * 16, "9" * 17, "12345678901234567890", "é"]
+    rows = [
+        (exchange, symbol, Decimal(rng.randrange(1, 10**6)), Decimal(1), "buy", BASE_NS + minute * 60_000_000_000, 1, i)
+        for exchange in ("a", "b") for symbol in ("X", "Y") for minute in range(3) for i in ids
+    ]
+    return spark.createDataFrame(rows, TICK), rows
+
+
+def test_bars_of_tied_trades_do_not_depend_on_partitions(spark):
+    ticks, rows = tied(spark)
+    results = []
+    for parts, seed in ((1, 0), (8, 1), (16, 2), (16, 3)):
+        shuffled = ticks.repartition(parts, F.xxhash64("trade_id", F.lit(seed)))
+        results.append(sorted(market.bars_by_feed(shuffled, "1m").collect()))
+        pooled = market.bars(shuffled.withColumn("date", F.lit(date(2024, 5, 20))), "X", BASE_NS, BASE_NS + HOUR_NS)
+        results.append(sorted(pooled.collect()))
+    assert results[0] == results[2] == results[4] == results[6]
+    assert results[1] == results[3] == results[5] == results[7]
+    # The least number opens; what is no short number comes after all that are.
+    first = next(r[2] for r in rows if r[:2] == ("a", "X") and r[7] == "0" and r[5] == BASE_NS)
+    bar = next(b for b in results[0] if (b.exchange, b.symbol, b.bar_start_ns) == ("a", "X", BASE_NS))
+    assert bar.open == float(first)
+
+
+def test_bars_need_no_sort(spark):
+    for rows in (market.bars_by_feed(tied(spark)[0], "1m"), market.vwap_exact(tied(spark)[0], *FEED)):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+
+
+def test_trades_are_ordered_by_time_then_number(spark):
+    ids = ["0", "7", "10", "999", "9" * 16]
+    rows = [("a", "X", Decimal(1), Decimal(1), "buy", t, 1, i) for t in (-5, 0, 5, 2**62) for i in ids]
+    keys = spark.createDataFrame(rows, TICK).select(market.trade_order().alias("k")).collect()
+    assert [r.k for r in keys] == sorted({r.k for r in keys})
+    others = spark.createDataFrame([("a", "X", Decimal(1), Decimal(1), "buy", 5, 1, i) for i in ("x", "-1", " 7", "1" * 17, "")], TICK)
+    later = [r.k for r in others.select(market.trade_order().alias("k")).collect()]
+    assert len(set(later)) == 5 and min(later) > max(r.k for r in keys if r.k < 6 * 10**19)

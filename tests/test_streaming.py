@@ -1,11 +1,13 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from sparktape import append_ticks, read_ticks
 from sparktape.operators import decode, market
-from sparktape.schema import FEED, STORED_COLS, STORED_TICK
+from sparktape.schema import FEED, STORED_COLS, STORED_TICK, TICK
 from sparktape.sources import frames as sources
-from sparktape.sources import lake, tables
+from sparktape.sources import lake, snapshots, tables
 from sparktape.streaming import events, ticks as streams
 from tests.data import BASE_NS, ticks_at, with_gap
 
@@ -167,6 +169,98 @@ def test_streamed_gaps_equal_batch_gaps(spark, tmp_path):
     assert gaps.columns[:2] == FEED
 
 
+def test_streamed_gaps_of_one_busy_feed(spark, tmp_path):
+    """Nearly all ticks are of one feed; its slots, not its ticks, reach the feed's state."""
+    source = str(tmp_path / "in")
+    rows = spark.range(60_000).selectExpr(
+        "'x' AS exchange", "CASE WHEN id % 10 = 0 THEN concat('S', id % 70) ELSE 'HOT' END AS symbol",
+        "CAST(1 AS DECIMAL(38,18)) AS price", "CAST(1 AS DECIMAL(38,18)) AS size", "'buy' AS side",
+        f"{BASE_NS} + id * 100000000 + IF(id % 9000 > 8000, 90000000000, 0) AS timestamp_ns",
+        f"{BASE_NS} AS received_ns", "CAST(id AS STRING) AS trade_id",
+    )
+    rows.repartition(8).write.parquet(source)
+    end = BASE_NS + 10**14
+    closing = rows.groupBy("exchange", "symbol").agg(*(F.first(c).alias(c) for c in rows.columns[2:]))
+    closing.withColumn("timestamp_ns", F.lit(end)).select(*rows.columns).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(TICK).parquet(source)
+    out = run_to(events.stream_gaps(stream, 20.0, "1 minute"), str(tmp_path / "out"), str(tmp_path / "ck"))
+    batch = market.gaps(rows, 20.0)
+    assert same(out.where(F.col("gap_end_ns") < end), batch)
+    assert batch.count() > 5
+    plan = events.stream_gaps(stream, 20.0)._jdf.queryExecution().analyzed().toString()
+    assert plan.index("TransformWithState") < plan.index("Aggregate")
+    with pytest.raises(ValueError, match="microsecond"):
+        events.stream_gaps(stream, 1e-7)
+
+
+def test_late_ticks_correct_their_bars(spark, tmp_path):
+    """Steps come in any order, one twice as late as the other; no tick is too late."""
+    source, root = str(tmp_path / "in"), str(tmp_path / "bars")
+    times = [BASE_NS + i * 7 * SECOND for i in range(200)]
+    ticks = ticks_at(spark, times).withColumn("price", (F.col("timestamp_ns") % 977).cast("decimal(38,18)"))
+    seen = []
+    for k in (3, 0, 2, 1):
+        ticks.where(F.col("timestamp_ns") / SECOND % 4 == k).select(*STORED_COLS).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(STORED_TICK).parquet(source)
+        events.publish_bars(stream, root, "1m", available_now=True).awaitTermination()
+        seen.append({r.bar_start_ns: r for r in events.corrected_bars(spark, root, "1m").collect()})
+    assert same(events.corrected_bars(spark, root, "1m"), market.bars_by_feed(ticks, "1m"))
+    assert any(seen[0][s] != seen[3][s] for s in seen[0])
+    with pytest.raises(ValueError, match="ahead of the checkpoint"):
+        events.publish_bars(stream, root, "1m", str(tmp_path / "other"), available_now=True)
+
+
+def test_a_bar_batch_counts_once_and_parts_fold(spark, tmp_path, monkeypatch):
+    source, root = str(tmp_path / "in"), str(tmp_path / "bars")
+    monkeypatch.setattr(events, "_FOLD_ABOVE", 2)
+    advance = events.advance
+
+    def dies(*args):
+        advance(*args)
+        raise OSError("driver lost")
+
+    for k in range(5):
+        append_ticks(ticks_at(spark, [BASE_NS + k]), source)
+        stream = spark.readStream.schema(STORED_TICK).parquet(source)
+        if k == 3:
+            query = events.publish_bars(stream, root, "1m", available_now=True)
+            with monkeypatch.context() as m:
+                m.setattr(events, "advance", dies)
+                with pytest.raises(Exception, match="driver lost"):
+                    query.awaitTermination()
+        events.publish_bars(stream, root, "1m", available_now=True).awaitTermination()
+    assert [r["count"] for r in events.corrected_bars(spark, root, "1m").collect()] == [5]
+    assert len(snapshots.latest(spark, root).folders("bars-1m")) <= 3
+
+
+def test_a_silent_feed_is_noticed_without_data(spark, tmp_path):
+    source, out = str(tmp_path / "in"), []
+    append_ticks(ticks_at(spark, [BASE_NS], symbol="QUIET"), source)
+    append_ticks(ticks_at(spark, [BASE_NS], symbol="LIVELY"), source)
+    stream = spark.readStream.schema(STORED_TICK).parquet(source)
+
+    def keep(batch, batch_id):
+        out.extend((r.symbol, r.level, r.at_ms - r.since_ms) for r in batch.collect())
+
+    query = (
+        events.stream_staleness(stream, 8.0, 20.0).writeStream.foreachBatch(keep).outputMode("update")
+        .option("checkpointLocation", str(tmp_path / "ck")).trigger(processingTime="200 milliseconds").start()
+    )
+    try:
+        started = time.time()
+        while time.time() - started < 120 and ("QUIET", "red") not in {o[:2] for o in out}:
+            assert query.exception() is None
+            time.sleep(1)
+            append_ticks(ticks_at(spark, [BASE_NS], symbol="LIVELY"), source)
+    finally:
+        query.stop()
+    quiet = [o for o in out if o[0] == "QUIET"]
+    assert [o[1] for o in quiet] == ["green", "yellow", "red"]
+    assert quiet[1][2] >= 8_000 and quiet[2][2] >= 20_000
+    assert [o[1] for o in out if o[0] == "LIVELY"][-1] == "green"
+    assert "red" not in {o[1] for o in out if o[0] == "LIVELY"}
+
+
 def test_stream_refuses_what_would_lose_ticks(spark, tmp_path):
     from tests.data import ticks_at
 
