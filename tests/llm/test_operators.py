@@ -553,13 +553,10 @@ def test_quality_counts_equal_plain_python(spark):
 
 def test_copies_do_not_narrow_the_band(spark):
     rng = random.Random(13)
-
-    def text(letters: str) -> str:
-        return " ".join("".join(rng.choices(letters, k=5)) for _ in range(200))
-
+    few = prose(rng, 60)
     # Four fifths are copies of one text, and hold the ranks of both quartiles.
-    body = text("abcdefghijklmnop")
-    rows = quality.quality(documents(spark, [body] * 60 + [text("abcdefghijklmnopqrst") for _ in range(15)])).collect()
+    texts = [" ".join(rng.choices(few, k=200)) for _ in range(16)]
+    rows = quality.quality(documents(spark, texts[:1] * 60 + texts[1:])).collect()
     ranks = [r.doc_id for r in sorted(rows, key=lambda r: r.perplexity)]
     assert len(rows) == 75 and max(ranks[:60]) < 60
     assert all(r.kept for r in rows)
