@@ -75,7 +75,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.with_toxicity(docs.select("doc_id", "text"), model)
     return scored.select(
         "doc_id",
-        (fold(3) == 1).alias("held_out"),
+        F.coalesce(fold(3) == 1, F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= toxicity.TOXIC_AT).cast("int").alias("predicted"),
     )
@@ -134,7 +134,7 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language.with_language(docs.select("doc_id", "text"), model)
     return found.select(
         "doc_id",
-        (fold(5) == 0).alias("held_out"),
+        F.coalesce(fold(5) == 0, F.lit(False)).alias("held_out"),
         F.col("language.lang").alias("lang_pred"),
         "language.score",
         "language.rejected",
