@@ -27,6 +27,8 @@ THRESHOLD = 0.8
 BANDS, ROWS = 12, 4
 # Values of a signature; four bits of each are compared before a pair is verified.
 VALUES = 128
+# Nodes from which a class counts as hot.
+HOT_NODES = 5_000
 _RARE = "\t\r\x0b\x0c"
 _RUN = re.compile(r"[ \t\n\r\x0b\x0c]+")
 # Similarity that sketches must suggest for a pair to be verified (nearly five standard
@@ -69,9 +71,11 @@ def _first_lines(texts: list[str | None]) -> tuple[list[str], list[tuple[int, in
         own = lines[at : at + n]
         times = Counter(own)
         kept += times
-        where += [(places[at + own.index(line)], k) for line, k in times.items()] if len(times) < n else [
-            (place, 1) for place in places[at : at + n]
-        ]
+        if len(times) < n:
+            first = dict(zip(reversed(own), reversed(places[at : at + n]), strict=True))
+            where += [(first[line], k) for line, k in times.items()]
+        else:
+            where += [(place, 1) for place in places[at : at + n]]
         at, counts[i] = at + n, len(times)
     return kept, where, counts
 
@@ -192,9 +196,19 @@ def _place(line_no: str) -> Column:
     return place.cast("decimal(38,0)")
 
 
+def _with_classes(named: DataFrame, classes: DataFrame, n_nodes: int) -> DataFrame:
+    """`named` joined to its classes by root. The few classes of very many nodes are sent to
+    all tasks (at most 100 000 of them), so that no task gets such a class whole."""
+    hot = F.col("n_nodes") > max(HOT_NODES, n_nodes // 100_000)
+    large = F.broadcast(classes.where(hot).drop("n_nodes"))
+    small = classes.where(~hot).drop("n_nodes")
+    rest = named.join(large.select("root"), "root", "left_anti").join(small, "root")
+    return named.join(large, "root").unionByName(rest)
+
+
 def _dropped(docs: DataFrame, size: int, threshold: float, bands: int, rows: int) -> DataFrame:
-    """`doc_id, n_lines, shared, dropped` of each document row: of its lines those that may be
-    in a class with others, and of these the ones that are not kept, with their class."""
+    """`doc_id, n_lines, dropped` of each document row: how many lines it has, and those that
+    are not kept, with their class."""
     text = F.col("text").cast("string")
     _, names = _line_type(bands)
     found = docs.select("doc_id", F.explode(_marks_udf(size, bands, rows)(text)).alias("m"))
@@ -220,8 +234,9 @@ def _dropped(docs: DataFrame, size: int, threshold: float, bands: int, rows: int
         many.append(narrow.where("n_lines > 1").unionByName(owners).dropDuplicates(["node"]))
         repeated = narrow.where("n_lines > 1").select("node").unionByName(owners.select("node"))
         shared = _shared_udf(key_filter(owners, F.xxhash64("doc_id")), key_filter(repeated, F.col("node")))
-        found = docs.select("doc_id", shared(F.xxhash64("doc_id"), text).alias("s"))
-        scanned.append(materialise(found.select("doc_id", "s.*"), "shared-lines"))
+        row = F.xxhash64("doc_id", text).alias("row_key")
+        found = docs.select("doc_id", row, shared(F.xxhash64("doc_id"), text).alias("s"))
+        scanned.append(materialise(found.select("doc_id", "row_key", "s.*"), "shared-lines"))
         held = scanned[0].select(F.explode("shared").alias("l")).where("l.content is not null")
         return held.select("l.node", "l.content").dropDuplicates(["node"]).join(wanted, "node", "left_semi")
 
@@ -231,21 +246,21 @@ def _dropped(docs: DataFrame, size: int, threshold: float, bands: int, rows: int
     # Any other line is alone in its class.
     named = many[0].join(roots, "node", "left").where("n_lines > 1 or root is not null")
     named = named.withColumn("root", F.coalesce("root", "node"))
-    classes = named.groupBy("root").agg(F.min("doc_id").alias("owner"), F.min("place").alias("first"))
-    classes = named.select("node", "root").join(classes, "root")
-    lines = scanned[0].select("doc_id", F.explode("shared").alias("l"))
-    lines = lines.select("doc_id", "l.line_no", "l.node").join(classes, "node")
+    named = materialise(named.select("node", "root", "doc_id", "place"), "line-classes")
+    classes = named.groupBy("root").agg(
+        F.min("doc_id").alias("owner"), F.min("place").alias("first"), F.count("*").alias("n_nodes")
+    )
+    classes = _with_classes(named.select("node", "root"), classes, named.count())
+    # Of rows with one doc_id, each loses only lines of its own: equal rows have one key.
+    keys = [F.col("doc_id").alias("gone_of"), F.col("row_key").alias("gone_row")]
+    lines = scanned[0].select(*keys, "doc_id", F.explode("shared").alias("l"))
+    lines = lines.select("gone_of", "gone_row", "doc_id", "l.line_no", "l.node").join(classes, "node")
     line = F.struct("line_no", "node", F.col("root").alias("class_id"), F.col("owner").alias("class_doc_id"))
     gone = lines.where(_place("line_no") != F.col("first"))
-    gone = gone.groupBy(F.col("doc_id").alias("gone_of")).agg(F.array_sort(F.collect_set(line)).alias("gone"))
-    own = F.transform("shared", lambda s: F.struct(s["line_no"], s["node"]))
-    whole = scanned[0].select("doc_id", "n_lines", own.alias("own"))
-    joined = whole.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_of")), "left")
-    # Of rows with one doc_id, each loses only lines of its own.
-    mine = F.filter(
-        "gone", lambda g: F.array_contains("own", F.struct(g["line_no"].alias("line_no"), g["node"].alias("node")))
-    )
-    return joined.select("doc_id", "n_lines", F.coalesce(mine, F.array()).alias("dropped"))
+    gone = gone.groupBy("gone_of", "gone_row").agg(F.array_sort(F.collect_set(line)).alias("dropped"))
+    mine = F.col("doc_id").eqNullSafe(F.col("gone_of")) & (F.col("row_key") == F.col("gone_row"))
+    joined = scanned[0].select("doc_id", "row_key", "n_lines").join(gone, mine, "left")
+    return joined.select("doc_id", "n_lines", F.coalesce("dropped", F.array()).alias("dropped"))
 
 
 def duplicate_lines(
@@ -265,6 +280,9 @@ def duplicate_lines(
     others of a document: line_no, class_id and class_doc_id, the document that keeps the
     class's line. A null or blank text has no line; a null doc_id is larger than any other.
     Rows of one doc_id are one document: a line at the same place of several is kept in all.
+
+    A text is read in one task, in time and memory in proportion to its length; of different
+    lines that share a band, blocks of 512 are compared by their sketches.
     """
     found = _dropped(docs, shingle_chars, threshold, bands, rows)
     dropped = F.transform(

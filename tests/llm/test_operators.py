@@ -6,6 +6,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -708,3 +709,46 @@ def test_empty_null_repeated_and_clashing(spark, name):
         assert n == len(rows)
     none = lambda table: table.limit(0)
     assert run(none(docs), none(benchmark), none(labels)).count() == 0
+
+
+# -- long texts and hot groups -----------------------------------------------------------------
+
+
+def test_lines_of_a_very_long_text_take_linear_time(spark):
+    """A text of many lines, of which some repeat, is no more work a line than a short one."""
+
+    def seconds(n):
+        lines = [f"line {i} of a very long text" for i in range(n)] + ["the same line"] * (n // 10)
+        started = time.process_time()
+        kept, where, counts = line_dedup._first_lines(["\n".join(lines)])
+        assert counts == [n + 1] and where[-1] == (n, n // 10) and len(kept) == n + 1
+        return time.process_time() - started
+
+    seconds(10_000)
+    assert seconds(400_000) < 12
+
+    text = "\n".join(f"{i * 7919 % 1_000_003:x} {i * 104729 % 999_983:x} {i % 30_000}" for i in range(60_000))
+    docs = documents(spark, [text, "nothing else", f"{text}\nand one line more of its own"])
+    started = time.time()
+    rows = {r.doc_id: r for r in line_dedup.duplicate_lines(docs).collect()}
+    assert (rows[0].n_lines, rows[2].n_lines) == (60_000, 60_001)
+    assert rows[2].n_kept == 1 and rows[1].n_kept == 1
+    assert time.time() - started < 240
+
+
+def test_hot_classes_are_joined_apart(spark, monkeypatch):
+    rng = random.Random(6)
+    body = "a line that many documents hold with a small change at the end of it "
+    texts = [f"{body}{i:04d}" for i in range(120)] + [" ".join(prose(rng, 12)) for _ in range(40)] * 2
+    plain = sorted(line_dedup.duplicate_lines(documents(spark, texts)).collect())
+    monkeypatch.setattr(line_dedup, "HOT_NODES", 50)
+    assert sorted(line_dedup.duplicate_lines(documents(spark, texts)).collect()) == plain
+    assert sum(r.n_kept for r in plain) == 41
+
+
+def test_rows_of_one_document_lose_their_own_lines(spark):
+    same, other = "one line that is there several times", "another line that is there only twice"
+    rows = [(1, f"{same}\n{other}"), (1, f"x\n{same}"), (1, f"x\n{same}"), (2, f"{other}\n{same}"), (None, same)]
+    docs = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], DOCS)
+    found = sorted((r.doc_id or 9, r.n_lines, [d.line_no for d in r.dropped]) for r in line_dedup.duplicate_lines(docs).collect())
+    assert found == [(1, 2, []), (1, 2, [1]), (1, 2, [1]), (2, 2, [0, 1]), (9, 1, [0])]
