@@ -1,10 +1,11 @@
 """Operator 4: balanced shards by label propagation, with Spark joins only.
 
-Documents start in shards of equal size, whole groups of equal texts one after another.
-Then, round by round until no move is left, each document looks at the shards of its
-neighbours and moves to the one that holds most of them, as far as the target has room: for
-every row that comes in, one goes out that wants to leave or has no neighbour. Counts stay
-within one of each other throughout.
+Documents are dealt into shards of equal size by a hash, which knows nothing of groups. Then,
+round by round until no move is left, each document looks at the shards of its neighbours
+and moves to the one that holds most of them, as far as the target has room: for every row
+that comes in, one goes out that wants to leave or has no neighbour. Counts stay within one
+of each other throughout. Where that leaves links cut, because shards are full of linked
+rows, the groups concerned are placed anew in what the others leave free.
 """
 
 from __future__ import annotations
@@ -71,6 +72,32 @@ def chunk_links(chunks: DataFrame, key: str) -> DataFrame:
     return links.select(F.col("row").alias("a"), F.col("hub").alias("b"))
 
 
+def quotas(n_rows: int, shards: int) -> list[int]:
+    """Rows of each shard."""
+    return [n_rows // shards + (s < n_rows % shards) for s in range(shards)]
+
+
+def cut_links(placed: DataFrame, links: DataFrame) -> int:
+    """Links `(a, b)` whose ends are in different shards of `(row, shard)`."""
+    a = placed.select(F.col("row").alias("a"), F.col("shard").alias("shard_a"))
+    b = placed.select(F.col("row").alias("b"), F.col("shard").alias("shard_b"))
+    return links.join(a, "a").join(b, "b").where("shard_a <> shard_b").count()
+
+
+def repaired(placed: DataFrame, chunks: DataFrame, key: str, n_rows: int, shards: int) -> DataFrame:
+    """`(row, shard)` with the chunks that are cut, and the rows of no chunk, placed anew in
+    the places that the whole chunks leave."""
+    where = chunks.join(placed, "row").groupBy(key, "chunk").agg(F.count_distinct("shard").alias("n"))
+    cut = chunks.join(where.where("n > 1").select(key, "chunk"), [key, "chunk"], "left_semi")
+    cut = materialise(cut, "shard-cut")
+    settled = chunks.join(where.where("n = 1").select(key, "chunk"), [key, "chunk"], "left_semi")
+    settled = materialise(settled.select("row").join(placed, "row").select("row", "shard"), "shard-settled")
+    held = dict(settled.groupBy("shard").agg(F.count("*")).collect())  # one row per shard
+    free = [q - held.get(s, 0) for s, q in enumerate(quotas(n_rows, shards))]
+    rest = placed.select("row").join(settled, "row", "left_anti")
+    return settled.unionByName(place_groups(rest, cut, key, n_rows, shards, free))
+
+
 def _by_runs(at: Column, runs: list[int]) -> Column:
     """The shard whose run of numbers holds `at`: the first `runs[0]` are of shard 0, and so on."""
     shard, low = F.lit(None).cast("int"), 0
@@ -80,15 +107,18 @@ def _by_runs(at: Column, runs: list[int]) -> Column:
     return shard
 
 
-def start(rows: DataFrame, chunks: DataFrame, key: str, n_rows: int, shards: int) -> DataFrame:
-    """`(row, shard)` to start from, in shards of equal size.
+def place_groups(
+    rows: DataFrame, chunks: DataFrame, key: str, n_rows: int, shards: int, free: list[int] | None = None
+) -> DataFrame:
+    """`(row, shard)` for rows and chunks of them, in shards of equal size or of the given
+    free places, which are as many as the rows. `n_rows` is the size of the whole table.
 
     Chunks of more than a part in LARGE of a shard are placed whole, best fit in order of
     size. The others follow one after another, over all shards by the places that are left,
     so that at most one lies across each border; rows of no chunk fill up.
     """
     spark = rows.sparkSession
-    free = [n_rows // shards + (s < n_rows % shards) for s in range(shards)]
+    free = quotas(n_rows, shards) if free is None else list(free)
     sizes = materialise(chunks.groupBy(key, "chunk").agg(F.count("*").alias("size")), "shard-sizes")
     large = sizes.where(F.col("size") * shards * LARGE > n_rows)
     whole = []
@@ -154,7 +184,7 @@ def propagate(
 ) -> DataFrame:
     """`(row, shard)` for rows numbered from 0, given links `(a, b)` between row numbers.
 
-    Rows start in their `shard` if they have one, else dealt by number. A row may move to a
+    Rows start in their `shard` if they have one, else dealt by number, a hash's order. A row may move to a
     shard that holds more of its neighbours than its own does, if one of them there is
     senior to it: it has more links, or as many and a smaller number. So two neighbours never
     change places for ever, and the hub of a group stays put. A shard takes in, those that
@@ -257,7 +287,14 @@ def shard_documents(docs: DataFrame, *, shards: int = SHARDS, rounds: int | None
     order = F.xxhash64("doc_id", "text_key")
     rows = materialise(ranked(rows, [], order, n_rows, "row"), "shard-rows")
     chunks = chunked(rows, "text_key", n_rows, shards)
-    placed = start(rows, chunks, "text_key", n_rows, shards)
-    placed = propagate(placed, chunk_links(chunks, "text_key"), n_rows, shards=shards, rounds=rounds)
+    links = materialise(chunk_links(chunks, "text_key"), "shard-pairs")
+    placed = propagate(rows.select("row"), links, n_rows, shards=shards, rounds=rounds)
+    n_cut = cut_links(placed, links)
+    if n_cut:
+        for again in (repaired(placed, chunks, "text_key", n_rows, shards), place_groups(rows, chunks, "text_key", n_rows, shards)):
+            again = materialise(again, "shard-repaired")
+            left = cut_links(again, links)
+            if left < n_cut:
+                n_cut, placed = left, again
     out = ranked(placed, ["shard"], F.col("row"), n_rows, "slot")
     return rows.join(out, "row").select("doc_id", "size", "text_crc32", "shard", "slot")

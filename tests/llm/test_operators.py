@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import inspect
 import itertools
 import math
 import random
@@ -15,6 +16,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from sparktape.llm.tables import materialise
 from sparktape.llm import (
     chat,
     decontaminate,
@@ -218,6 +220,48 @@ def test_large_groups_are_placed_whole(spark):
     assert len({(texts[r.doc_id], r.shard) for r in rows}) == len(sizes)
 
 
+def dealt_and_linked(spark, texts, shards):
+    """Rows numbered by a hash, and the links between those of equal text."""
+    n = len(texts)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text_key string")
+    rows = materialise(sharding.ranked(rows, [], F.xxhash64("doc_id"), n, "row"), "test-rows")
+    chunks = sharding.chunked(rows, "text_key", n, shards)
+    return rows.select("row"), materialise(sharding.chunk_links(chunks, "text_key"), "test-links"), n
+
+
+@pytest.mark.parametrize("kind", ["loose", "pairs", "triples", "mixed"])
+def test_propagation_brings_groups_together(spark, kind):
+    """From a deal that knows no groups, cut links fall round by round to a few at most."""
+    texts = {
+        "loose": [f"t{i}" for i in range(600)] + [f"g{i % 60}" for i in range(360)],
+        "pairs": [f"t{i % 480}" for i in range(960)],
+        "triples": [f"t{i % 320}" for i in range(960)],
+        "mixed": [f"g{i % 7}" for i in range(300)] + [f"p{i % 200}" for i in range(400)] + [f"t{i}" for i in range(260)],
+    }[kind]
+    rows, links, n = dealt_and_linked(spark, texts, 8)
+    n_links, cuts = links.count(), []
+    for rounds in (0, 1, 2, None):
+        placed = sharding.propagate(rows, links, n, shards=8, rounds=rounds)
+        cuts.append(sharding.cut_links(placed, links))
+        assert sorted(r["count"] for r in placed.groupBy("shard").count().collect()) == [120] * 8
+    assert cuts[0] > 0.8 * n_links  # seven eighths by chance
+    assert cuts == sorted(cuts, reverse=True)
+    # None where rows without links make room, a tenth at most where hardly any row has none.
+    assert cuts[-1] <= (0 if kind == "loose" else 0.1 * n_links)
+
+
+def test_given_documents_are_brought_together_by_propagation_alone(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/documents.parquet").select("text").collect()
+    rows, links, n = dealt_and_linked(spark, [r.text or "" for r in docs], 16)
+    assert sharding.cut_links(sharding.propagate(rows, links, n, rounds=0), links) > 0.8 * links.count() > 20
+    assert sharding.cut_links(sharding.propagate(rows, links, n), links) == 0
+
+
+def test_sharding_is_native():
+    source = inspect.getsource(sharding)
+    assert not any(word in source for word in ("udf", "mapIn", "applyIn", "toPandas", "rdd", "numpy", "pyarrow"))
+
+
 def test_linked_rows_change_places(spark):
     rows = spark.range(40).withColumnRenamed("id", "row")
     # The junior of each pair wants to where the junior of another one is: no row is loose.
