@@ -207,12 +207,12 @@ class Model:
     centroids: np.ndarray  # a column per centroid
     distances: np.ndarray  # least cosine that is not rejected, per centroid and size class
 
-    def nearest(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Nearest centroid of each text (-1 without a letter), its cosine, and whether the
-        text is rejected."""
-        found = vectors(texts, self.weights)
+    def nearest(self, found: Vectors) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Nearest centroid of each vector (-1 without a letter), its cosine, and whether it is
+        rejected."""
         if not self.languages:
-            return np.full(len(texts), -1), np.zeros(len(texts)), np.ones(len(texts), bool)
+            n = len(found.has_letter)
+            return np.full(n, -1), np.zeros(n), np.ones(n, bool)
         cosine = found.times(self.centroids)
         best = cosine.argmax(1)
         score = np.clip(np.where(found.has_letter, cosine.max(1), 0.0), 0.0, 1.0)
@@ -249,8 +249,8 @@ def _distances(learn: DataFrame, model: Model) -> np.ndarray:
             langs, texts = np.array(batch.column(0).to_pylist(), object), batch.column(1).to_pylist()
             low = 0
             for some in _pieces(texts):
-                best, score, _ = shared.value.nearest(some)
-                size = vectors(some).size
+                rows = vectors(some, shared.value.weights)
+                (best, score, _), size = shared.value.nearest(rows), rows.size
                 own = (best >= 0) & (names[best] == langs[low : low + len(some)])
                 low += len(some)
                 arrays = [pa.array(best[own]), pa.array(size[own]), pa.array(score[own])]
@@ -304,7 +304,8 @@ def _predict_udf(model) -> Callable[[Column], Column]:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         names = np.array([*model.value.languages, UNKNOWN], object)  # the last one is number -1
         for texts in batches:
-            parts = [model.value.nearest(some) for some in _pieces(texts.to_pylist())]
+            weights = model.value.weights
+            parts = [model.value.nearest(vectors(some, weights)) for some in _pieces(texts.to_pylist())]
             best, score, rejected = (
                 np.concatenate(c) for c in zip((np.zeros(0, int), np.zeros(0), np.zeros(0, bool)), *parts, strict=True)
             )

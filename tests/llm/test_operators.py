@@ -320,6 +320,32 @@ def test_insults_are_learnt_and_variants_found(spark):
     assert kept.columns == [*docs.columns, "score"] and 140 <= kept.count() <= 175
 
 
+def test_the_toxic_sample_is_the_same_in_every_run(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_TOXIC", 20)
+    rows = [(i % 90, f"text number {i}", "en", "s", 0) for i in range(180)]
+    labels = spark.createDataFrame([(i, 1) for i in range(90)], "doc_id long, toxic int")
+
+    def sample(parts):
+        docs = spark.createDataFrame(rows, DOCS).repartition(parts, F.xxhash64("text"))
+        return [sorted(bag) for bag in toxicity.labelled_sample(docs, labels.repartition(parts), True)]
+
+    first = sample(1)
+    assert len(first) == 20
+    assert first == sample(7) == sample(16)
+
+
+def test_toxicity_held_out_on_given_labels(spark, sf_dir):
+    """Area under the curve of the held-out scores, and the same rows in two runs."""
+    sf_dir = sf_dir.replace("0.001", "0.1")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    found = queries.op5_toxicity(spark, sf_dir).where("held_out").join(labels, "doc_id").collect()
+    toxic = np.array([r.score for r in found if r.toxic == 1])
+    clean = np.array([r.score for r in found if r.toxic == 0])
+    assert len(toxic) > 20 and len(clean) > 200
+    beside = (toxic[:, None] > clean).mean() + (toxic[:, None] == clean).mean() / 2
+    assert beside > 0.85
+
+
 @pytest.mark.parametrize("labels", [[], [(0, 0), (1, 0)], [(0, 1), (1, 1)]])
 def test_toxicity_without_one_of_the_classes(spark, labels):
     docs = documents(spark, ["a b", "c d", None])
@@ -472,7 +498,7 @@ def test_nearest_centroid_equals_brute_force(spark, sf_dir):
         weights = {f: math.log1p(k) * (math.log((1 + n) / (1 + frequency[f])) + 1) for f, k in c.items()}
         length = math.sqrt(sum(w * w for w in weights.values()))
         cosines = [sum(w * float(model.centroids[f, k]) for f, w in weights.items()) / length for k in range(len(model.languages))]
-        best, score, rejected = model.nearest([r.text])
+        best, score, rejected = model.nearest(language.vectors([r.text], model.weights))
         if length:
             assert score[0] == pytest.approx(max(cosines), abs=1e-6)
             assert cosines[best[0]] == pytest.approx(max(cosines), abs=1e-6)
