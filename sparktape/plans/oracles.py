@@ -36,33 +36,83 @@ ticks AS (
     concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS trade_id
   FROM lineitem)
 """
-# What becomes of each frame: how many ticks it yields, and the reason if it failed.
+# The raw text of each frame, by the rules of the test data, and what JSON functions read from
+# it: the trades in order, the reason of each that breaks a rule, and those before the first.
 FRAMES = """
+texts AS (
+  SELECT event_id, exchange, received_ns, event_id % 50 AS kind, symbol, side, trade_id,
+    CAST(CAST(price AS DECIMAL(18,2)) AS VARCHAR) AS price_text,
+    CAST(CAST(size AS BIGINT) AS VARCHAR) AS size_text,
+    CAST(epoch_us(ts) // 1000 AS VARCHAR) AS millis, replace(CAST(ts AS VARCHAR), ' ', 'T') || 'Z' AS iso_time
+  FROM raw_events),
+shapes AS (
+  SELECT *,
+    '{"e":"trade","E":' || millis || ',"s":"' || symbol || '","t":' || trade_id || ',"p":"' AS head,
+    '","q":"' || size_text || '","T":' || millis || ',"m":'
+      || CASE side WHEN 'sell' THEN 'true' ELSE 'false' END || ',"M":true}' AS tail,
+    list_transform(
+      CASE kind WHEN 1 THEN ['a', 'b', 'c'] WHEN 3 THEN ['a', 'b'] ELSE [''] END,
+      lambda part: '{"trade_id":"' || trade_id || part || '","product_id":"' || symbol
+        || '","price":"' || price_text || '","size":"' || CASE part WHEN 'b' THEN CASE kind WHEN 1 THEN '0' ELSE size_text END ELSE size_text END
+        || '","side":"' || CASE kind WHEN 4 THEN 'LONG' ELSE upper(side) END || '","time":"' || iso_time || '"}') AS parts
+  FROM texts),
 frames AS (
-  SELECT *, event_id % 50 AS kind, price > 0 AS priced FROM raw_events),
+  SELECT event_id, exchange, received_ns,
+    CASE WHEN exchange = 'binance' THEN
+      CASE kind WHEN 0 THEN substring(head || price_text || tail, 1, 40)
+           WHEN 1 THEN head || '-1' || tail
+           WHEN 2 THEN '{"e":"depthUpdate","s":"' || symbol || '"}'
+           WHEN 3 THEN '{"stream":"' || lower(symbol) || '@trade","data":' || head || price_text || tail || '}'
+           WHEN 4 THEN '{"stream":"' || lower(symbol) || '@trade","data":' || head || price_text || tail || '}'
+           ELSE head || price_text || tail END
+    ELSE
+      CASE kind WHEN 0 THEN substring(whole, 1, 60)
+           WHEN 2 THEN '{"channel":"subscriptions","events":[{"subscriptions":{}}]}' ELSE whole END
+    END AS raw
+  FROM (SELECT *, '{"channel":"market_trades","sequence_num":0,"events":['
+      || CASE kind WHEN 5 THEN '{"type":"l2_data","trades":[{"side":"LONG"}]},' ELSE '' END
+      || '{"type":"' || CASE kind WHEN 3 THEN 'snapshot' ELSE 'update' END || '","trades":['
+      || array_to_string(parts, ',') || ']}]}' AS whole FROM shapes)),
+bodies AS (
+  SELECT *, CASE WHEN json_valid(raw) THEN CAST(raw AS JSON) END AS body FROM frames),
+read_frames AS (
+  SELECT event_id, exchange, received_ns, raw, body IS NULL AS malformed,
+    CASE WHEN body IS NULL THEN []
+      WHEN exchange = 'binance' THEN list_transform(
+        list_filter([coalesce(json_extract(body, '$.data'), body)], lambda t: json_extract_string(t, '$.e') = 'trade'),
+        lambda t: {'symbol': json_extract_string(t, '$.s'), 'price': json_extract_string(t, '$.p'),
+          'size': json_extract_string(t, '$.q'),
+          'side': CASE json_extract_string(t, '$.m') WHEN 'true' THEN 'sell' ELSE 'buy' END,
+          'ns': CAST(json_extract_string(t, '$.T') AS BIGINT) * 1000000, 'id': json_extract_string(t, '$.t')})
+      WHEN json_extract_string(body, '$.channel') = 'market_trades' THEN list_transform(
+        flatten(list_transform(
+          list_filter(json_extract(body, '$.events[*]'), lambda e: json_extract_string(e, '$.type') IN ('snapshot', 'update')),
+          lambda e: json_extract(e, '$.trades[*]'))),
+        lambda t: {'symbol': json_extract_string(t, '$.product_id'), 'price': json_extract_string(t, '$.price'),
+          'size': json_extract_string(t, '$.size'), 'side': lower(json_extract_string(t, '$.side')),
+          'ns': epoch_us(CAST(json_extract_string(t, '$.time') AS TIMESTAMP)) * 1000,
+          'id': json_extract_string(t, '$.trade_id')})
+      ELSE [] END AS trades
+  FROM bodies),
+judged AS (
+  SELECT *, list_transform(trades, lambda t:
+    CASE WHEN CAST(t.price AS DECIMAL(38,18)) <= 0 THEN 'price must be > 0'
+         WHEN CAST(t.size AS DECIMAL(38,18)) <= 0 THEN 'size must be > 0'
+         WHEN t.side NOT IN ('buy', 'sell') THEN 'Unknown side' END) AS faults
+  FROM read_frames),
 decoded AS (
-  SELECT *,
-    CASE WHEN kind IN (0, 2) THEN 0
-         WHEN exchange = 'binance' THEN CASE WHEN kind <> 1 AND priced THEN 1 ELSE 0 END
-         WHEN NOT priced OR kind = 4 THEN 0
-         WHEN kind = 3 THEN 2 ELSE 1 END AS n_ticks,
-    CASE WHEN kind = 0 THEN 'malformed JSON'
-         WHEN kind = 2 THEN NULL
-         WHEN exchange = 'binance' AND (kind = 1 OR NOT priced) THEN 'price must be > 0'
-         WHEN exchange = 'binance' THEN NULL
-         WHEN NOT priced THEN 'price must be > 0'
-         WHEN kind = 1 THEN 'size must be > 0'
-         WHEN kind = 4 THEN 'Unknown side' END AS reason
-  FROM frames),
-frame_ticks AS (
-  SELECT exchange, symbol, price, size, side,
-    CASE WHEN exchange = 'binance' THEN timestamp_ns // 1000000 * 1000000
-         ELSE timestamp_ns END AS timestamp_ns,
-    received_ns,
-    CASE WHEN exchange = 'coinbase' AND kind IN (1, 3)
-         THEN trade_id || CASE part WHEN 1 THEN 'a' ELSE 'b' END ELSE trade_id END AS trade_id,
-    CAST(make_timestamp(timestamp_ns // 1000) AS DATE) AS date, event_id
-  FROM decoded, unnest(range(1, n_ticks + 1)) AS parts(part))
+  SELECT *, CASE WHEN malformed THEN 'malformed JSON' ELSE list_filter(faults, lambda f: f IS NOT NULL)[1] END AS reason,
+    coalesce(nullif(list_position(list_transform(faults, lambda f: f IS NOT NULL), true), 0) - 1, len(trades)) AS n_ticks
+  FROM judged),
+good_trades AS (
+  SELECT event_id, exchange, received_ns, n_ticks, place, trades[place] AS t
+  FROM (SELECT *, unnest(range(1, len(trades) + 1)) AS place FROM decoded) WHERE faults[place] IS NULL),
+all_good_ticks AS (
+  SELECT exchange, t.symbol AS symbol, CAST(t.price AS DECIMAL(38,18)) AS price, CAST(t.size AS DECIMAL(38,18)) AS size,
+    t.side AS side, t.ns AS timestamp_ns, received_ns, t.id AS trade_id,
+    CAST(make_timestamp(t.ns // 1000) AS DATE) AS date, event_id, place <= n_ticks AS in_prefix
+  FROM good_trades),
+frame_ticks AS (SELECT * FROM all_good_ticks WHERE in_prefix)
 """
 WRITE_LOG = """
 write_log AS (
@@ -293,17 +343,12 @@ def all_oracles() -> dict[str, str]:
         "decode_python_feed": _events(
             f"SELECT {TICK_OUT} FROM frame_ticks WHERE exchange = 'binance'", FRAMES
         ),
-        "decode_per_trade": _events(
-            # The third trade of a frame with a bad second one survives here.
-            f"""SELECT {TICK_OUT} FROM frame_ticks UNION ALL
-            SELECT {TICK_OUT.replace("trade_id,", "trade_id || 'c' AS trade_id,")}
-            FROM (SELECT *, CAST(make_timestamp(timestamp_ns // 1000) AS DATE) AS date FROM decoded
-                  WHERE exchange = 'coinbase' AND kind = 1 AND priced)""",
-            FRAMES,
-        ),
+        "decode_per_trade": _events(f"SELECT {TICK_OUT} FROM all_good_ticks", FRAMES),
+        "frames_raw": _events("SELECT exchange AS source, raw, received_ns FROM frames", FRAMES),
         "frames_source": _events("SELECT exchange AS source, count(*) AS n_frames FROM ticks GROUP BY ALL"),
         "parse_errors": _events(
-            "SELECT exchange AS source, received_ns, reason FROM decoded WHERE reason IS NOT NULL",
+            "SELECT exchange AS source, received_ns, reason, substring(raw, 1, 300) AS excerpt "
+            "FROM decoded WHERE reason IS NOT NULL",
             FRAMES,
         ),
         "frame_filter": _events(

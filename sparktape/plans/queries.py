@@ -343,6 +343,7 @@ def _feed_ticks(exchange: str) -> Callable[[DataFrame], DataFrame]:
 
 
 _REGISTRY |= {
+    "frames_raw": _frames(lambda f: f),
     "frames_source": _frames(lambda f: f.groupBy("source").agg(F.count("raw").alias("n_frames"))),
     "decode_binance": _decoded(_feed_ticks("binance")),
     "decode_coinbase": _decoded(_feed_ticks("coinbase")),
@@ -357,7 +358,7 @@ _REGISTRY |= {
     ),
     "decode_per_trade": _decoded(decode.frame_ticks, on_error="per_trade"),
     "parse_errors": _decoded(
-        lambda d: decode.frame_errors(d).drop("excerpt")
+        lambda d: decode.frame_errors(d)
     ),
     "frame_filter": _decoded(health.frame_outcomes),
     "iso_to_ns": lambda spark, sf_dir: tables.event_times(spark, sf_dir).select(
