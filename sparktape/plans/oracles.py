@@ -318,6 +318,31 @@ def all_oracles() -> dict[str, str]:
         "file_totals": "SELECT count(*) AS n_rows, true AS files_as_listed, true AS bytes_as_listed FROM events",
         "file_inventory": _listing,
         "scan_empty": _events(f"SELECT {TICK_OUT} FROM ticks WHERE false"),
+        "time_forms": _events(
+            f"SELECT form, count(*) AS n_ticks, min(timestamp_ns) AS first_ns, max(timestamp_ns) AS last_ns FROM ticks, "
+            f"(SELECT unnest({list(q.TIME_FORMS)}) AS form) WHERE {RANGE} GROUP BY form"
+        ),
+        "interval_forms": _events(
+            " UNION ALL ".join(
+                f"SELECT '{i}' AS interval, count(DISTINCT timestamp_ns // {_width(i)}) AS n_bars, "
+                f"{len(q.REFUSED_INTERVALS)} AS n_refused FROM ticks WHERE {POOL}"
+                for i in q.BAR_INTERVALS
+            )
+        ),
+        "row_count": "SELECT count(*) AS n_rows, count(*) AS n_listed FROM events",
+        "float_refused": _events("SELECT 2 AS n_refused, count(*) AS n_good FROM ticks WHERE price > 0"),
+        "store_answers": _events(
+            f"""SELECT (SELECT string_agg(p, ',' ORDER BY p) FROM (SELECT DISTINCT exchange || ':' || symbol AS p FROM ticks)) AS symbols,
+              (SELECT count(*) FROM ticks WHERE {RANGE} AND {FEED}) AS n_trades,
+              (SELECT count(DISTINCT timestamp_ns // {_width("4h")}) FROM ticks WHERE {RANGE}) AS n_bars,
+              (SELECT count(*) FROM (SELECT timestamp_ns - lag(timestamp_ns) OVER (ORDER BY timestamp_ns) AS d
+                 FROM ticks WHERE {POOL} AND {FEED}) WHERE d > {int(q.GAP_SECONDS * 1e9)}) AS n_gaps,
+              (SELECT CAST(w // {10**18}::HUGEINT AS VARCHAR) || '.' || lpad(CAST(w % {10**18}::HUGEINT AS VARCHAR), 18, '0')
+                 FROM (SELECT n // v + CASE WHEN 2 * (n % v) + (n // v) % 2 > v THEN 1 ELSE 0 END AS w
+                   FROM (SELECT sum(CAST(price * 100 AS HUGEINT) * {10**16}::HUGEINT * CAST(size AS HUGEINT)) AS n,
+                           CAST(sum(CAST(size AS HUGEINT)) AS HUGEINT) AS v FROM ticks WHERE {RANGE}))) AS exact,
+              (SELECT {VWAP} FROM ticks WHERE {RANGE}) AS vwap, (SELECT count(*) FROM ticks WHERE {POOL}) AS n_sql"""
+        ),
         "published_ticks": _events(f"SELECT {TICK_OUT} FROM ticks"),
         "published_range": _events(f"SELECT {TICK_OUT} FROM ticks WHERE {RANGE} AND {FEED}"),
         "published_inventory": _listing,

@@ -5,8 +5,10 @@ Results carry decimals and dates as text, so that engines compare them by value.
 
 from __future__ import annotations
 
+import functools
 import json
 from collections.abc import Callable
+from datetime import UTC, datetime
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import columns
-from ..functions.timeargs import to_ns
+from ..functions.timeargs import parse_interval, to_ns
 from ..operators import decode, health, market, validate
 from ..sources import frames as frame_sources
 from ..sources import lake, published, tables
@@ -22,6 +24,7 @@ from ..schema import MONEY, STORED_COLS, STORED_TICK
 from ..session import scratch_dir
 from ..streaming import events as stream_events
 from ..streaming import ticks as stream_ticks
+from .store import TickLake
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -243,6 +246,92 @@ def scan_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(lake.read_ticks(spark, scratch_dir(spark, "no-tree"), empty))
 
 
+# -- arguments, and the store object -----------------------------------------------------------
+
+# The same range in each form that a bound may have.
+TIME_FORMS = {
+    "iso_z": (START, END),
+    "iso_offset": ("2024-01-05T08:30:00+02:00", "2024-01-20T10:00:00-02:00"),
+    "naive": (datetime(2024, 1, 5, 6, 30), datetime(2024, 1, 20, 12)),
+    "aware": (datetime(2024, 1, 5, 6, 30, tzinfo=UTC), datetime(2024, 1, 20, 12, tzinfo=UTC)),
+    "nanoseconds": (1_704_436_200_000_000_000, 1_705_752_000_000_000_000),
+}
+REFUSED_INTERVALS = ["0s", "5", "m", "-1m", "1.5h", "1w", ""]
+
+
+@query("time_forms")
+def time_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks in one range, given in every form of a time."""
+    ticks = tables.event_ticks(spark, sf_dir)
+    counts = [
+        market.in_range(ticks, SYMBOL, *bounds).agg(
+            F.lit(form).alias("form"), F.count("*").alias("n_ticks"),
+            F.min("timestamp_ns").alias("first_ns"), F.max("timestamp_ns").alias("last_ns"),
+        )
+        for form, bounds in TIME_FORMS.items()
+    ]
+    return functools.reduce(DataFrame.unionByName, counts)
+
+
+@query("interval_forms")
+def interval_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars of one symbol in intervals of every unit, and how many texts are no interval."""
+    ticks = tables.event_ticks(spark, sf_dir).where(F.col("symbol") == SYMBOL)
+    refused = 0
+    for text in REFUSED_INTERVALS:
+        try:
+            parse_interval(text)
+        except ValueError:
+            refused += 1
+    counts = [
+        ticks.select(columns.bar_start(parse_interval(text)).alias("b")).agg(
+            F.lit(text).alias("interval"), F.count_distinct("b").alias("n_bars"), F.lit(refused).alias("n_refused")
+        )
+        for text in BAR_INTERVALS
+    ]
+    return functools.reduce(DataFrame.unionByName, counts)
+
+
+@query("row_count")
+def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a tree, and of the same rows read through its manifest."""
+    plain = lake.read_ticks(spark, _tree(spark, sf_dir)).agg(F.count("*").alias("n_rows"))
+    listed = lake.inventory_totals(lake.file_inventory(spark, _published(spark, sf_dir)))
+    return plain.crossJoin(listed.select(F.col("n_rows").alias("n_listed")))  # one row each
+
+
+@query("float_refused")
+def float_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks whose price or size is a float are refused as a table; as text they all pass."""
+    ticks = tables.event_ticks(spark, sf_dir).where("price > 0")
+    refused = 0
+    for name in ("price", "size"):
+        try:
+            validate.check_ticks(ticks.withColumn(name, F.col(name).cast("double")), tables.AS_OF_NS)
+        except ValueError:
+            refused += 1
+    texts = ticks.withColumns({c: F.col(c).cast("string") for c in ("price", "size")})
+    good, _ = validate.split_valid(texts, tables.AS_OF_NS)
+    return good.agg(F.lit(refused).alias("n_refused"), F.count("*").alias("n_good"))
+
+
+@query("store_answers")
+def store_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The store object's answers on a published tree, as one row."""
+    with TickLake(spark, _published(spark, sf_dir), view="stored_ticks", own_layout=True) as store:
+        answers = (
+            ",".join(store.symbols()),
+            len(store.trades(SYMBOL, START, END, EXCHANGE).collect()),
+            len(store.bars(SYMBOL, START, END, "4h").collect()),
+            len(store.gaps(SYMBOL, EXCHANGE, GAP_SECONDS).collect()),
+            str(store.vwap(SYMBOL, START, END, exact=True)),
+            round(float(store.vwap(SYMBOL, START, END)), 6),
+            store.sql("SELECT count(*) FROM stored_ticks WHERE symbol = :symbol", symbol=SYMBOL).first()[0],
+        )
+    schema = "symbols string, n_trades long, n_bars long, n_gaps long, exact string, vwap double, n_sql long"
+    return spark.createDataFrame([answers], schema)
+
+
 # -- published trees ----------------------------------------------------------------------------
 
 
