@@ -255,8 +255,9 @@ def test_a_silent_feed_is_noticed_without_data(spark, tmp_path):
     finally:
         query.stop()
     quiet = [o for o in out if o[0] == "QUIET"]
-    assert [o[1] for o in quiet] == ["green", "yellow", "red"]
-    assert quiet[1][2] >= 8_000 and quiet[2][2] >= 20_000
+    # A trigger that takes longer than from one level to the next skips the first.
+    assert [o[1] for o in quiet] in (["green", "yellow", "red"], ["green", "red"])
+    assert all(age >= {"green": 0, "yellow": 8_000, "red": 20_000}[level] for _, level, age in quiet)
     assert [o[1] for o in out if o[0] == "LIVELY"][-1] == "green"
     assert "red" not in {o[1] for o in out if o[0] == "LIVELY"}
 
