@@ -1,3 +1,4 @@
+import pathlib
 import time
 
 import pytest
@@ -5,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sparktape import append_ticks, read_ticks
 from sparktape.operators import decode, market
+from sparktape.plans import queries
 from sparktape.schema import FEED, STORED_COLS, STORED_TICK, TICK
 from sparktape.sources import frames as sources
 from sparktape.sources import lake, snapshots, tables
@@ -279,3 +281,32 @@ def test_stream_refuses_what_would_lose_ticks(spark, tmp_path):
     assert lake.read_ticks(spark, root).count() == 40
     with pytest.raises(ValueError, match="ahead of the checkpoint"):
         streams.write_tick_stream(source, root, str(tmp_path / "other"), available_now=True)
+
+
+@pytest.mark.parametrize("name", ["stream_published", "stream_restart", "stream_drain", "stream_corrected_bars"])
+def test_landed_files_grow_with_the_input(spark, tmp_path, monkeypatch, name):
+    """Not one or two files a turn, whatever their size; a turn has two batches at most."""
+    rows = spark.range(80).selectExpr(
+        "id AS event_id", "timestamp_millis(1704412800000 + id * 3600000) AS ts", "id % 2 AS user_id",
+        "'view' AS event_type", "id / 4 AS value", """concat('{"k": ', id, '}') AS props""",
+    )
+    rows.coalesce(1).write.parquet(str(tmp_path / "in" / "events.parquet"))
+    made = []
+
+    def scratch(_, folder):
+        made.append(str(tmp_path / f"{folder}-{len(made)}"))
+        return made[-1]
+
+    monkeypatch.setattr(queries, "scratch_dir", scratch)
+    monkeypatch.setattr(queries, "LANDED_ROWS", 10, raising=False)
+    found = queries.all_queries()[name](spark, str(tmp_path / "in"))
+    landing = next(path for path in made if pathlib.Path(path).name.startswith(("landing", "late-ticks")))
+    counts = [spark.read.parquet(str(f)).count() for f in pathlib.Path(landing).glob("*.parquet")]
+    assert sum(counts) == 80 and len(counts) >= 8 and max(counts) <= 20
+    if name == "stream_corrected_bars":
+        want = queries.all_queries()["bars_1h"](spark, str(tmp_path / "in"))
+        assert found.count() == want.count()
+    else:
+        ticks = tables.event_frames(spark, str(tmp_path / "in"))
+        want = queries.portable(decode.frame_ticks(decode.decode_frames(ticks, tables.AS_OF_NS)))
+        assert sorted(found.collect()) == sorted(want.collect())
