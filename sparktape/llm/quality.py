@@ -29,6 +29,8 @@ ORDER = 5
 BLOCK_GRAMS = 1 << 22
 # Distinct n-grams that a task holds before it passes their counts on.
 HELD_GRAMS = 1 << 22
+# Near copies of a text that one task joins; a larger group is dealt to several.
+GROUP_ROWS = 1_000
 # Spread of a language's log perplexity (quartile distance) allowed beyond its quartiles.
 BAND_SPREADS = 6.0
 # Quartile distance of a normal distribution in standard deviations.
@@ -191,14 +193,72 @@ def _language() -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col("lang").cast("string")), F.lit(""))
 
 
+def _most(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    keys, counts = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(keys, kind="stable")
+    found, starts = np.unique(keys[order], return_index=True)
+    return found, np.maximum.reduceat(counts[order], starts) if len(starts) else counts
+
+
+def _count_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """`lang, same, gram, n` from rows `lang, same, part, split, text` in order of the first
+    three: each n-gram as often as in the text of the group that has most of it. Groups that
+    are whole are added up, and have no `same`; of split ones each part comes for itself."""
+    group, keys, counts, held = None, [], [], 0
+    done: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+
+    def rows(lang: str, same: int | None, grams: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for low in range(0, len(grams), 1 << 18):
+            some = slice(low, low + (1 << 18))
+            size = len(grams[some])
+            arrays = [pa.array([lang] * size, pa.string()), pa.array([same] * size, pa.int64()), pa.array(grams[some]), pa.array(n[some])]
+            yield pa.RecordBatch.from_arrays(arrays, ["lang", "same", "gram", "n"])
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        for lang, found in done.items():
+            yield from rows(lang, None, *found)
+        done.clear()
+
+    def end() -> Iterator[pa.RecordBatch]:
+        if not keys:
+            return
+        lang, same, _, split = group
+        found = _most(keys, counts)
+        if split:
+            yield from rows(lang, same, *found)
+            return
+        before = done.get(lang)
+        done[lang] = _added([before[0], found[0]], [before[1], found[1]]) if before else found
+        if sum(len(k) for k, _ in done.values()) > HELD_GRAMS:
+            yield from flush()
+
+    for batch in batches:
+        for *key, text in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+            if key != group:
+                yield from end()
+                group, keys, counts, held = key, [], [], 0
+            grams, n = np.unique(text_grams([text])[0], return_counts=True)
+            keys.append(grams)
+            counts.append(n)
+            held += len(grams)
+            if held > max(HELD_GRAMS // 4, 2 * len(keys[0])):
+                found = _most(keys, counts)
+                keys, counts, held = [found[0]], [found[1]], len(found[0])
+    yield from end()
+    yield from flush()
+
+
 def gram_counts(docs: DataFrame) -> DataFrame:
-    """`lang, gram, n`: how often each 5-gram occurs, over all documents, with copies and near
-    copies (texts of one sketch) counted once.
+    """`lang, gram, n`: how often each 5-gram occurs, over all different texts.
+
+    Copies count once. Of near copies (texts of one sketch) every text is counted, and what
+    they share once: an n-gram as often as in the one of them that has most of it. So a text
+    that a third of the rows hold weighs no more than any other, and is not made likely by
+    its copies, and no text is left out for being like another.
 
     Rows that may have a copy, by a filter of fixed size over sketches, are brought together
-    first, one of each in every task before the shuffle; all others are counted where they
-    are. So a text that a third of the rows hold weighs no more than any other, and is not
-    made likely by its copies.
+    first, one of each copy in every task before the shuffle, and large groups in parts; all
+    others are counted where they are.
     """
     rows = docs.select(_language().alias("lang"), text_bytes().alias("text")).where("length(text) > 0")
 
@@ -207,7 +267,8 @@ def gram_counts(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(_same(batch))], ["same"])
 
     counts = rows.mapInArrow(lean(keys_of), "same long").groupBy("same").agg(F.count("*").alias("n"))
-    bits = key_filter(counts.where("n > 1"), F.col("same"))
+    groups = materialise(counts.where("n > 1"), "quality-groups")
+    bits = key_filter(groups, F.col("same"))
 
     def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         alone = (batch.filter(pa.array(~in_filter(bits.value, _same(batch)))) for batch in batches)
@@ -220,9 +281,18 @@ def gram_counts(docs: DataFrame) -> DataFrame:
             yield batch.take(pa.array(held)).append_column("same", pa.array(same[held]))
 
     kind = "lang string, gram long, n long"
-    once = rows.mapInArrow(lean(copied), "lang string, text binary, same long")
-    once = once.groupBy("lang", "same").agg(F.min("text").alias("text")).select("lang", "text")
-    counted = rows.mapInArrow(lean(single), kind).unionByName(once.mapInArrow(lean(_count_grams), kind))
+    texts = rows.mapInArrow(lean(copied), "lang string, text binary, same long").distinct()
+    # At most one row for every `GROUP_ROWS` documents.
+    large = groups.where(F.col("n") > GROUP_ROWS).select("same", F.ceil(F.col("n") / GROUP_ROWS).alias("parts"))
+    part = F.coalesce(F.pmod(F.xxhash64("text"), F.col("parts")), F.lit(0).cast("long")).alias("part")
+    texts = texts.join(F.broadcast(large), "same", "left").select(
+        "lang", "same", part, F.col("parts").isNotNull().alias("split"), "text"
+    )
+    texts = texts.repartition("lang", "same", "part").sortWithinPartitions("lang", "same", "part")
+    joined = texts.mapInArrow(lean(_count_joined), "lang string, same long, gram long, n long")
+    joined = joined.groupBy("lang", "same", "gram").agg(F.sum("n").alias("added"), F.max("n").alias("most"))
+    joined = joined.select("lang", "gram", F.when(F.col("same").isNull(), F.col("added")).otherwise(F.col("most")).alias("n"))
+    counted = rows.mapInArrow(lean(single), kind).unionByName(joined)
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -400,8 +470,8 @@ def quality(docs: DataFrame, *, spreads: float = BAND_SPREADS) -> DataFrame:
     Words end at ASCII white space. `base_failed`: fewer than 50 words, or more than half
     of them in runs of three that the text repeats. Otherwise a document is kept if its
     perplexity (per byte of its words, the spaces between them and the end) is inside its
-    language's band: the quartiles of that language's texts of 50 words and more, copies and
-    near copies counted once, widened by `spreads` times their distance on the logarithmic
+    language's band: the quartiles of that language's texts of 50 words and more, copies
+    counted once and near copies together as their mean, widened by `spreads` times their distance on the logarithmic
     scale. Few or similar texts can squeeze that distance to nothing, and short texts vary
     more than long ones; it counts as no less than that of texts which draw as many bytes as the document
     has at random, by the variance of the language's log probabilities. A null language has a
@@ -412,10 +482,11 @@ def quality(docs: DataFrame, *, spreads: float = BAND_SPREADS) -> DataFrame:
         "log_perplexity", F.round(-F.try_divide(F.col("log_sum"), F.col("n_grams")), 9)
     )
     long = rows.where((F.col("n_words") >= MIN_WORDS) & F.col("log_perplexity").isNotNull())
-    # Copies and near copies of a text count once.
-    texts = long.groupBy("own", "sketch").agg(
-        *(F.min(c).alias(c) for c in ("log_perplexity", "n_grams", "log_sum", "square_sum"))
-    )
+    # Copies count once, and near copies together as one text: their mean.
+    scores = ("log_perplexity", "n_grams", "log_sum", "square_sum")
+    texts = long.groupBy("own", "sketch", "same").agg(*(F.min(c).alias(c) for c in scores))
+    texts = texts.groupBy("own", "sketch").agg(*(F.avg(c).alias(c) for c in scores))
+    texts = texts.withColumn("log_perplexity", F.round("log_perplexity", 9))
     quartiles = texts.groupBy("own").agg(
         F.percentile_approx("log_perplexity", [0.25, 0.75], 10_000).alias("q"),
         (F.sum("square_sum") / F.sum("n_grams") - F.pow(F.sum("log_sum") / F.sum("n_grams"), F.lit(2))).alias("variance"),

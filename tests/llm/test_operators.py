@@ -745,6 +745,29 @@ def test_near_copies_leave_a_band(spark):
     assert all(r.kept for r in quality.quality(documents(spark, near + edited)).collect())
 
 
+@pytest.mark.parametrize("rows", [quality.GROUP_ROWS, 2])
+def test_every_near_copy_is_counted(spark, monkeypatch, rows):
+    """What one text alone of a sketch has counts, and what they share counts once; also where
+    a group is dealt to several tasks."""
+    monkeypatch.setattr(quality, "GROUP_ROWS", rows)
+    rng = random.Random(15)
+    few = prose(rng, 60)
+    bodies = [rng.choices(few, k=60) for _ in range(4)]
+    texts = [" ".join([*body, f"own{i}{'xyz'[i % 3] * i}"]) for body in bodies for i in range(12)]
+    texts += texts[:5] + [" ".join(rng.choices(few, k=40)) for _ in range(8)]
+    docs = [(i, t, ("en", "de", None)[i % 3]) for i, t in enumerate(texts)]
+    groups = defaultdict(Counter)
+    for _, text, lang in docs:
+        sketch = int(quality.sketches(pa.array([text.encode()]))[0])
+        groups[lang, sketch] |= Counter(quality.text_grams([text.encode()])[0].tolist())  # the greater counts
+    assert len(groups) < 50
+    want = Counter()
+    for (lang, _), grams in groups.items():
+        want.update({(f"={lang}" if lang else "", gram): n for gram, n in grams.items()})
+    rows = spark.createDataFrame([(i, t, lang, "s", 0) for i, t, lang in docs], DOCS).repartition(3)
+    assert {(r.lang, r.gram): r.n for r in quality.gram_counts(rows).collect()} == dict(want)
+
+
 # -- tables at their limits -------------------------------------------------------------------
 
 OPERATORS = {
