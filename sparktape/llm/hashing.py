@@ -213,18 +213,23 @@ def one_permutation(values: np.ndarray, bounds: np.ndarray, size: int) -> np.nda
     x = values * GOLDEN
     x ^= x >> U(29)
     x *= U(0xBF58476D1CE4E5B9)
-    place = ((x >> U(40)) * U(size) >> U(24)).astype(np.int64)
+    place = (x >> U(40)) * U(size)
+    place >>= U(24)
+    place = place.view(np.int64)
     place += np.repeat(np.arange(n) * size, np.diff(bounds))
-    np.minimum.at(flat, place, x & U((1 << 40) - 1))
-    own, probes = signature.copy(), _probes(size)
+    x &= U((1 << 40) - 1)
+    np.minimum.at(flat, place, x)
+    own, probes = flat.copy(), _probes(size)
     empty = np.flatnonzero((flat == EMPTY) & np.repeat(np.diff(bounds) > 0, size))
+    at = empty % size
+    row = empty - at
     for turn in range(size):
         if not len(empty):
             break
-        row, at = empty // size, empty % size
-        found = own[row, probes[at, turn]]
+        found = own[row + probes[at, turn]]
         flat[empty] = found
-        empty = empty[found == EMPTY]
+        left = np.flatnonzero(found == EMPTY)
+        empty, row, at = empty[left], row[left], at[left]
     return signature
 
 

@@ -106,30 +106,34 @@ def _shingle_hashes(lines: list[str], size: int) -> tuple[np.ndarray, np.ndarray
     return runs[valid], np.concatenate([[0], np.cumsum(per)])
 
 
-def _line_type(bands: int) -> tuple[str, list[str]]:
-    names = ["line_no", "times", "fp1", "fp2", *(f"k{i}" for i in range(bands)), *(f"s{i}" for i in range(VALUES // 16))]
-    return f"array<struct<{','.join(f'{n}:long' for n in names)}>>", names
-
-
-def _marks_udf(size: int, bands: int, rows: int) -> Callable[[Column], Column]:
-    """First place, number, identity, band keys and sketch of the different lines of each text."""
-    kind, names = _line_type(bands)
-
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            for low in range(0, max(len(texts), 1), 256):
-                lines, places, counts = _first_lines(texts[low : low + 256].to_pylist())
-                columns = np.zeros((len(names), len(lines)), np.int64)
-                if lines:
-                    digests = np.frombuffer(b"".join(map(_identity, lines)), np.int64).reshape(-1, 2)
-                    signature = hashing.one_permutation(*_shingle_hashes(lines, size), VALUES)
-                    columns[:2], columns[2:4] = np.array(places).T, digests.T
-                    columns[4 : 4 + bands] = hashing.band_keys(signature[:, : bands * rows], rows).T
-                    columns[4 + bands :] = hashing.low_bits(signature).T
-                found = pa.StructArray.from_arrays([pa.array(c) for c in columns], names)
-                yield hashing.lists(found, np.array(counts, np.int64))
+def _line_columns(bands: int) -> tuple[list[str], list[str]]:
+    """Names of the columns with the band keys and with the sketch of a line."""
+    return [f"k{i}" for i in range(bands)], [f"s{i}" for i in range(VALUES // 16)]
+
+
+def _marks(size: int, bands: int, rows: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A row for each of the different lines of each text: its document, first place, number,
+    identity, band keys and sketch."""
+    keys, sketch = _line_columns(bands)
+    names = ["line_no", "times", "fp1", "fp2", *keys, *sketch]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, 256):
+                some = batch.slice(low, 256)
+                lines, places, counts = _first_lines(some.column(1).to_pylist())
+                if not lines:
+                    continue
+                columns = np.empty((len(names), len(lines)), np.int64)
+                digests = np.frombuffer(b"".join(map(_identity, lines)), np.int64).reshape(-1, 2)
+                signature = hashing.one_permutation(*_shingle_hashes(lines, size), VALUES)
+                columns[:2], columns[2:4] = np.array(places).T, digests.T
+                columns[4 : 4 + bands] = hashing.band_keys(signature[:, : bands * rows], rows).T
+                columns[4 + bands :] = hashing.low_bits(signature).T
+                docs = some.column(0).take(pa.array(np.repeat(np.arange(len(counts)), counts)))
+                yield pa.RecordBatch.from_arrays([docs, *map(pa.array, columns)], ["doc_id", *names])
 
-    return F.arrow_udf(lean(run), kind)
+    return lean(run)
 
 
 _SHARED = "struct<n_lines:long,shared:array<struct<line_no:long,node:long,content:binary>>>"
@@ -210,22 +214,21 @@ def _dropped(docs: DataFrame, size: int, threshold: float, bands: int, rows: int
     """`doc_id, n_lines, dropped` of each document row: how many lines it has, and those that
     are not kept, with their class."""
     text = F.col("text").cast("string")
-    _, names = _line_type(bands)
-    found = docs.select("doc_id", F.explode(_marks_udf(size, bands, rows)(text)).alias("m"))
-    nodes = (
-        found.select("doc_id", "m.*")
-        .groupBy(F.col("fp1").alias("node"), "fp2")
-        .agg(
-            F.min("doc_id").alias("doc_id"),
-            F.min(_place("line_no")).alias("place"),
-            F.sum("times").alias("n_lines"),
-            *[F.max(n).alias(n) for n in names[4:]],
-        )
+    keys, sketch = _line_columns(bands)
+    marks = ["line_no", "times", "fp1", "fp2", *keys, *sketch]
+    texts = docs.select("doc_id", text.alias("text"))
+    kinds = [f"doc_id {texts.dtypes[0][1]}", *(f"{n} long" for n in marks)]
+    found = texts.mapInArrow(_marks(size, bands, rows), ", ".join(kinds))
+    nodes = found.groupBy(F.col("fp1").alias("node"), "fp2").agg(
+        F.min("doc_id").alias("doc_id"),
+        F.min(_place("line_no")).alias("place"),
+        F.sum("times").alias("n_lines"),
+        *[F.max(n).alias(n) for n in [*keys, *sketch]],
     )
-    keys, sketch = F.array(*names[4 : 4 + bands]), F.array(*names[4 + bands :])
-    nodes = nodes.select("node", "doc_id", "place", "n_lines", keys.alias("keys"), sketch.alias("sketch"))
-    nodes = materialise(nodes, "line-nodes")
+    # A column for each key: Parquet takes long to write and read lists.
+    nodes = materialise(nodes.drop("fp2"), "line-nodes")
     narrow = nodes.select("node", "doc_id", "place", "n_lines")
+    nodes = nodes.select("node", F.array(*keys).alias("keys"), F.array(*sketch).alias("sketch"))
     scanned: list[DataFrame] = []
     many: list[DataFrame] = []
 

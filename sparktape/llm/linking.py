@@ -1,8 +1,9 @@
 """From band keys to components: candidates, exact verification, union-find.
 
-No group is ever gathered in one task, and no task emits all pairs of a group. A bucket
-(the nodes with one band key) is range-partitioned by key *and* node, so that a hot one
-spreads over tasks; each node is first paired with the most central node that it meets.
+No group is ever gathered in one task, and no task emits all pairs of a group. Band keys are
+shuffled in blocks, and of a bucket (the nodes with one band key) each block sends no more
+than two nodes to one task, so that a hot one spreads over tasks; each node is first paired
+with the most central node that it meets.
 What such stars leave open, two nodes of a bucket in different components, is compared in
 blocks of bounded size by signature, and every pair that may be similar is verified exactly.
 """
@@ -13,6 +14,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +25,14 @@ from .tables import in_filter, key_filter, lean, materialise
 BLOCK = 512
 # Pairs that a task compares at once.
 PAIRS_AT_ONCE = 20_000
-
+# Band keys that a task sorts at once before they are shuffled.
+KEYS_AT_ONCE = 1 << 20
+# Ranges of band keys for each partition of a shuffle.
+RANGES = 16
+# Nodes in a row of those that need no further company.
+SURE_NODES = 4096
+
+_BLOCKS = "part long, sure boolean, key array<long>, node array<long>"
 _MEMBERS = "key long, node long, edge boolean, alone boolean"
 
 
@@ -65,17 +74,87 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out([r[0] for r in rows], [r[1] for r in rows], True, [r[2] for r in rows])
 
 
+def _keys_and_nodes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """A key and its node for each row, or for each element where rows have lists of keys."""
+    key, node = batch.column(0), batch.column(1).to_numpy()
+    if pa.types.is_list(key.type):
+        sizes = pc.fill_null(pc.list_value_length(key), 0).to_numpy(zero_copy_only=False)
+        key, node = key.flatten(), np.repeat(node, sizes)
+    return key.to_numpy(), node
+
+
+def _key_blocks(parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Keys and nodes as lists, one row for each of `parts` ranges of keys.
+
+    Of a key that is there three times or more, two nodes go with its range; the others are
+    in company whatever else the range gets, and go anywhere as `sure` ones.
+    """
+
+    def out(part, sure, key, node, starts) -> pa.RecordBatch:
+        offsets = pa.array(np.append(starts, len(key)).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (key, node)]
+        columns = [pa.array(part.astype(np.int64)), pa.array(np.full(len(part), sure)), *lists]
+        return pa.RecordBatch.from_arrays(columns, ["part", "sure", "key", "node"])
+
+    def blocks(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        key, node = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = key.view(np.uint64).argsort()
+        key, node = key[order], node[order]
+        sure = np.zeros(len(key), bool)
+        sure[2:] = key[2:] == key[:-2]
+        if sure.any():
+            more = node[sure]
+            starts = np.arange(0, len(more), SURE_NODES)
+            yield out(more[starts].view(np.uint64) % np.uint64(parts), True, key[sure], more, starts)
+            key, node = key[~sure], node[~sure]
+        part = (key.view(np.uint64) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+        starts = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+        yield out(part[starts], False, key, node, starts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            held.append(_keys_and_nodes(batch))
+            n += len(held[-1][0])
+            if n >= KEYS_AT_ONCE:
+                yield from blocks(held)
+                held, n = [], 0
+        if n:
+            yield from blocks(held)
+
+    return run
+
+
+def _block_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """`_members` of blocks sorted by part; no key is in two parts, so edges tell nothing."""
+
+    def flat(column: pa.ChunkedArray) -> np.ndarray:
+        return np.concatenate([np.zeros(0, np.int64), *(c.flatten().to_numpy() for c in column.chunks)])
+
+    for table in _whole_blocks(batches, ("part",)):
+        sure = table.column("sure")
+        some = table.filter(sure)
+        key, node = flat(some.column("key")), flat(some.column("node"))
+        if len(key):
+            no = pa.array(np.zeros(len(key), bool))
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(node), no, no], ["key", "node", "edge", "alone"])
+        rest = table.filter(pc.invert(sure))
+        key, node = flat(rest.column("key")), flat(rest.column("node"))
+        order = key.argsort()
+        yield from _members(
+            iter([pa.RecordBatch.from_arrays([pa.array(key[order]), pa.array(node[order])], ["key", "node"])])
+        )
+
+
 def bucket_members(bands: DataFrame) -> DataFrame:
-    """`(key, node, n)`: the nodes of each bucket of two or more, and how many it has."""
-    spread = bands.select("key", "node").repartitionByRange("key", "node")
-    found = materialise(
-        spread.sortWithinPartitions("key").mapInArrow(lean(_members), _MEMBERS), "bucket-nodes"
-    )
-    # Buckets over several tasks: nodes that are alone in their task belong to them too.
-    edges = found.where("edge")
-    spread_over = edges.groupBy("key").agg(F.count("*").alias("tasks")).where("tasks > 1").select("key")
-    lonely = edges.where("alone").join(spread_over, "key", "left_semi")
-    members = found.where("not edge").select("key", "node").unionByName(lonely.select("key", "node"))
+    """`(key, node, n)`: the nodes of each bucket of two or more, and how many it has.
+
+    `bands` has `(key, node)`; its `key` may be the list of all keys of the node.
+    """
+    parts = RANGES * int(bands.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = bands.select("key", "node").mapInArrow(lean(_key_blocks(parts)), _BLOCKS)
+    found = blocks.repartition("part").sortWithinPartitions("part").mapInArrow(lean(_block_members), _MEMBERS)
+    members = materialise(found.where("not edge").select("key", "node"), "bucket-nodes")
     sizes = members.groupBy("key").agg(F.count("*").alias("n"))
     return materialise(members.join(sizes, "key"), "bucket-members")
 
@@ -125,15 +204,15 @@ def connected(links: DataFrame) -> DataFrame:
         state = now
 
 
-def _whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """The rows, sorted by (key, i, j), in tables that do not cut such a block."""
+def _whole_blocks(batches: Iterator[pa.RecordBatch], by: tuple[str, ...] = ("key", "i", "j")) -> Iterator[pa.Table]:
+    """The rows, sorted by some columns, in tables that do not cut a block of equal ones."""
     rest = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
         table = (table if rest is None else pa.concat_tables([rest, table])).combine_chunks()
         if not table.num_rows:
             continue
-        marks = [table.column(c).to_numpy() for c in ("key", "i", "j")]
+        marks = [table.column(c).to_numpy() for c in by]
         last = np.all([m == m[-1] for m in marks], axis=0)
         cut = int(last.argmax())
         if cut:
@@ -275,7 +354,7 @@ def link_components(
     of contents are similar. Pairs whose sketches suggest less than `floor` are taken as
     not similar. With `small` contents, pairs are verified where they are compared.
     """
-    members = bucket_members(nodes.select(F.explode("keys").alias("key"), "node"))
+    members = bucket_members(nodes.select(F.col("keys").alias("key"), "node"))
     contents = materialise(contents_of(members.select("node").distinct()), "contents")
     similar = _similar_udf(decide)
 

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from sparktape.llm import hashing, line_dedup, near_dedup
+from sparktape.llm import hashing, line_dedup, linking, near_dedup
 from sparktape.llm.linking import _members, bucket_members, connected
 
 MASK = (1 << 64) - 1
@@ -111,6 +112,27 @@ def test_buckets_across_batches_and_tasks(spark):
         assert sorted((r["key"], r["alone"]) for r in out if r["edge"]) == [(1, False), (3, False)]
 
 
+def test_band_keys_are_shuffled_in_blocks(spark, monkeypatch):
+    """Many keys to a row, and of a key that many nodes have no more than two nodes a block."""
+    rng = np.random.default_rng(8)
+    key, node = rng.integers(-(2**63), 2**63 - 1, (2, 30_000))
+    key[::3], key[1::1000] = 7, key[2::1000]
+    blocks = pa.Table.from_batches(
+        list(linking._key_blocks(64)(iter([pa.RecordBatch.from_pydict({"key": key, "node": node})])))
+    ).to_pylist()
+    assert len(blocks) <= 64 + 3
+    sent = [(k, n, b["sure"]) for b in blocks for k, n in zip(b["key"], b["node"], strict=True)]
+    assert sorted(s[:2] for s in sent) == sorted(zip(key.tolist(), node.tolist(), strict=True))
+    assert sum(k == 7 and not sure for k, _, sure in sent) == 2 and all(k == 7 for k, _, sure in sent if sure)
+
+    monkeypatch.setattr(linking, "KEYS_AT_ONCE", 50)
+    rows = [(i, [i % 2, 100 + i // 3, 1000 + i, -(2**60) * (i % 7)]) for i in range(200)] + [(500, []), (501, None)]
+    found = bucket_members(spark.createDataFrame(rows, "node long, key array<long>").repartition(5))
+    flat = [(k, n) for n, keys in rows for k in keys or []]
+    count = Counter(k for k, _ in flat)
+    assert sorted(map(tuple, found.collect())) == sorted((k, n, count[k]) for k, n in flat if count[k] > 1)
+
+
 def pairs_at_threshold(n: int, k: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """`n` pairs of sets of 9k values, with 8k of 10k in common."""
     values = np.random.default_rng(seed).integers(0, 2**63, (n, 10 * k), dtype=np.uint64)
