@@ -27,6 +27,8 @@ THRESHOLD = 0.8
 BANDS, ROWS = 12, 4
 # Values of a signature; four bits of each are compared before a pair is verified.
 VALUES = 128
+# Lines whose signatures are computed at once.
+LINES_AT_ONCE = 512
 # Nodes from which a class counts as hot.
 HOT_NODES = 5_000
 _RARE = "\t\r\x0b\x0c"
@@ -106,6 +108,12 @@ def _shingle_hashes(lines: list[str], size: int) -> tuple[np.ndarray, np.ndarray
     return runs[valid], np.concatenate([[0], np.cumsum(per)])
 
 
+def _signatures(lines: list[str], size: int) -> np.ndarray:
+    """Signatures of lines, from pieces that a processor's cache holds."""
+    pieces = [lines[low : low + LINES_AT_ONCE] for low in range(0, len(lines), LINES_AT_ONCE)]
+    return np.concatenate([hashing.one_permutation(*_shingle_hashes(x, size), VALUES) for x in pieces])
+
+
 def _line_columns(bands: int) -> tuple[list[str], list[str]]:
     """Names of the columns with the band keys and with the sketch of a line."""
     return [f"k{i}" for i in range(bands)], [f"s{i}" for i in range(VALUES // 16)]
@@ -126,7 +134,7 @@ def _marks(size: int, bands: int, rows: int) -> Callable[[Iterator[pa.RecordBatc
                     continue
                 columns = np.empty((len(names), len(lines)), np.int64)
                 digests = np.frombuffer(b"".join(map(_identity, lines)), np.int64).reshape(-1, 2)
-                signature = hashing.one_permutation(*_shingle_hashes(lines, size), VALUES)
+                signature = _signatures(lines, size)
                 columns[:2], columns[2:4] = np.array(places).T, digests.T
                 columns[4 : 4 + bands] = hashing.band_keys(signature[:, : bands * rows], rows).T
                 columns[4 + bands :] = hashing.low_bits(signature).T
