@@ -296,12 +296,12 @@ def _held_out(doc_id: Column, folds: int, held: int) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(folds)) == held
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, toxic: bool) -> Iterator[set[str]]:
-    """Bags of words of a bounded sample of the labelled documents of one class.
+def _sampled_ids(labels: DataFrame, toxic: bool) -> DataFrame:
+    """Ids of a bounded sample of the documents of one class.
 
     Rows without a label or an id are not learnt from; of several labels of an id the
-    highest counts, of several texts the least. The sample has the ids of the least hashes,
-    so that it is the same in every run.
+    highest counts. The sample has the ids of the least hashes, so that it is the same in
+    every run.
     """
     ids = labels.where("doc_id is not null and toxic is not null")
     ids = ids.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -311,9 +311,18 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, toxic: bool) -> Iterator
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
     # Half as many again, and a few, are enough to hold the least hashes.
     near = own.where(draw < int(1.5 * share * 1_000_000) + 100)
-    chosen = near.orderBy(draw, "doc_id").select("doc_id").limit(bound)
+    return near.orderBy(draw, "doc_id").select("doc_id", F.lit(toxic).alias("toxic")).limit(bound)
+
+
+def _sampled_texts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """`(toxic, doc_id, text)` of the chosen ids; of several texts of an id the least."""
     rows = docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id")
-    for row in rows.groupBy("doc_id").agg(F.min("text").alias("text")).orderBy("doc_id").collect():
+    return rows.groupBy("toxic", "doc_id").agg(F.min("text").alias("text"))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, toxic: bool) -> Iterator[set[str]]:
+    """Bags of words of a bounded sample of the labelled documents of one class."""
+    for row in _sampled_texts(docs, _sampled_ids(labels, toxic)).orderBy("doc_id").toLocalIterator():
         yield bag_of_words(row["text"])
 
 
@@ -343,8 +352,49 @@ def _score_udf(model) -> Callable[[Column], Column]:
     return F.arrow_udf(lean(run), "double")
 
 
+_MODEL = "table binary, bias double, scale double, shift double, prior double"
+
+
+def _train_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The model of sampled texts, toxic ones first; only their words are kept."""
+    rows = (
+        (toxic.as_py(), bag_of_words(text.as_py()))
+        for batch in batches
+        for toxic, text in zip(batch.column(0), batch.column(1), strict=True)
+    )
+    held: list[set[str]] = []  # the first clean bag, which ends the toxic ones
+
+    def toxic_bags() -> Iterator[set[str]]:
+        for toxic, bag in rows:
+            if not toxic:
+                held.append(bag)
+                return
+            yield bag
+
+    def clean_bags() -> Iterator[set[str]]:
+        while held:
+            yield held.pop()
+        for _, bag in rows:
+            yield bag
+
+    model = train(toxic_bags(), clean_bags())
+    table = None if model.table is None else model.table.tobytes()
+    row = {"table": table, "bias": model.bias, "scale": model.scale, "shift": model.shift, "prior": model.prior}
+    types = {"table": pa.binary()}
+    columns = [pa.array([value], types.get(name, pa.float64())) for name, value in row.items()]
+    yield pa.RecordBatch.from_arrays(columns, list(row))
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    return train(labelled_sample(docs, labels, True), labelled_sample(docs, labels, False))
+    """Model of a bounded sample of the labelled documents, trained in a task: the driver
+    gets its weights, neither texts nor what training holds in memory."""
+    chosen = _sampled_ids(labels, True).unionByName(_sampled_ids(labels, False))
+    texts = _sampled_texts(docs, chosen).repartition(1).sortWithinPartitions(F.desc("toxic"), "doc_id")
+    row = texts.select("toxic", "text").mapInArrow(lean(_train_rows), _MODEL).first()
+    if row is None:  # without any row Spark may leave the task out
+        return train([], [])
+    table = None if row.table is None else np.frombuffer(row.table)
+    return Model(table, row.bias, row.scale, row.shift, row.prior)
 
 
 def with_toxicity(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:

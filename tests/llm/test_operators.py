@@ -334,6 +334,24 @@ def test_the_toxic_sample_is_the_same_in_every_run(spark, monkeypatch):
     assert first == sample(7) == sample(16)
 
 
+def test_toxicity_is_trained_away_from_the_driver(spark, monkeypatch):
+    """Neither the sampled texts nor the training take memory of the driver."""
+    rng = random.Random(8)
+    texts = [" ".join([*prose(rng, 12), *["moronix"] * (i % 4 == 0)]) for i in range(160)]
+    docs = documents(spark, texts)
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(160)], "doc_id long, toxic int")
+    want = toxicity.train(*(toxicity.labelled_sample(docs, labels, toxic) for toxic in (True, False)))
+
+    def on_driver(*_):
+        raise AssertionError("on the driver")
+
+    for name in ("train", "bag_of_words", "kernel"):
+        monkeypatch.setattr(toxicity, name, on_driver)
+    found = toxicity.fit(docs, labels)
+    assert found.table == pytest.approx(want.table, abs=1e-9)
+    assert [found.bias, found.scale, found.shift] == pytest.approx([want.bias, want.scale, want.shift])
+
+
 def test_toxicity_held_out_on_given_labels(spark, sf_dir):
     """Area under the curve of the held-out scores, and the same rows in two runs."""
     sf_dir = sf_dir.replace("0.001", "0.1")
